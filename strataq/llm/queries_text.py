@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +25,21 @@ def _titles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "law_norms").where("title IS NOT NULL").select(F.lit("law_norms").alias("source_table"), F.col("id").alias("record_key"), F.col("title").alias("text"))
 
 
-def _block_texts(spark: SparkSession, d: str, stored: DataFrame | None = None) -> DataFrame:
-    stored = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS) if stored is None else stored
+def _block_texts(spark: SparkSession, d: str) -> DataFrame:
+    stored = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS)
     return stored.select(F.lit("law_version_blocks").alias("source_table"), block_key().alias("record_key"), text_of_block("block_json").alias("text"))
 
 
+@F.pandas_udf(T.StringType())
+def suspect_text_of_block(s: pd.Series) -> pd.Series:
+    return s.map(lambda raw: block_text(raw) if unicode_forms.json_suspect(raw) else None, na_action="ignore")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """Titles and block texts whose stored form needs a change; a block whose JSON has none of the suspect characters, themselves or escaped, is left out before it is parsed."""
-    stored = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS).where(F.col("block_json").rlike(unicode_forms.SUSPECT_JSON_JAVA))
-    texts = _titles(spark, d).unionByName(_block_texts(spark, d, stored))
+    """Titles and block texts whose stored form needs a change; a block whose JSON has none of the suspect characters, themselves or escaped, is not parsed."""
+    stored = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS)
+    blocks = stored.select(F.lit("law_version_blocks").alias("source_table"), block_key().alias("record_key"), suspect_text_of_block("block_json").alias("text"))
+    texts = _titles(spark, d).unionByName(blocks)
     return unicode_forms.unify(texts, "text").where(F.size("form.findings") > 0).select("source_table", "record_key").distinct()
 
 

@@ -6,9 +6,8 @@ characters removed, and look-alike letters brought into the script of their
 word. Superscripts, fractions, circled signs, the micro sign and typographic
 punctuation carry meaning and stay. Words wholly in another script stay.
 
-``unify`` sends only texts with a character outside the plain ranges to Python
-(the others are handed over as null and never cross the Arrow boundary), and
-there each distinct value of a batch is worked once.
+``unify`` works each distinct value of an Arrow batch once, and a text without
+a character outside the plain ranges only for that one look.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +27,14 @@ PLAIN = (
     r"\u2010-\u2027\u2030-\u205e\u20a0-\u20c0\u2100-\u27bf"
 )
 _SUSPECT = re.compile(f"[^{PLAIN}]")
-#: The same for Java's expressions.
-SUSPECT_JAVA = "[^" + PLAIN + "]"
-#: A JSON text in which such a character may stand, itself or as an escape (more than needed is harmless).
-SUSPECT_JSON_JAVA = SUSPECT_JAVA + r"|\\u(?!00)|\\u00[89]|\\u00[aA][0dD]"
+#: Escapes in JSON under which such a character may stand (more than needed is harmless).
+_ESCAPED = re.compile(r"\\u(?!00)|\\u00[89]|\\u00[aA][0dD]")
+
+
+def json_suspect(raw: str) -> bool:
+    """Whether a JSON text may hold a character outside the plain ranges, itself or escaped."""
+    return _SUSPECT.search(raw) is not None or ("\\u" in raw and _ESCAPED.search(raw) is not None)
+
 
 #: Decomposition kinds that are mere forms of the same letter.
 _FORMS = ("<wide>", "<narrow>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>", "<small>")
@@ -147,10 +150,7 @@ def unify(df: DataFrame, text: str, out: str = "form") -> DataFrame:
     """Adds ``out``: struct<text, form_key, findings> for the string column ``text``.
 
     Null gives null. An empty text is its own form. Texts in plain characters
-    keep their text and are folded in the JVM; an existing column ``out`` is
+    only stay as they are, after one look. An existing column ``out`` is
     replaced, other columns stay.
     """
-    c = F.col(text)
-    odd = c.rlike(SUSPECT_JAVA)
-    plain: Column = F.struct(c.alias("text"), F.replace(F.lower(c), F.lit("ß"), F.lit("ss")).alias("form_key"), F.array().cast("array<string>").alias("findings"))
-    return df.withColumn("_odd", _unify_udf(F.when(odd | c.rlike(r"[\u00b5\u0130\u0149\u017f\u01f0\u0345\u1e96-\u1e9e]"), c))).withColumn(out, F.when(c.isNull(), F.lit(None)).when(F.col("_odd.text").isNotNull(), F.col("_odd")).otherwise(plain)).drop("_odd")
+    return df.withColumn(out, _unify_udf(F.col(text)))
