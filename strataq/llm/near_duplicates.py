@@ -6,9 +6,10 @@
    filled one by a fixed order of probes, the same for all texts.
 3. Bands of bins are bucket keys; two numbers a band go through the exchange.
    Within a bucket, sorted by class, only star edges from the first ``STARS``
-   classes to the others are candidates, so a bucket of m classes gives at most
-   STARS * m pairs, from a stream that holds STARS rows. The sort order differs
-   from band to band, so in a large bucket other classes are centres each time.
+   classes to the others count, so a bucket of m classes gives at most STARS * m
+   pairs, from a stream that holds STARS rows. The sort order differs from band
+   to band, so in a large bucket other classes are centres each time. A pair
+   with edges in ``SHARED`` bands is a candidate.
 4. Candidates are verified by their exact word shingles; texts are fetched for
    the classes among the candidates only.
 
@@ -30,8 +31,8 @@ from pyspark.sql import types as T
 
 from strataq.session import cut
 
-#: Bands and bins per band. A pair of similarity 0.7 shares at least one band with a probability of 0.997, one of 0.75 with 0.9999.
-BANDS, ROWS = 32, 5
+#: Bands, bins per band, and bands that a candidate pair must share. A pair of similarity 0.7 shares that many with a probability of 0.995, one of 0.75 with 0.9996.
+BANDS, ROWS, SHARED = 28, 4, 2
 #: Centres of a bucket.
 STARS = 8
 #: Most candidate classes that are broadcast to the rows they are looked up in; beyond, the two are joined by a shuffle.
@@ -190,14 +191,16 @@ def star_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # a bucket that goes on beyond STARS rows only grows by members: its last row stays, so that repeats are still known
         tail = x[starts[-1] :]
         head = tail if len(tail) <= STARS else np.concatenate([tail[:STARS], tail[-1:]])
-        if pairs and len(p := np.unique(np.concatenate(pairs), axis=0)):
-            yield pd.DataFrame({"a": p[:, 0], "b": p[:, 1]})
+        if pairs and sum(map(len, pairs)):
+            p, n = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+            yield pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "n": n})
 
 
 def candidate_edges(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int) -> DataFrame:
     """Distinct candidate pairs of classes (a < b) of rows(source_table, class_id, payload)."""
     banded = rows.mapInPandas(lambda it: band_rows(it, text_of, least_words, shingle), "bucket long, code long")
-    return banded.repartition("bucket").sortWithinPartitions("bucket", "code").mapInPandas(star_edges, "a long, b long").distinct()
+    edges = banded.repartition("bucket").sortWithinPartitions("bucket", "code").mapInPandas(star_edges, "a long, b long, n long")
+    return edges.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
 
 
 def _similarity(text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Callable[[Column, Column], Column]:
@@ -247,26 +250,31 @@ class Duplicates:
         rows = texts.select(*[F.col(c).cast("string").alias(c) for c in cols]).where("payload IS NOT NULL AND source_table IS NOT NULL AND record_key IS NOT NULL")
         rows = rows.withColumn("class_id", F.xxhash64("source_table", "payload"))
         edges = cut(candidate_edges(rows.select("source_table", "class_id", "payload"), text_of, least_words, shingle))
-        touched = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
-        owner = F.coalesce("owner", F.lit("\u0000"))
+        linked = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
+        owner = F.xxhash64(F.coalesce("owner", F.lit("\u0000")))
         classes = (
-            rows.groupBy("class_id")
-            .agg(F.min("source_table").alias("source_table"), F.min(owner).alias("o1"), F.max(owner).alias("o2"), F.count("*").alias("n"), F.min("record_key").alias("r"))
-            .join(touched, "class_id", "left")
-            .where(F.col("linked") | (F.col("o1") != F.col("o2")))
+            rows.select("class_id", owner.alias("o"), F.xxhash64("record_key").alias("k"))
+            .groupBy("class_id")
+            .agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.min("k").alias("k"))
+            .join(linked, "class_id", "left")
+            .where(F.col("linked") | (F.col("lo") != F.col("hi")))
         )
-        classes = cut(classes)
-        side = lambda x: classes.select(F.col("class_id").alias(x), *[F.col(c).alias(c + x) for c in ("o1", "o2", "n", "r")], *([F.col("source_table")] if x == "a" else []))
-        pairs = edges.join(side("a"), "a").join(side("b"), "b").where(~((F.col("o1a") == F.col("o2a")) & (F.col("o1b") == F.col("o2b")) & (F.col("o1a") == F.col("o1b"))))
-        copies = classes.where("o1 != o2").select("source_table", F.col("class_id").alias("a"), F.col("class_id").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"), F.col("r").alias("ra"), F.col("r").alias("rb"))
-        pairs = cut(pairs.select("source_table", "a", "b", "na", "nb", "ra", "rb").unionByName(copies))
-        wanted = pairs.select(F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("class_id"), F.col("ra").alias("r")), F.struct(F.col("b").alias("class_id"), F.col("rb").alias("r"))))).alias("x")).select("x.*").distinct()
-        chosen = cut(rows.join(_few(wanted), "class_id").select("source_table", "class_id", "record_key", "owner", F.when(F.col("record_key") == F.col("r"), F.col("payload")).alias("payload")))
+        classes = cut(classes.drop("linked"))
+        side = lambda x: classes.select(*[F.col(c).alias(n) for c, n in (("class_id", x), ("lo", "lo" + x), ("hi", "hi" + x))])
+        pairs = edges.join(side("a"), "a").join(side("b"), "b").where("NOT (loa = hia AND lob = hib AND loa = lob)").select("a", "b")
+        copies = classes.where("lo != hi").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
+        pairs = cut(pairs.unionByName(copies))
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().join(classes.select("class_id", "k"), "class_id")
+        # the payload of one key of each class is enough
+        payload = F.when(F.xxhash64("record_key") == F.col("k"), F.col("payload"))
+        chosen = cut(rows.join(_few(wanted), "class_id").select("source_table", "class_id", "record_key", "owner", payload.alias("payload")))
         reps = chosen.where("payload IS NOT NULL").dropDuplicates(["class_id"])
         score = _similarity(text_of, least_words, shingle)
-        scored = pairs.join(reps.select(F.col("class_id").alias("a"), F.col("payload").alias("pa")), "a").join(reps.select(F.col("class_id").alias("b"), F.col("payload").alias("pb")), "b").withColumn("similarity", score("pa", "pb"))
-        self.links = cut(scored.where(F.col("similarity") >= threshold).drop("pa", "pb"))
-        kept = self.links.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("class_id")).distinct()
+        scored = pairs.join(reps.select("source_table", F.col("class_id").alias("a"), F.col("payload").alias("pa")), "a").join(reps.select(F.col("class_id").alias("b"), F.col("payload").alias("pb")), "b").withColumn("similarity", score("pa", "pb"))
+        links = scored.where(F.col("similarity") >= threshold).drop("pa", "pb")
+        sizes = chosen.groupBy("class_id").agg(F.count("*").alias("n"), F.min("record_key").alias("r"))
+        self.links = cut(links.join(sizes.withColumnsRenamed({"class_id": "a", "n": "na", "r": "ra"}), "a").join(sizes.withColumnsRenamed({"class_id": "b", "n": "nb", "r": "rb"}), "b"))
+        kept = self.links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
         self.members = chosen.drop("payload").distinct().join(kept, "class_id", "left_semi")
 
     def key_pairs(self) -> DataFrame:

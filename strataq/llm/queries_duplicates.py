@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataq.llm.near_duplicates import Duplicates
 from strataq.operators.blocks import BLOCK_KEYS, assemble_parts, block_text
+from strataq.operators.deliveries import latest_rows
 from strataq.session import table
 
 #: As the task states them for these tables.
@@ -23,8 +24,8 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
     blocks = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS).select(
         F.lit("law_version_blocks").alias("source_table"), F.concat_ws("|", "norm_id", "version_id", F.col("block_index").cast("string")).alias("record_key"), F.col("norm_id").alias("owner"), F.col("block_json").alias("payload")
     )
-    latest = table(spark, d, "law_versions").groupBy("norm_id", "version_id").agg(F.max(F.struct("updated_at", "version_json")).alias("v"))
-    fields = F.from_json("v.version_json", "title string, summary string, citation string, changeNote string")
+    latest = latest_rows(table(spark, d, "law_versions"), ["norm_id", "version_id"], "updated_at", ["version_json"])
+    fields = F.from_json("version_json", "title string, summary string, citation string, changeNote string")
     versions = latest.select("norm_id", "version_id", fields.alias("j")).select(
         F.lit("law_versions").alias("source_table"), F.concat_ws("|", "norm_id", "version_id").alias("record_key"), F.col("norm_id").alias("owner"),
         F.concat(F.lit("\n"), F.concat_ws("\n", "j.title", "j.summary", "j.citation", "j.changeNote")).alias("payload"),
