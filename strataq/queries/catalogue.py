@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strataq.queries import core_problems, quality, relational, search, temporal
+from strataq.queries import core_problems, documents, quality, relational, search, temporal
 
-MODULES = [core_problems, temporal, relational, search, quality]
+MODULES = [core_problems, temporal, relational, search, quality, documents]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
