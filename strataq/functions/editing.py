@@ -23,8 +23,8 @@ def sentences(text: str) -> list[str] | None:
         return None
     out, last = [], 0
     for m in _END.finditer(text):
-        part = text[last : m.start()]
-        if _SHORT.search(part) or part.count("(") != part.count(")") or part.count("„") != part.count("“"):
+        part = text[last : m.end()]
+        if _SHORT.search(text[last : m.start()]) or part.count("(") != part.count(")") or part.count("„") != part.count("“"):
             continue
         out.append(text[last : m.end()].strip())
         last = m.end()
