@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,13 +58,18 @@ def tokens(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Words of the normalised text; an empty array for null."""
-    return F.filter(F.split(F.coalesce(normalise(c), F.lit("")), " "), lambda x: x != "")
+    n = F.coalesce(normalise(c), F.lit(""))
+    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " "))
 
 
-def contains_any(text: Column, spellings: Column, prefix: bool = False) -> Column:
-    """Whether the normalised text holds one of the spellings as a whole word, or as the beginning of one."""
-    hay = F.concat(F.lit(" "), text, F.lit(" "))
-    return F.exists(spellings, lambda v: F.instr(hay, F.concat(F.lit(" "), v, F.lit("" if prefix else " "))) > 0)
+def contains_any(text: Column, spellings: list[str], prefix: bool = False) -> Column:
+    """Whether the normalised text, given with a blank before and behind, holds one of the spellings as a whole word, or as the beginning of one."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(f" {v}" if prefix else f" {v} ")) for v in spellings], F.lit(False))
+
+
+def padded(c: Column) -> Column:
+    """The normalised text between blanks, for contains_any."""
+    return F.concat(F.lit(" "), normalise(c), F.lit(" "))
 
 
 def sort_key(c: Column) -> Column:

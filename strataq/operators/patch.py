@@ -2,8 +2,9 @@
 
 A recipe is applied or refused as a whole. Every operation states what it
 expects to find (a hash, an old value, a number of hits), and anything else
-refuses it; nothing is guessed. Entities are independent, so recipes run per
-entity with ``applyInPandas``; within one they run in (effective date, order).
+refuses it; nothing is guessed. Entities are independent: an entity's recipes
+are gathered in (effective date, order) and meet its state in one row, and rows
+are worked in batches.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import copy
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -234,27 +235,31 @@ def consolidate(states: DataFrame, recipes: DataFrame, key: str) -> DataFrame:
     states(key, state_json), recipes(key, effective_date, seq, recipe_json).
     A refused recipe leaves the state and stops the entity's later recipes
     (``blocked``). Entities without recipes give nothing; recipes without a
-    state are refused. Null keys give nothing.
+    state are refused. Null keys give nothing; of several states the smallest
+    text holds.
     """
 
-    def run(names: tuple, s: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        rows, blocked = [], False
-        state = json.loads(s["state_json"].iloc[0]) if len(s) else None
-        for day, raw in r.sort_values(["effective_date", "seq"])[["effective_date", "recipe_json"]].itertuples(index=False):
-            if blocked:
-                rows.append((names[0], day, "blocked", "an earlier recipe was refused", None))
-                continue
-            try:
-                if state is None:
-                    raise Refused("no state")
-                state = apply_recipe(state, json.loads(raw))
-                rows.append((names[0], day, "applied", None, json.dumps(state, ensure_ascii=False)))
-            except (Refused, ValueError) as x:
-                blocked = True
-                rows.append((names[0], day, "refused", str(x), None))
-        return pd.DataFrame(rows, columns=[key, "effective_date", "status", "reason", "state_json"])
-
-    some = states.where(f"{key} IS NOT NULL").select(F.col(key).alias("_s"), "state_json")
-    wanted = recipes.where(f"{key} IS NOT NULL").select(F.col(key).alias("_r"), "effective_date", "seq", "recipe_json")
-    some = some.join(wanted.select(F.col("_r").alias("_k")).distinct(), F.col("_s") == F.col("_k"), "left_semi")
-    return some.groupBy("_s").cogroup(wanted.groupBy("_r")).applyInPandas(run, f"{key} string, effective_date string, status string, reason string, state_json string")
+    wanted = recipes.where(f"{key} IS NOT NULL").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("effective_date", "seq", "recipe_json"))).alias("ops"))
+    one = states.where(f"{key} IS NOT NULL").groupBy(key).agg(F.min("state_json").alias("state_json"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, stored, ops in zip(b[key], b["state_json"], b["ops"]):
+                state, blocked = json.loads(stored) if stored is not None else None, False
+                for op in ops:
+                    day = op["effective_date"]
+                    if blocked:
+                        rows.append((k, day, "blocked", "an earlier recipe was refused", None))
+                        continue
+                    try:
+                        if state is None:
+                            raise Refused("no state")
+                        state = apply_recipe(state, json.loads(op["recipe_json"]))
+                        rows.append((k, day, "applied", None, json.dumps(state, ensure_ascii=False)))
+                    except (Refused, ValueError, TypeError) as x:
+                        blocked = True
+                        rows.append((k, day, "refused", str(x), None))
+            yield pd.DataFrame(rows, columns=[key, "effective_date", "status", "reason", "state_json"])
+
+    return wanted.join(one, key, "left").select(key, "state_json", "ops").mapInPandas(run, f"{key} string, effective_date string, status string, reason string, state_json string")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
-from strataq.plans.search import Plan
+from strataq.plans.search import Plan, variants
 
 K1, B = 1.2, 0.75
 #: Weight of a word in the title against one in the body.
@@ -42,16 +42,14 @@ def bm25(documents: DataFrame, requests: dict[str, list[str]], doc: str = "doc_i
     The words of one request are alternatives. Empty texts count as documents.
     """
     wanted = sorted({w for ws in requests.values() for w in ws})
-    ask = F.array(*[F.lit(w) for w in wanted])
     tw, bw = tx.words(F.col(title)), tx.words(F.col(body))
     docs = documents.select(F.col(doc).alias("doc_id"), tw.alias("tw"), bw.alias("bw")).withColumn("dl", F.size("tw") + F.size("bw"))
     stats = docs.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_length"))
     hits = (
-        docs.select("doc_id", "dl", F.filter("tw", lambda x: F.array_contains(ask, x)).alias("tw"), F.filter("bw", lambda x: F.array_contains(ask, x)).alias("bw"))
-        .where((F.size("tw") > 0) | (F.size("bw") > 0))
-        .select("doc_id", "dl", F.explode(F.concat(F.transform("tw", lambda x: F.struct(x.alias("term"), F.lit(TITLE_WEIGHT).alias("w"))), F.transform("bw", lambda x: F.struct(x.alias("term"), F.lit(1).alias("w"))))).alias("x"))
-        .groupBy("doc_id", "dl", F.col("x.term").alias("term"))
-        .agg(F.sum("x.w").alias("f"))
+        docs.select("doc_id", "dl", F.posexplode(F.concat("tw", "bw")).alias("pos", "term"), F.size("tw").alias("n_title"))
+        .where(F.col("term").isin(wanted))
+        .groupBy("doc_id", "dl", "term")
+        .agg(F.sum(F.when(F.col("pos") < F.col("n_title"), TITLE_WEIGHT).otherwise(1)).alias("f"))
     )
     df = hits.groupBy("term").agg(F.count("*").alias("n"))
     ask_rows = documents.sparkSession.createDataFrame([(r, w) for r, ws in requests.items() for w in dict.fromkeys(ws)], "request string, term string")
@@ -66,12 +64,10 @@ def bm25(documents: DataFrame, requests: dict[str, list[str]], doc: str = "doc_i
     )
 
 
-def _has(text: Column, plan: Plan, words_only: bool = False) -> Column:
-    """All words and phrases of the plan stand in the normalised text."""
-    tests = [tx.contains_any(text, F.array(*[F.lit(v) for v in t.variants]), t.prefix and not words_only) for t in plan.tokens]
-    from strataq.plans.search import variants
-
-    tests += [tx.contains_any(text, F.array(*[F.lit(v) for v in variants(p)])) for p in plan.phrases]
+def _has(text: Column, plan: Plan) -> Column:
+    """All words and phrases of the plan stand in the padded text."""
+    tests = [tx.contains_any(text, list(t.variants), t.prefix) for t in plan.tokens]
+    tests += [tx.contains_any(text, variants(p)) for p in plan.phrases]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
@@ -82,20 +78,19 @@ def match_kinds(units: DataFrame, plans: dict[str, Plan]) -> DataFrame:
     falls back to documents whose units together hold all words; both are
     found in the same pass, one row per unit and request that holds any word.
     """
-    norm_title, norm_unit = tx.normalise(F.col("title")), tx.normalise(F.col("body"))
-    base = units.select("doc_id", "unit_index", norm_title.alias("t"), norm_unit.alias("u"))
-    both = F.concat_ws(" ", "t", "u")
+    base = units.select("doc_id", "unit_index", tx.padded(F.col("title")).alias("t"), tx.padded(F.col("body")).alias("u")).withColumn("both", F.concat("t", "u"))
+    t, u, both = F.col("t"), F.col("u"), F.col("both")
     rows = []
     for name, plan in plans.items():
-        per_word = [tx.contains_any(both, F.array(*[F.lit(v) for v in t.variants]), t.prefix) for t in plan.tokens]
+        per_word = [tx.contains_any(both, list(x.variants), x.prefix) for x in plan.tokens]
         rows.append(
             F.when(
                 reduce(lambda a, b: a | b, per_word, F.lit(False)),
                 F.struct(
                     F.lit(name).alias("request"),
-                    F.col("t").isin(plan.identity).alias("identity"),
-                    _has(F.col("t"), plan).alias("in_title"),
-                    _has(F.col("u"), plan).alias("in_unit"),
+                    t.isin([f" {v} " for v in plan.identity]).alias("identity"),
+                    _has(t, plan).alias("in_title"),
+                    _has(u, plan).alias("in_unit"),
                     _has(both, plan).alias("strict"),
                     sum((F.when(w, 1 << k).otherwise(0) for k, w in enumerate(per_word)), F.lit(0)).cast("long").alias("mask"),
                     F.lit((1 << len(plan.tokens)) - 1).cast("long").alias("full"),

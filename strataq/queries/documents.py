@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from strataq.operators import patch, trees
 from strataq.operators.blocks import BLOCK_KEYS, assemble_parts
-from strataq.session import table
+from strataq.session import spread, table
 from strataq.streaming import events as ev
 
 
 def _stored(spark, d):
-    return assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS)
+    return assemble_parts(spread(table(spark, d, "law_version_blocks")), BLOCK_KEYS)
 
 
 def block_type_histogram(spark, d):

@@ -8,7 +8,7 @@ from strataq.functions import text as tx
 from strataq.operators import search_index as si
 from strataq.plans.search import build_plan, normalise
 from strataq.queries.temporal import norms_now, versions_now
-from strataq.session import table
+from strataq.session import spread, table
 
 REQUESTS = {
     "register": "Verzeichnis Forstfläche", "penalty": "Zwangsgeld Planungsstelle", "prefix": "Einwendungen Kirchen", "title": "Verordnung Kitanutzung", "english": "harbour permit", "phrase": "„im öffentlichen Interesse“ Lärmaufsicht",
@@ -60,30 +60,29 @@ def phrase_contains(spark, d):
 
 
 def token_contains(spark, d):
-    t = tx.normalise(F.col("text"))
-    hit = lambda w, p: tx.contains_any(t, F.array(F.lit(w)), p)
-    return table(spark, d, "documents").select("doc_id", hit("strassen", True).alias("as_prefix"), hit("kitanutzung", False).alias("as_word"))
+    t = table(spark, d, "documents").select("doc_id", tx.padded(F.col("text")).alias("t"))
+    return t.select("doc_id", tx.contains_any(F.col("t"), ["strassen"], True).alias("as_prefix"), tx.contains_any(F.col("t"), ["kitanutzung"]).alias("as_word"))
 
 
 def conjunct_intersection(spark, d):
     """Documents that hold every word, each in some unit, in one pass."""
     want = ["zwangsgeld", "vorschriften", "eigentumer"]
-    u = si.units_of(table(spark, d, "documents")).select("doc_id", F.explode(F.array_intersect(tx.words(F.col("body")), F.array(*map(F.lit, want)))).alias("w"))
+    u = si.units_of(spread(table(spark, d, "documents"))).select("doc_id", F.explode(F.array_intersect(tx.words(F.col("body")), F.array(*map(F.lit, want)))).alias("w"))
     return u.groupBy("doc_id").agg(F.countDistinct("w").alias("n")).where(F.col("n") == len(want)).select("doc_id")
 
 
 def search_snippet(spark, d):
-    u = si.units_of(table(spark, d, "documents")).where("unit_index > 0")
+    u = si.units_of(spread(table(spark, d, "documents"))).where("unit_index > 0")
     return u.select("doc_id", "unit_index", tx.snippet(F.lit(""), F.col("heading"), F.col("body"), 120).alias("snippet"))
 
 
 def word_postings(spark, d):
-    p = si.postings(table(spark, d, "documents"), ["doc_id"], "text")
+    p = si.postings(spread(table(spark, d, "documents")), ["doc_id"], "text")
     return p.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.substring_index(F.coalesce("text", F.lit("")), "\n", 1).alias("title"), F.coalesce("text", F.lit("")).alias("body"))
+    return spread(table(spark, d, "documents")).select("doc_id", F.substring_index(F.coalesce("text", F.lit("")), "\n", 1).alias("title"), F.coalesce("text", F.lit("")).alias("body"))
 
 
 def _words(name):
@@ -95,19 +94,19 @@ def bm25_search(spark, d):
 
 
 def search_and_first(spark, d):
-    u = si.units_of(table(spark, d, "documents"))
+    u = si.units_of(spread(table(spark, d, "documents")))
     m = si.match_kinds(u, {n: build_plan(q) for n, q in REQUESTS.items()})
     return m.where("strict").select("request", "doc_id")
 
 
 def search_match_kinds(spark, d):
-    u = si.units_of(table(spark, d, "documents"))
+    u = si.units_of(spread(table(spark, d, "documents")))
     return si.match_kinds(u, {n: build_plan(q) for n, q in REQUESTS.items()}).select("request", "doc_id", "kind", "strict")
 
 
 def search_ranked(spark, d):
     """Kinds first, then the score; ten hits a request."""
-    u = si.units_of(table(spark, d, "documents"))
+    u = si.units_of(spread(table(spark, d, "documents")))
     plans = {n: build_plan(q) for n, q in REQUESTS.items()}
     return si.ranked(si.match_kinds(u, plans), si.bm25(_docs(spark, d), {n: _words(n) for n in plans}), 10)
 

@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as there are cores, where its source has fewer splits (one small file is one split): for work that costs far more than moving its rows. Larger sources stay as they are split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 64) else df
+
+
 def _shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir); a local one only where it is unset and the master is local."""
     said = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
