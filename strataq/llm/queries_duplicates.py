@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataq.llm.near_duplicates import Duplicates
 from strataq.operators.blocks import BLOCK_KEYS, assemble_parts, block_text
 from strataq.operators.deliveries import latest_rows
-from strataq.session import table
+from strataq.session import spread, table
 
 #: As the task states them for these tables.
 THRESHOLD, SHINGLE, LEAST_WORDS = 0.7, 3, 40
@@ -21,7 +21,7 @@ def _text_of(payload: str) -> str | None:
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     """Stored blocks and the texts of the latest version rows, keyed and owned by their norm."""
-    blocks = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS).select(
+    blocks = assemble_parts(spread(table(spark, d, "law_version_blocks")), BLOCK_KEYS).select(
         F.lit("law_version_blocks").alias("source_table"), F.concat_ws("|", "norm_id", "version_id", F.col("block_index").cast("string")).alias("record_key"), F.col("norm_id").alias("owner"), F.col("block_json").alias("payload")
     )
     latest = latest_rows(table(spark, d, "law_versions"), ["norm_id", "version_id"], "updated_at", ["version_json"])

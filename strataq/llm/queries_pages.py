@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataq.llm import packing, page_shapes
-from strataq.session import table
+from strataq.session import spread, table
 
 
 def _capacities(spark: SparkSession, d: str) -> dict[str, int]:
@@ -15,7 +15,7 @@ def _capacities(spark: SparkSession, d: str) -> dict[str, int]:
 
 
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(table(spark, d, "documents"), _capacities(spark, d))
+    return packing.pack(spread(table(spark, d, "documents")), _capacities(spark, d))
 
 
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -25,11 +25,11 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return page_shapes.stuffed_pages(table(spark, d, "documents"))
+    return page_shapes.stuffed_pages(spread(table(spark, d, "documents")))
 
 
 def p9_profiles(spark: SparkSession, d: str) -> DataFrame:
-    return page_shapes.profile_pages(table(spark, d, "documents"))
+    return page_shapes.profile_pages(spread(table(spark, d, "documents")))
 
 
 QUERIES = {"p7_packed": p7_packed, "p7_fill": p7_fill, "p9_found": p9_found, "p9_profiles": p9_profiles}

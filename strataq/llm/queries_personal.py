@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataq.llm.personal_data import redact
-from strataq.session import table
+from strataq.session import spread, table
 
 #: A key for the queries; a real one comes from the caller's secret store.
 KEY = b"strataq example key"
 
 
 def _redacted(spark: SparkSession, d: str) -> DataFrame:
-    reports = table(spark, d, "feedback_reports").where("id IS NOT NULL")
+    reports = spread(table(spark, d, "feedback_reports")).where("id IS NOT NULL")
     fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("description", "contact_email")]))
     long = reports.select(F.col("id").alias("report_id"), "revision", fields.alias("x")).select("report_id", "revision", "x.field", "x.value").where("value IS NOT NULL")
     return redact(long, "value", KEY)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from strataq.llm import chunking, leakage, unicode_forms
 from strataq.operators.blocks import BLOCK_KEYS, assemble_parts, block_text
-from strataq.session import table
+from strataq.session import spread, table
 
 
 def block_key():
@@ -26,7 +26,7 @@ def _titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _block_texts(spark: SparkSession, d: str) -> DataFrame:
-    stored = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS)
+    stored = assemble_parts(spread(table(spark, d, "law_version_blocks")), BLOCK_KEYS)
     return stored.select(F.lit("law_version_blocks").alias("source_table"), block_key().alias("record_key"), text_of_block("block_json").alias("text"))
 
 
@@ -37,7 +37,7 @@ def suspect_text_of_block(s: pd.Series) -> pd.Series:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Titles and block texts whose stored form needs a change; a block whose JSON has none of the suspect characters, themselves or escaped, is not parsed."""
-    stored = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS)
+    stored = assemble_parts(spread(table(spark, d, "law_version_blocks")), BLOCK_KEYS)
     blocks = stored.select(F.lit("law_version_blocks").alias("source_table"), block_key().alias("record_key"), suspect_text_of_block("block_json").alias("text"))
     texts = _titles(spark, d).unionByName(blocks)
     return unicode_forms.unify(texts, "text").where(F.size("form.findings") > 0).select("source_table", "record_key").distinct()
@@ -71,7 +71,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaks(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
 
 
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +80,7 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.remove_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.remove_leaks(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
 
 
 # The tree of a whole block, all values, in DuckDB.
