@@ -7,9 +7,12 @@
 3. Bands of bins are bucket keys; two numbers a band go through the exchange.
    Within a bucket, sorted by class, only star edges from the first ``STARS``
    classes to the others count, so a bucket of m classes gives at most STARS * m
-   pairs, from a stream that holds STARS rows. The sort order differs from band
-   to band, so in a large bucket other classes are centres each time. A pair
-   with edges in ``SHARED`` bands is a candidate.
+   pairs, from a stream that holds STARS rows. Half of the bands sort alike, so
+   that in a large family the same centres meet the same members again and
+   again; the others each sort differently, so that other classes are centres.
+   A pair with edges in ``SHARED`` bands is a candidate. Buckets that are hot
+   within a batch are reduced to stars before the exchange: only their centres
+   go on, so a bucket with a third of all classes is no hot task.
 4. Candidates are verified by their exact word shingles; texts are fetched for
    the classes among the candidates only.
 
@@ -35,6 +38,8 @@ from strataq.session import cut
 BANDS, ROWS, SHARED = 28, 4, 2
 #: Centres of a bucket.
 STARS = 8
+#: Rows of one bucket in a batch from which it is reduced to a star before the exchange.
+HOT = 64
 #: Most candidate classes that are broadcast to the rows they are looked up in; beyond, the two are joined by a shuffle.
 BROADCAST_CLASSES = 1_000_000
 #: Most key pairs into which one pair of classes is written out; beyond, each key is paired with the other class's representative.
@@ -125,8 +130,37 @@ def band_keys(sig: np.ndarray, salt: np.ndarray) -> np.ndarray:
     return (h & ~np.uint64(63)) | np.arange(BANDS, dtype=np.uint64)
 
 
+#: The last six bits of a row's first number: its band, or this for an edge. Class ids have them zero.
+_EDGE = np.uint64(63)
+
+
 def _masks() -> np.ndarray:
-    return _mixed(np.arange(BANDS, dtype=np.uint64) + np.uint64(99))
+    """The sort order of each band: ids are compared under its mask."""
+    m = _mixed(np.arange(BANDS, dtype=np.uint64) + np.uint64(99))
+    m[: BANDS // 2] = m[0]
+    return m
+
+
+def _reduced(keys: np.ndarray, codes: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, code) rows of a batch with its hot buckets as stars: their first STARS rows stay, the others become edges (centre or edge mark, member)."""
+    if len(keys) <= HOT:
+        return keys, codes
+    order = np.lexsort((codes.view(np.int64), keys))
+    keys, codes = keys[order], codes[order]
+    starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+    sizes = np.diff(np.concatenate([starts, [len(keys)]]))
+    if sizes.max() <= HOT:
+        return keys, codes
+    first, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
+    rank = np.arange(len(keys)) - first
+    out_keys, out_codes = [], []
+    ids = codes ^ masks[(keys & _EDGE).astype(np.int64)]
+    for k in range(STARS):
+        at = np.flatnonzero((size > HOT) & (rank > k))
+        out_keys.append(ids[first[at] + k] | _EDGE)
+        out_codes.append(ids[at])
+    stays = (size <= HOT) | (rank < STARS)
+    return np.concatenate([keys[stays], *out_keys]), np.concatenate([codes[stays], *out_codes])
 
 
 #: Classes a task remembers so as not to work them twice.
@@ -134,7 +168,7 @@ _REMEMBERED = 1_000_000
 
 
 def band_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Iterator[pd.DataFrame]:
-    """From (source_table, class_id, payload): (bucket, code) for each band, code being the class id under the band's mask; texts of fewer words give none."""
+    """From (source_table, class_id, payload): (bucket, code) for each band, code being the class id under the band's mask, or an edge; texts of fewer words give none."""
     masks, seen = _masks(), set()
     for b in batches:
         ids, flat, doc, salt = [], [], [], []
@@ -156,19 +190,25 @@ def band_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | No
         if not ids:
             continue
         sig = one_permutation(np.concatenate(flat), np.concatenate(doc), len(ids), BANDS * ROWS)
-        keys = band_keys(sig, np.array(salt, dtype=np.uint64))
         codes = np.array(ids, dtype=np.int64).view(np.uint64)[:, None] ^ masks[None, :]
-        yield pd.DataFrame({"bucket": keys.ravel().view(np.int64), "code": codes.ravel().view(np.int64)})
+        keys, codes = _reduced(band_keys(sig, np.array(salt, dtype=np.uint64)).ravel(), codes.ravel(), masks)
+        yield pd.DataFrame({"bucket": keys.view(np.int64), "code": codes.view(np.int64)})
 
 
 def star_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Star edges (a < b) of rows sorted by (bucket, code); the first STARS different classes of the last bucket go on into the next batch."""
+    """Star edges (a < b) with their number, of rows sorted by (bucket, code); edges among the rows are passed on. The first STARS different classes of the last bucket go on into the next batch."""
     masks = _masks()
     head = np.empty((0, 2), dtype=np.int64)
     for b in batches:
-        if not len(b):
-            continue
         rows = b[["bucket", "code"]].to_numpy(dtype=np.int64)
+        ready = (rows[:, 0] & 63) == 63
+        if ready.any():
+            c, d = rows[ready, 0] & ~np.int64(63), rows[ready, 1]
+            p, n = np.unique(np.stack([np.minimum(c, d), np.maximum(c, d)], axis=1), axis=0, return_counts=True)
+            yield pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "n": n})
+            rows = rows[~ready]
+        if not len(rows):
+            continue
         if len(head) and head[0, 0] != rows[0, 0]:
             head = head[:0]
         x = np.concatenate([head, rows])
@@ -248,7 +288,7 @@ class Duplicates:
     def __init__(self, texts: DataFrame, threshold: float = 0.8, shingle: int = 5, least_words: int = 5, text_of: Callable[[str], str | None] = lambda x: x) -> None:
         cols = ["source_table", "record_key", "owner", "payload"]
         rows = texts.select(*[F.col(c).cast("string").alias(c) for c in cols]).where("payload IS NOT NULL AND source_table IS NOT NULL AND record_key IS NOT NULL")
-        rows = rows.withColumn("class_id", F.xxhash64("source_table", "payload"))
+        rows = rows.withColumn("class_id", F.xxhash64("source_table", "payload").bitwiseAND(F.lit(~63)))
         edges = cut(candidate_edges(rows.select("source_table", "class_id", "payload"), text_of, least_words, shingle))
         linked = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
         owner = F.xxhash64(F.coalesce("owner", F.lit("\u0000")))

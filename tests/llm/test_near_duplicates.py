@@ -79,6 +79,35 @@ def test_hot_copies_keep_their_links(spark, monkeypatch):
     assert any(r["left_key"][0] == "c" and r["right_key"][0] == "d" for r in pairs)
 
 
+def test_large_family_stays_connected(spark, rows):
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(90)]
+    data = []
+    for i in range(700):
+        w = list(base)
+        for _ in range(3):
+            w[r.randrange(90)] = f"v{r.randrange(50)}"
+        data.append(("a", f"k{i:03}", f"o{i}", " ".join(w), "", 0))
+    for n in (1, 7):
+        dup = nd.Duplicates(spark.createDataFrame(data, S).repartition(n), 0.7, 3, 40)
+        groups = dup.groups().collect()
+        assert len(groups) == 700 and len({g["group_id"] for g in groups}) == 1
+        assert dup.links.count() < 700 * nd.STARS * 8
+        assert all(len(shingles(data[int(a[1:])][3], 3) & shingles(data[int(b[1:])][3], 3)) >= 0.7 * len(shingles(data[int(a[1:])][3], 3) | shingles(data[int(b[1:])][3], 3)) for _, a, b in rows(dup.key_pairs())[:500])
+
+
+def test_hot_buckets_become_stars_before_the_exchange():
+    masks = nd._masks()
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 2**58, 500, dtype=np.uint64) << np.uint64(6)
+    keys = np.concatenate([np.full(500, 3 << 6 | 5), (np.arange(500) << 8) | 9]).astype(np.uint64)
+    codes = np.concatenate([ids ^ masks[5], ids ^ masks[9]])
+    k, c = nd._reduced(keys, codes, masks)
+    edges = (k & np.uint64(63)) == 63
+    assert (~edges).sum() == 500 + nd.STARS and edges.sum() == sum(range(500 - nd.STARS, 500))
+    assert set((k[edges] & ~np.uint64(63)).tolist()) <= set(ids.tolist()) >= set(c[edges].tolist())
+
+
 def test_large_bucket_is_linear():
     import pandas as pd
 
