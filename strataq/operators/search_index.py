@@ -44,7 +44,7 @@ def bm25(documents: DataFrame, requests: dict[str, list[str]], doc: str = "doc_i
     wanted = sorted({w for ws in requests.values() for w in ws})
     tw, bw = tx.words(F.col(title)), tx.words(F.col(body))
     docs = documents.select(F.col(doc).alias("doc_id"), tw.alias("tw"), bw.alias("bw")).withColumn("dl", F.size("tw") + F.size("bw"))
-    stats = docs.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_length"))
+    n_docs, avg_length = docs.agg(F.count("*").alias("x")).scalar(), docs.agg(F.avg("dl").alias("x")).scalar()  # two scalar subqueries over one scan each
     hits = (
         docs.select("doc_id", "dl", F.posexplode(F.concat("tw", "bw")).alias("pos", "term"), F.size("tw").alias("n_title"))
         .where(F.col("term").isin(wanted))
@@ -53,12 +53,11 @@ def bm25(documents: DataFrame, requests: dict[str, list[str]], doc: str = "doc_i
     )
     df = hits.groupBy("term").agg(F.count("*").alias("n"))
     ask_rows = documents.sparkSession.createDataFrame([(r, w) for r, ws in requests.items() for w in dict.fromkeys(ws)], "request string, term string")
-    idf = F.greatest(F.log((F.col("n_docs") - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(1e-6))
-    weight = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("dl") / F.col("avg_length")))
+    idf = F.greatest(F.log((n_docs - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(1e-6))
+    weight = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("dl") / avg_length))
     return (
         hits.join(F.broadcast(ask_rows), "term")
         .join(F.broadcast(df), "term")  # one row per word of the requests
-        .crossJoin(F.broadcast(stats))  # one row
         .groupBy("request", "doc_id")
         .agg(F.round(-F.sum(weight), 6).alias("score"))
     )
