@@ -139,17 +139,23 @@ def _sql_kinds() -> str:
         words = ", ".join(f"bool_or(({' OR '.join(f'''contains(' ' || t || ' ' || x || ' ', ' {v}{'' if t.prefix else ' '}')''' for v in t.variants)})) AS w{k}" for k, t in enumerate(p.tokens))
         relaxed = " AND ".join(f"w{k}" for k in range(len(p.tokens)))
         both = "(t || ' ' || x)"
-        parts.append(f"SELECT '{name}' AS request, doc_id, ident, in_title, in_unit, strict, {relaxed} AS relaxed FROM (SELECT doc_id, bool_or({ident}) AS ident, bool_or({_sql_has('t', p)}) AS in_title, bool_or({_sql_has('x', p)}) AS in_unit, bool_or({_sql_has(both, p)}) AS strict, {words} FROM n GROUP BY doc_id)")
-    return _U + ", k AS (" + " UNION ALL ".join(parts) + "), r AS (SELECT *, bool_or(strict) OVER (PARTITION BY request) AS any_strict FROM k), hits AS (SELECT request, doc_id, CASE WHEN ident THEN 'identity' WHEN in_title THEN 'title' WHEN in_unit THEN 'unit' ELSE 'body' END AS kind, strict FROM r WHERE CASE WHEN any_strict THEN strict ELSE relaxed END) "
+        parts.append(f"SELECT '{name}' AS request, doc_id, ident, in_title, in_unit, bu, strict, {relaxed} AS relaxed FROM (SELECT doc_id, bool_or({ident}) AS ident, bool_or({_sql_has('t', p)}) AS in_title, bool_or({_sql_has('x', p)}) AS in_unit, min(unit_index) FILTER ({_sql_has('x', p)}) AS bu, bool_or({_sql_has(both, p)}) AS strict, {words} FROM n GROUP BY doc_id)")
+    return _U + ", k AS (" + " UNION ALL ".join(parts) + "), r AS (SELECT *, bool_or(strict) OVER (PARTITION BY request) AS any_strict FROM k), hits AS (SELECT request, doc_id, CASE WHEN ident THEN 'identity' WHEN in_title THEN 'title' WHEN in_unit THEN 'unit' ELSE 'body' END AS kind, strict, CASE WHEN NOT ident AND NOT in_title THEN bu END AS best_unit FROM r WHERE CASE WHEN any_strict THEN strict ELSE relaxed END) "
 
 
 _W = f"CASE WHEN {_norm('text')} = '' THEN [] ELSE string_split({_norm('text')}, ' ') END"
-_BM = f"""WITH dd AS (SELECT doc_id, string_split({_norm("split_part(coalesce(text, ''), chr(10), 1)")}, ' ') AS tw, string_split({_norm("coalesce(text, '')")}, ' ') AS bw FROM documents),
+
+
+def _sql_bm25(names) -> str:
+    """Common table expressions that end in scored(request, doc_id, score)."""
+    return f"""dd AS (SELECT doc_id, string_split({_norm("split_part(coalesce(text, ''), chr(10), 1)")}, ' ') AS tw, string_split({_norm("coalesce(text, '')")}, ' ') AS bw FROM documents),
 dc AS (SELECT doc_id, list_filter(tw, lambda x: x <> '') AS tw, list_filter(bw, lambda x: x <> '') AS bw FROM dd),
 dl AS (SELECT doc_id, tw, bw, len(tw) + len(bw) AS dl FROM dc), st AS (SELECT count(*) AS nd, avg(dl) AS al FROM dl),
 h AS (SELECT doc_id, dl, term, sum(w) AS f FROM (SELECT doc_id, dl, unnest(tw) AS term, 10 AS w FROM dl UNION ALL SELECT doc_id, dl, unnest(bw), 1 FROM dl) GROUP BY ALL),
 df AS (SELECT term, count(*) AS n FROM h GROUP BY term),
-q AS (SELECT * FROM (VALUES {", ".join(f"('{n}', '{w}')" for n in ("register", "penalty", "english") for w in _words(n))}) v(request, term)) """
+q AS (SELECT DISTINCT * FROM (VALUES {", ".join(f"('{n}', '{w}')" for n in names for w in _words(n))}) v(request, term)),
+scored AS (SELECT request, doc_id, round(-sum(greatest(ln((nd - n + 0.5) / (n + 0.5)), 1e-6) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / al))), 6) AS score FROM h JOIN q USING (term) JOIN df USING (term), st GROUP BY request, doc_id) """
+
 
 _LN = "WITH lv AS (SELECT * FROM law_versions QUALIFY row_number() OVER (PARTITION BY norm_id, version_id ORDER BY updated_at DESC) = 1), ln AS (SELECT * FROM law_norms QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1) "
 
@@ -177,7 +183,8 @@ SQL = {
     "token_contains": f"SELECT doc_id, contains(' ' || {_norm('text')} || ' ', ' strassen') AS as_prefix, contains(' ' || {_norm('text')} || ' ', ' kitanutzung ') AS as_word FROM documents",
     "conjunct_intersection": _U + "SELECT doc_id FROM n GROUP BY doc_id HAVING bool_or(contains(' ' || x || ' ', ' zwangsgeld ')) AND bool_or(contains(' ' || x || ' ', ' vorschriften ')) AND bool_or(contains(' ' || x || ' ', ' eigentumer '))",
     "word_postings": f"SELECT term, count(*) AS df, sum(tf) AS cf FROM (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_W}) AS term FROM documents) GROUP BY ALL) GROUP BY term",
-    "bm25_search": _BM + "SELECT request, doc_id, round(-sum(greatest(ln((nd - n + 0.5) / (n + 0.5)), 1e-6) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / al))), 6) AS score FROM h JOIN q USING (term) JOIN df USING (term), st GROUP BY request, doc_id",
+    "bm25_search": "WITH " + _sql_bm25(["register", "penalty", "english"]) + "SELECT request, doc_id, score FROM scored",
+    "search_ranked": _sql_kinds().rstrip() + ", " + _sql_bm25(REQUESTS) + "SELECT request, doc_id, kind, position FROM (SELECT hits.request, hits.doc_id, kind, row_number() OVER (PARTITION BY hits.request ORDER BY CASE kind WHEN 'identity' THEN 0 WHEN 'title' THEN 2 WHEN 'unit' THEN 4 ELSE 5 END, best_unit NULLS FIRST, score NULLS LAST, hits.doc_id) AS position FROM hits LEFT JOIN scored ON scored.request = hits.request AND scored.doc_id = hits.doc_id) WHERE position <= 10",
     "search_and_first": _sql_kinds() + "SELECT request, doc_id FROM hits WHERE strict",
     "search_match_kinds": _sql_kinds() + "SELECT request, doc_id, kind, strict FROM hits",
     "search_facets": _sql_kinds() + "SELECT request, doc_type, count(*) AS n FROM hits JOIN documents USING (doc_id) GROUP BY ALL",
