@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 #: Code points that never need a change: Basic Latin, Latin-1 without the no-break space and the soft hyphen, Latin Extended without ligatures and forms, punctuation and signs, as far as they are composed.
 PLAIN = (
     r"\x00-\x9f\xa1-\xac\xae-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0180-\u01c3\u01cd-\u01f0\u01f4-\u024f\u1e00-\u1e99\u1ea0-\u1eff"
-    r"\u2010-\u2027\u2030-\u205e\u20a0-\u20c0\u2100-\u27bf"
+    r"\u2010-\u2027\u2030-\u205e\u20a0-\u20c0\u2100-\u2125\u2127-\u2129\u212c-\u2328\u232b-\u27bf"
 )
 _SUSPECT = re.compile(f"[^{PLAIN}]")
 #: Escapes in JSON under which such a character may stand (more than needed is harmless).
