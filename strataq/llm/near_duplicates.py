@@ -282,7 +282,8 @@ class Duplicates:
     ``members``: source_table, class_id, record_key, owner of linked classes.
     ``links``: source_table, a, b, na, nb, ra, rb, similarity, between classes
     that have different owners (a = b for copies); n is a class's number of
-    rows, r its smallest key. Both are cut off in the checkpoint folder.
+    rows, r its representatives: a key of its first owner and one of its last.
+    Both are cut off in the checkpoint folder.
     """
 
     def __init__(self, texts: DataFrame, threshold: float = 0.8, shingle: int = 5, least_words: int = 5, text_of: Callable[[str], str | None] = lambda x: x) -> None:
@@ -312,7 +313,8 @@ class Duplicates:
         score = _similarity(text_of, least_words, shingle)
         scored = pairs.join(reps.select("source_table", F.col("class_id").alias("a"), F.col("payload").alias("pa")), "a").join(reps.select(F.col("class_id").alias("b"), F.col("payload").alias("pb")), "b").withColumn("similarity", score("pa", "pb"))
         links = scored.where(F.col("similarity") >= threshold).drop("pa", "pb")
-        sizes = chosen.groupBy("class_id").agg(F.count("*").alias("n"), F.min("record_key").alias("r"))
+        by_owner = F.struct("owner", "record_key")
+        sizes = chosen.groupBy("class_id").agg(F.count("*").alias("n"), F.array(F.min(by_owner)["record_key"], F.max(by_owner)["record_key"]).alias("r"))
         self.links = cut(links.join(sizes.withColumnsRenamed({"class_id": "a", "n": "na", "r": "ra"}), "a").join(sizes.withColumnsRenamed({"class_id": "b", "n": "nb", "r": "rb"}), "b"))
         kept = self.links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
         self.members = chosen.drop("payload").distinct().join(kept, "class_id", "left_semi")
@@ -321,8 +323,8 @@ class Duplicates:
         """source_table, left_key, right_key (smaller first, each once): the links written out into keys of different owners.
 
         Where one link would give more than EXPAND pairs, every key of either
-        class is paired with the representative (smallest key) of the other
-        instead, so each key keeps its link.
+        class is paired with the representatives of the other instead (two, of
+        different owners if there are several), so each key keeps its link.
         """
         left = self.members.select(F.col("class_id").alias("a"), F.col("record_key").alias("ka"), F.col("owner").alias("oa"))
         right = self.members.select(F.col("class_id").alias("b"), F.col("record_key").alias("kb"), F.col("owner").alias("ob"))
@@ -330,8 +332,8 @@ class Duplicates:
         cols = ["source_table", "ka", "oa", "kb", "ob"]
         full = links.where("NOT large").join(left, "a").join(right, "b").select(*cols)
         large = links.where("large")
-        one = large.join(left, "a").join(right, (right["b"] == large["b"]) & (right["kb"] == large["rb"])).select(*cols)
-        two = large.join(right, "b").join(left, (left["a"] == large["a"]) & (left["ka"] == large["ra"])).select(*cols)
+        one = large.select("source_table", "a", "b", F.explode(F.array_distinct("rb")).alias("kb")).join(right, ["b", "kb"]).join(left, "a").select(*cols)
+        two = large.select("source_table", "a", "b", F.explode(F.array_distinct("ra")).alias("ka")).join(left, ["a", "ka"]).join(right, "b").select(*cols)
         return (
             full.unionByName(one)
             .unionByName(two)

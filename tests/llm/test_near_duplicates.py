@@ -71,9 +71,11 @@ def test_hot_copies_keep_their_links(spark, monkeypatch):
     monkeypatch.setattr(nd, "EXPAND", 50)
     text = corpus(1)[0][3]
     near = text + " ende"
-    data = [("a", f"c{i:03}", f"o{i}", text, "", 0) for i in range(120)] + [("a", f"d{i}", f"p{i}", near, "", 0) for i in range(3)] + [("a", f"z{i}", "q", f"v{i} " * 50, "", 0) for i in range(120)]
+    data = [("a", f"c{i:03}", f"o{i % 30}", text, "", 0) for i in range(120)] + [("a", f"d{i}", f"p{i}", near, "", 0) for i in range(3)] + [("a", f"z{i}", "q", f"v{i} " * 50, "", 0) for i in range(120)]
     pairs = nd.Duplicates(spark.createDataFrame(data, S), 0.7, 3, 40).key_pairs().collect()
-    assert len(pairs) < 600
+    assert len(pairs) < 1200
+    owner = {d[1]: d[2] for d in data}
+    assert all(owner[r["left_key"]] != owner[r["right_key"]] for r in pairs)
     keys = {k for r in pairs for k in (r["left_key"], r["right_key"])}
     assert keys == {d[1] for d in data if not d[1].startswith("z")}
     assert any(r["left_key"][0] == "c" and r["right_key"][0] == "d" for r in pairs)
