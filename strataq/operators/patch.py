@@ -169,6 +169,7 @@ def _replace_range(s: list, i: int, op: dict, state: dict) -> None:
     s[i : j + 1] = _blocks(op)
 
 
+# The names of the operations, as recipes use them.
 WHOLE = {"renameLaw": _rename_law, "repealLaw": _repeal_law, "replaceBody": _replace_body, "designationReplacementBody": _designation_everywhere}
 AT_BLOCK: dict[str, Callable] = {
     "replaceProvision": lambda s, i, op, state: s.__setitem__(i, _block(op)),

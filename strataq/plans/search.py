@@ -13,12 +13,12 @@ NO_PREFIX = frozenset("uber ueber fur fuer nach oder sowie vom zum zur des der d
 
 
 def normalise(value: str) -> str:
-    plain = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not "̀" <= c <= "ͯ")
+    plain = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not "\u0300" <= c <= "\u036f")
     return re.sub(r"[^a-z0-9*]+", " ", plain.replace("ß", "ss")).strip()
 
 
 def normalise_keep_sharp(value: str) -> str:
-    plain = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not "̀" <= c <= "ͯ")
+    plain = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not "\u0300" <= c <= "\u036f")
     return re.sub(r"[^a-z0-9ß*]+", " ", plain).strip()
 
 
@@ -56,6 +56,7 @@ class Address:
     subsection: str | None = None
 
 
+# How addresses are written in requests.
 _NUMBER = r"[0-9]+[a-z]?"
 _PARAGRAPH = re.compile(rf"§{{1,2}}\s*({_NUMBER}(?![^\W_])(?:\s*(?:,|und)\s*{_NUMBER}(?![^\W_]))*)(?:\s+Abs(?:atz)?\.?\s*({_NUMBER}))?", re.IGNORECASE)
 _ARTICLE = re.compile(rf"\b(?:Artikel|Art\.)\s*({_NUMBER}|[IVXLC]+(?![^\W_]))(?:\s+Abs(?:atz)?\.?\s*({_NUMBER}))?", re.IGNORECASE)
