@@ -1,10 +1,24 @@
-"""Near-duplicate texts: one-permutation hashing, densified, banded, star-shaped candidate edges.
+"""Near-duplicate texts: an exact prefix-filtered join of word shingles; banded star edges where a sparse set of links is enough.
 
 1. Rows with the same stored value form a class, named by a hash taken in the
    JVM; classes, not rows, are compared, and a task works each class once.
-2. Each class gets one hash per bin (one permutation); empty bins borrow from a
+2. The distinct shingles of a class are ordered by how common they are, rarest
+   first. Two classes of a similarity of at least the threshold share a shingle
+   among the first ``n - ceil(threshold * n) + 1`` of either, so only these go
+   through the exchange, and all classes that meet at one are paired. How common
+   a shingle is comes from a table of fixed size, counted over a part of the
+   classes; it decides the cost only, any table gives the same pairs. The
+   shingles it holds for hot are met in blocks of classes.
+3. The number of shingles at which a pair meets bounds what it can share in all;
+   pairs that cannot reach the threshold go, the others are verified by their
+   exact shingles. Texts are fetched for the classes among them only.
+
+``Duplicates.links`` is not complete and serves no query: it is linear in the
+number of classes and holds a family together. It comes from banded hashes:
+
+1. Each class gets one hash per bin (one permutation); empty bins borrow from a
    filled one by a fixed order of probes, the same for all texts.
-3. Bands of bins are bucket keys; two numbers a band go through the exchange.
+2. Bands of bins are bucket keys; two numbers a band go through the exchange.
    Within a bucket, sorted by class, only star edges from the first ``STARS``
    classes to the others count, so a bucket of m classes gives at most STARS * m
    pairs, from a stream that holds STARS rows. Half of the bands sort alike, so
@@ -13,17 +27,17 @@
    A pair with edges in ``SHARED`` bands is a candidate. Buckets that are hot
    within a batch are reduced to stars before the exchange: only their centres
    go on, so a bucket with a third of all classes is no hot task.
-4. Candidates are verified by their exact word shingles; texts are fetched for
-   the classes among the candidates only.
 
 Nothing is collected to the driver but one count, which decides whether the
-candidate class ids may be broadcast.
+candidate class ids may be broadcast, and the table of fixed size.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -45,6 +59,15 @@ BROADCAST_CLASSES = 1_000_000
 #: Most key pairs into which one pair of classes is written out; beyond, each key is paired with the other class's representative.
 EXPAND = 10_000
 
+#: Bits of a slot of the table of common shingles, and the part of the classes (one in so many) it is counted over.
+SLOT_BITS, COUNTED = 20, 8
+#: Classes expected at one shingle from which they are met in blocks of as many, and most such blocks.
+BLOCK, MOST_BLOCKS = 512, 64
+#: Stands for several owners of a class.
+MANY = 0
+#: Pairs that a task holds before it passes them on.
+_HELD = 500_000
+
 _WORD = re.compile(r"[^\W_]+")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -243,6 +266,146 @@ def candidate_edges(rows: DataFrame, text_of: Callable[[str], str | None], least
     return edges.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
 
 
+def _class_shingles(b: pd.DataFrame, seen: dict[int, int], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle hashes, index of their class, class ids, hashes of their owners, of their tables) of the classes of a batch that are not among ``seen``; once more, with MANY, at a class's second owner. Texts of fewer words give none."""
+    ids, flat, doc, owners, salt = [], [], [], [], []
+    for table, c, payload, owner in zip(b["source_table"], b["class_id"], b["payload"], b["o"]):
+        known = seen.get(c)
+        if known is not None and known in (owner, MANY):
+            continue
+        if len(seen) >= _REMEMBERED:
+            seen.clear()
+        seen[c] = owner = owner if known is None else MANY
+        text = text_of(payload)
+        w = words_of(text) if text else []
+        if len(w) < max(least_words, shingle):
+            continue
+        h = shingle_hashes(w, shingle)
+        flat.append(h)
+        doc.append(np.full(len(h), len(ids), dtype=np.int64))
+        ids.append(c)
+        owners.append(owner)
+        salt.append(xxhash.xxh3_64_intdigest(table))
+    none = np.empty(0, dtype=np.uint64)
+    return np.concatenate([none, *flat]), np.concatenate([none.astype(np.int64), *doc]), np.array(ids, dtype=np.int64), np.array(owners, dtype=np.int64), np.array(salt, dtype=np.uint64)
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def common_shingles(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int) -> bytes:
+    """Packed bytes, one for each slot of shingles, how many of the counted classes have one: 0 for none, else 1 + 4 log2 of the number."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[int, int] = {}
+        for b in batches:
+            flat, doc, *_ = _class_shingles(b, seen, text_of, least_words, shingle)
+            slot, n = np.unique(np.unique(doc << SLOT_BITS | _slot(flat)) & ((1 << SLOT_BITS) - 1), return_counts=True)
+            yield pd.DataFrame({"slot": slot.astype(np.int32), "n": n})
+
+    part = rows.where(F.pmod(F.shiftright("class_id", 6), F.lit(COUNTED)) == 0)
+    counted = part.mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).select("slot", (1 + F.floor(4 * F.log2("n"))).cast("int").alias("level"))
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+        for b in batches:
+            out[b["slot"].to_numpy(dtype=np.int64)] = b["level"].to_numpy(dtype=np.int64)
+        yield pd.DataFrame({"levels": [zlib.compress(out.tobytes(), 1)]})
+
+    found = counted.repartition(1).mapInPandas(packed, "levels binary").first()
+    return bytes(found["levels"]) if found else zlib.compress(bytes(1 << SLOT_BITS))
+
+
+def prefix_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int, threshold: float, packed: bytes) -> Iterator[pd.DataFrame]:
+    """From (source_table, class_id, payload, o): (bucket, id, owner, n, at, side) for each prefix shingle; n is the class's number of shingles, at the shingle's place in their order.
+
+    A shingle that is expected at more than BLOCK classes has a bucket for each
+    two blocks of classes, with a side each, and one for each block alone (side 2).
+    """
+    common, seen = np.frombuffer(zlib.decompress(packed), dtype=np.uint8), {}
+    for b in batches:
+        flat, doc, ids, owners, salt = _class_shingles(b, seen, text_of, least_words, shingle)
+        if not len(ids):
+            continue
+        level = common[_slot(flat)]
+        order = np.lexsort((flat, level, doc))
+        flat, doc, level = flat[order], doc[order], level[order]
+        keep = np.concatenate([[True], (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])])
+        flat, doc, level = flat[keep], doc[keep], level[keep]
+        n = np.bincount(doc, minlength=len(ids))
+        rank = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
+        keep = rank < _prefix(n, threshold)[doc]
+        flat, doc, level, rank = flat[keep], doc[keep], level[keep], rank[keep]
+        blocks = np.clip(np.ceil(np.exp2((level - 1.0) / 4) * COUNTED / BLOCK), 1, MOST_BLOCKS).astype(np.int64)
+        at = np.repeat(np.arange(len(doc)), blocks)
+        other = np.arange(len(at)) - (np.cumsum(blocks) - blocks)[at]
+        own = (_mixed(ids.view(np.uint64))[doc] % blocks.astype(np.uint64)).astype(np.int64)[at]
+        block = (np.minimum(own, other) * MOST_BLOCKS + np.maximum(own, other)).astype(np.uint64)
+        bucket = _mixed(_mixed(flat ^ salt[doc])[at] + block)
+        side = np.where(own == other, 2, (own > other).astype(np.int64))
+        yield pd.DataFrame({"bucket": bucket.view(np.int64), "id": ids[doc][at], "owner": owners[doc][at], "n": n[doc][at].astype(np.int32), "at": rank[at].astype(np.int32), "side": side.astype(np.int32)})
+
+
+def _prefix(n: np.ndarray, threshold: float) -> np.ndarray:
+    return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+
+
+def meetings(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
+    """(a < b, need) for each two classes of a bucket that have different owners and can reach the threshold, of rows sorted by (bucket, id): need is at how many shingles they must meet to reach the threshold."""
+
+    def paired(x: np.ndarray) -> Iterator[pd.DataFrame]:
+        starts = np.flatnonzero(np.concatenate([[True], (x[1:, :2] != x[:-1, :2]).any(axis=1)]))
+        one = np.minimum.reduceat(x[:, 2], starts) == np.maximum.reduceat(x[:, 2], starts)
+        x = x[starts]
+        x[~one, 2] = MANY
+        at, step, held, number = np.arange(len(x)), 1, [], 0
+        while True:
+            at = at[at + step < len(x)]
+            at = at[x[at, 0] == x[at + step, 0]]
+            if not len(at):
+                break
+            a, b = x[at], x[at + step]
+            ok = ((a[:, 2] != b[:, 2]) | (a[:, 2] == MANY)) & ((a[:, 5] == 2) | (a[:, 5] != b[:, 5]))
+            a, b = a[ok], b[ok]
+            need = np.ceil(threshold / (1 + threshold) * (a[:, 3] + b[:, 3]) - 1e-9).astype(np.int64)
+            rest = np.maximum(a[:, 3] - _prefix(a[:, 3], threshold), b[:, 3] - _prefix(b[:, 3], threshold))
+            # what they can share before this shingle and from it on
+            ok = np.minimum(a[:, 4], b[:, 4]) + np.minimum(a[:, 3] - a[:, 4], b[:, 3] - b[:, 4]) >= need
+            held.append(np.stack([a[ok, 1], b[ok, 1], np.maximum(need - rest, 1)[ok]], axis=1))
+            number += len(held[-1])
+            if number > _HELD:
+                yield pd.DataFrame(np.concatenate(held), columns=["a", "b", "need"])
+                held, number = [], 0
+            step += 1
+        if number:
+            yield pd.DataFrame(np.concatenate(held), columns=["a", "b", "need"])
+
+    open_rows: list[np.ndarray] = []
+    for b in batches:
+        x = b[["bucket", "id", "owner", "n", "at", "side"]].to_numpy(dtype=np.int64)
+        if not len(x):
+            continue
+        ends = np.flatnonzero(x[:, 0] != x[-1, 0])
+        done = ends[-1] + 1 if len(ends) else 0
+        if open_rows and (done or open_rows[-1][-1, 0] != x[0, 0]):
+            yield from paired(np.concatenate([*open_rows, x[:done]]))
+            open_rows = []
+        elif done:
+            yield from paired(x[:done])
+        open_rows.append(x[done:])
+    if open_rows:
+        yield from paired(np.concatenate(open_rows))
+
+
+def all_candidates(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int, threshold: float) -> DataFrame:
+    """Distinct pairs of classes (a < b) of rows(source_table, class_id, payload, o), every pair of different owners that reaches the threshold among them."""
+    common = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text_of, least_words, shingle))
+    prefixes = rows.mapInPandas(lambda it: prefix_rows(it, text_of, least_words, shingle, threshold, common.value), "bucket long, id long, owner long, n int, at int, side int")
+    met = prefixes.repartition("bucket").sortWithinPartitions("bucket", "id").mapInPandas(lambda it: meetings(it, threshold), "a long, b long, need long")
+    return met.groupBy("a", "b", "need").agg(F.count("*").alias("n")).where("n >= need").select("a", "b")
+
+
 def _similarity(text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Callable[[Column, Column], Column]:
     @F.pandas_udf(T.DoubleType())
     def of(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -279,22 +442,44 @@ class Duplicates:
     Rows with a null table, key or payload take part in nothing, nor do texts
     of fewer than ``least_words`` (or ``shingle``) words; a null owner equals
     other nulls. A class whose rows have several owners is linked to itself.
-    ``members``: source_table, class_id, record_key, owner of linked classes.
-    ``links``: source_table, a, b, na, nb, ra, rb, similarity, between classes
-    that have different owners (a = b for copies); n is a class's number of
-    rows, r its representatives: a key of its first owner and one of its last.
-    Both are cut off in the checkpoint folder.
+    ``all_links``: source_table, a, b, na, nb, ra, rb, similarity, between all
+    classes of the similarity that have different owners (a = b for copies); n
+    is a class's number of rows, r its representatives: a key of its first
+    owner and one of its last. ``members``: source_table, class_id, record_key,
+    owner of linked classes. ``links``: a part of the links from star edges,
+    linear in the number of classes. All are made when first asked for and cut
+    off in the checkpoint folder.
     """
 
     def __init__(self, texts: DataFrame, threshold: float = 0.8, shingle: int = 5, least_words: int = 5, text_of: Callable[[str], str | None] = lambda x: x) -> None:
         cols = ["source_table", "record_key", "owner", "payload"]
         rows = texts.select(*[F.col(c).cast("string").alias(c) for c in cols]).where("payload IS NOT NULL AND source_table IS NOT NULL AND record_key IS NOT NULL")
-        rows = rows.withColumn("class_id", F.xxhash64("source_table", "payload").bitwiseAND(F.lit(~63)))
-        edges = cut(candidate_edges(rows.select("source_table", "class_id", "payload"), text_of, least_words, shingle))
+        self._rows = rows.withColumn("class_id", F.xxhash64("source_table", "payload").bitwiseAND(F.lit(~63))).withColumn("o", F.xxhash64(F.coalesce("owner", F.lit("\u0000"))))
+        self._texts = self._rows.select("source_table", "class_id", "payload", "o")
+        self._threshold, self._how = threshold, (text_of, least_words, shingle)
+
+    @cached_property
+    def links(self) -> DataFrame:
+        return self._verified(candidate_edges(self._texts, *self._how))[0]
+
+    @cached_property
+    def _complete(self) -> tuple[DataFrame, DataFrame]:
+        return self._verified(all_candidates(self._texts, *self._how, self._threshold))
+
+    @property
+    def all_links(self) -> DataFrame:
+        return self._complete[0]
+
+    @property
+    def members(self) -> DataFrame:
+        return self._complete[1]
+
+    def _verified(self, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The links among candidate pairs, and their members."""
+        rows, edges = self._rows, cut(candidates)
         linked = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
-        owner = F.xxhash64(F.coalesce("owner", F.lit("\u0000")))
         classes = (
-            rows.select("class_id", owner.alias("o"), F.xxhash64("record_key").alias("k"))
+            rows.select("class_id", "o", F.xxhash64("record_key").alias("k"))
             .groupBy("class_id")
             .agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.min("k").alias("k"))
             .join(linked, "class_id", "left")
@@ -310,14 +495,14 @@ class Duplicates:
         payload = F.when(F.xxhash64("record_key") == F.col("k"), F.col("payload"))
         chosen = cut(rows.join(_few(wanted), "class_id").select("source_table", "class_id", "record_key", "owner", payload.alias("payload")))
         reps = chosen.where("payload IS NOT NULL").dropDuplicates(["class_id"])
-        score = _similarity(text_of, least_words, shingle)
+        score = _similarity(*self._how)
         scored = pairs.join(reps.select("source_table", F.col("class_id").alias("a"), F.col("payload").alias("pa")), "a").join(reps.select(F.col("class_id").alias("b"), F.col("payload").alias("pb")), "b").withColumn("similarity", score("pa", "pb"))
-        links = scored.where(F.col("similarity") >= threshold).drop("pa", "pb")
+        links = scored.where(F.col("similarity") >= self._threshold).drop("pa", "pb")
         by_owner = F.struct("owner", "record_key")
         sizes = chosen.groupBy("class_id").agg(F.count("*").alias("n"), F.array(F.min(by_owner)["record_key"], F.max(by_owner)["record_key"]).alias("r"))
-        self.links = cut(links.join(sizes.withColumnsRenamed({"class_id": "a", "n": "na", "r": "ra"}), "a").join(sizes.withColumnsRenamed({"class_id": "b", "n": "nb", "r": "rb"}), "b"))
-        kept = self.links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-        self.members = chosen.drop("payload").distinct().join(kept, "class_id", "left_semi")
+        links = cut(links.join(sizes.withColumnsRenamed({"class_id": "a", "n": "na", "r": "ra"}), "a").join(sizes.withColumnsRenamed({"class_id": "b", "n": "nb", "r": "rb"}), "b"))
+        kept = links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+        return links, chosen.drop("payload").distinct().join(kept, "class_id", "left_semi")
 
     def key_pairs(self) -> DataFrame:
         """source_table, left_key, right_key (smaller first, each once): the links written out into keys of different owners.
@@ -328,7 +513,7 @@ class Duplicates:
         """
         left = self.members.select(F.col("class_id").alias("a"), F.col("record_key").alias("ka"), F.col("owner").alias("oa"))
         right = self.members.select(F.col("class_id").alias("b"), F.col("record_key").alias("kb"), F.col("owner").alias("ob"))
-        links = self.links.select("source_table", "a", "b", "ra", "rb", (F.col("na") * F.col("nb") > EXPAND).alias("large"))
+        links = self.all_links.select("source_table", "a", "b", "ra", "rb", (F.col("na") * F.col("nb") > EXPAND).alias("large"))
         cols = ["source_table", "ka", "oa", "kb", "ob"]
         full = links.where("NOT large").join(left, "a").join(right, "b").select(*cols)
         large = links.where("large")
@@ -344,8 +529,8 @@ class Duplicates:
 
     def groups(self) -> DataFrame:
         """source_table, record_key, group_id, n_links: for each key in a link its connected group (the smallest class id in it) and the number of classes its own is linked to."""
-        roots = connected(self.links.select("a", "b"))
-        degree = self.links.select("a", "b").unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"))
+        roots = connected(self.all_links.select("a", "b"))
+        degree = self.all_links.select("a", "b").unionByName(self.all_links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"))
         return self.members.join(roots.withColumnRenamed("id", "class_id"), "class_id").join(degree, "class_id").select("source_table", "record_key", F.col("root").alias("group_id"), "n_links").distinct()
 
 

@@ -141,3 +141,25 @@ def test_connected(spark):
     edges = [(1, 2), (2, 3), (3, 1), (7, 8), (9, 9), (8, 7)] + [(100 + i, 101 + i) for i in range(40)] + [(500, 500 + i) for i in range(1, 60)]
     got = {r["id"]: r["root"] for r in nd.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got[3] == 1 and got[8] == 7 and got[9] == 9 and {got[100 + i] for i in range(41)} == {100} and {got[500 + i] for i in range(60)} == {500}
+
+
+def variants(number, changes=2, seed=3):
+    """Keys and texts of a family; their similarities lie on both sides of 0.7."""
+    r = random.Random(seed)
+    data = []
+    for i in range(number):
+        w = [f"w{j}" for j in range(90)]
+        for _ in range(changes):
+            w[r.randrange(90)] = f"v{r.randrange(50)}"
+        data.append(("a", f"k{i:03}", f"o{i % 97}", " ".join(w), "", 0))
+    return data
+
+
+def test_large_family_gives_every_pair(spark, rows, monkeypatch):
+    data = variants(300, 3)
+    want = brute(data, 0.7, 3, 40)
+    assert 5000 < len(want) < 40000
+    for block in (512, 16):
+        monkeypatch.setattr(nd, "BLOCK", block)
+        dup = nd.Duplicates(spark.createDataFrame(data, S).repartition(5), 0.7, 3, 40)
+        assert rows(dup.key_pairs()) == want
