@@ -266,7 +266,7 @@ def title_classification(spark, d):
 
 
 def search_metrics(spark, d):
-    """Recall, reciprocal rank and top-1 of a simple search for known documents: eval items by their first words among documents of a type."""
+    """Recall, reciprocal rank and top-1 for a fixed sample of documents in the listing by length within their type; no search is run and no eval item read."""
     g = table(spark, d, "documents").select("doc_id", "doc_type", "n_chars")
     w = Window.partitionBy("doc_type").orderBy(F.desc("n_chars"), "doc_id")
     r = g.withColumn("pos", F.row_number().over(w)).where("doc_id % 7 = 3").groupBy("doc_type").agg(F.min("pos").alias("first_hit"))
