@@ -1,35 +1,27 @@
-"""Near-duplicate texts: an exact prefix-filtered join of word shingles; banded star edges where a sparse set of links is enough.
+"""Near-duplicate texts: one-permutation hashing, densified, banded; star edges find the families, exact joins complete them.
 
 1. Rows with the same stored value form a class, named by a hash taken in the
    JVM; classes, not rows, are compared, and a task works each class once.
-2. The distinct shingles of a class are ordered by how common they are, rarest
-   first. Two classes of a similarity of at least the threshold share a shingle
-   among the first ``n - ceil(threshold * n) + 1`` of either, so only these go
-   through the exchange, and all classes that meet at one are paired. How common
-   a shingle is comes from a table of fixed size, counted over a part of the
-   classes; it decides the cost only, any table gives the same pairs. The
-   shingles it holds for hot are met in blocks of classes.
-3. The number of shingles at which a pair meets bounds what it can share in all;
-   pairs that cannot reach the threshold go, the others are verified by their
-   exact shingles. Texts are fetched for the classes among them only.
-
-``Duplicates.links`` is not complete and serves no query: it is linear in the
-number of classes and holds a family together. It comes from banded hashes:
-
-1. Each class gets one hash per bin (one permutation); empty bins borrow from a
-   filled one by a fixed order of probes, the same for all texts.
-2. Bands of bins are bucket keys; two numbers a band go through the exchange.
-   Within a bucket, sorted by class, only star edges from the first ``STARS``
-   classes to the others count, so a bucket of m classes gives at most STARS * m
-   pairs, from a stream that holds STARS rows. Half of the bands sort alike, so
-   that in a large family the same centres meet the same members again and
-   again; the others each sort differently, so that other classes are centres.
-   A pair with edges in ``SHARED`` bands is a candidate. Buckets that are hot
-   within a batch are reduced to stars before the exchange: only their centres
-   go on, so a bucket with a third of all classes is no hot task.
-
-Nothing is collected to the driver but one count, which decides whether the
-candidate class ids may be broadcast, and the table of fixed size.
+2. Each class gets one hash per bin (one permutation); empty bins borrow from a
+   filled one by a fixed order of probes, the same for all texts. Bands of bins
+   are bucket keys; two numbers a band go through the exchange.
+3. Within a bucket only star edges count, from its smallest class to the others,
+   so a bucket of m classes gives m - 1 pairs. A bucket that is hot within a
+   batch becomes a star before the exchange: only its centre goes on, its edges
+   are spread by their member, so a bucket with a third of all classes is no
+   hot task.
+4. A star whose classes have several owners is a family. Two classes that share
+   a bucket are in one star, so a family holds every pair of its classes; which
+   of them reach the threshold, stars do not say.
+5. The classes in families are therefore joined exactly. Their distinct shingles
+   are ordered rarest first; two classes of the threshold share one among the
+   first ``n - ceil(threshold * n) + 1`` of either. All classes that meet at one
+   are paired, hot shingles in blocks of classes; at how many shingles a pair
+   meets bounds what it can share, and the rest is verified by all shingles.
+
+A pair of similarity 0.7 shares no bucket with a probability of 0.0005, one of
+0.75 of 0.00003; nothing else is lost. Collected to the driver are counts, which
+decide whether class ids may be broadcast, and a table of fixed size.
 """
 
 from __future__ import annotations
@@ -42,26 +34,24 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataq.session import cut
 
-#: Bands, bins per band, and bands that a candidate pair must share. A pair of similarity 0.7 shares that many with a probability of 0.995, one of 0.75 with 0.9996.
-BANDS, ROWS, SHARED = 28, 4, 2
-#: Centres of a bucket.
-STARS = 8
-#: Rows of one bucket in a batch from which it is reduced to a star before the exchange.
+#: Bands, and bins per band.
+BANDS, ROWS = 28, 4
+#: Rows of one bucket in a batch from which it becomes a star before the exchange.
 HOT = 64
-#: Most candidate classes that are broadcast to the rows they are looked up in; beyond, the two are joined by a shuffle.
+#: Most class ids that are broadcast to the rows they are looked up in; beyond, the two are joined by a shuffle.
 BROADCAST_CLASSES = 1_000_000
-#: Most key pairs into which one pair of classes is written out; beyond, each key is paired with the other class's representative.
-EXPAND = 10_000
+#: Most key pairs into which the copies of one text are written out if the caller does not say.
+COPY_PAIRS = 10_000
 
-#: Bits of a slot of the table of common shingles, and the part of the classes (one in so many) it is counted over.
-SLOT_BITS, COUNTED = 20, 8
-#: Classes expected at one shingle from which they are met in blocks of as many, and most such blocks.
+#: Bits of a slot of the table of common shingles.
+SLOT_BITS = 20
+#: Classes at one shingle from which they are met in blocks of as many, and most such blocks.
 BLOCK, MOST_BLOCKS = 512, 64
 #: Stands for several owners of a class.
 MANY = 0
@@ -70,8 +60,18 @@ _HELD = 500_000
 
 _WORD = re.compile(r"[^\W_]+")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-_WORD_HASHES: dict[str, int] = {}
+_ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+
+
+class _WordHashes(dict):
+    """Hashes of the words seen so far; a cache."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_WORD_HASHES = _WordHashes()
 
 
 def words_of(text: str) -> list[str]:
@@ -85,28 +85,25 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _hash_words(words: list[str]) -> np.ndarray:
+def shingles_of(texts: list[list[str]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the runs of ``size`` successive words of each list of words, in order, repeats included; the index of their list)."""
     if len(_WORD_HASHES) > 2_000_000:
         _WORD_HASHES.clear()
-    known = _WORD_HASHES
-    out = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh3_64_intdigest(w)
-        out.append(h)
-    return np.array(out, dtype=np.uint64)
+    n = np.array([len(t) for t in texts], dtype=np.int64)
+    h = np.fromiter(map(_WORD_HASHES.__getitem__, (w for t in texts for w in t)), dtype=np.uint64, count=int(n.sum()))
+    runs = np.maximum(n - size + 1, 0)
+    doc = np.repeat(np.arange(len(texts)), runs)
+    at = np.arange(int(runs.sum())) + ((np.cumsum(n) - n) - (np.cumsum(runs) - runs))[doc]
+    out = np.zeros(len(at), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            out = out * _ODD[0] + h[at + k]
+    return _mixed(out), doc
 
 
 def shingle_hashes(words: list[str], size: int) -> np.ndarray:
     """One 64-bit hash for each run of ``size`` successive words, in order, repeats included."""
-    h = _hash_words(words)
-    n = max(0, len(h) - size + 1)
-    out = np.zeros(n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            out = out * _ODD[0] + h[k : k + n]
-    return _mixed(out)
+    return shingles_of([words], size)[0]
 
 
 def _probes(bins: int, attempts: int = 512) -> np.ndarray:
@@ -157,33 +154,21 @@ def band_keys(sig: np.ndarray, salt: np.ndarray) -> np.ndarray:
 _EDGE = np.uint64(63)
 
 
-def _masks() -> np.ndarray:
-    """The sort order of each band: ids are compared under its mask."""
-    m = _mixed(np.arange(BANDS, dtype=np.uint64) + np.uint64(99))
-    m[: BANDS // 2] = m[0]
-    return m
-
-
-def _reduced(keys: np.ndarray, codes: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, code) rows of a batch with its hot buckets as stars: their first STARS rows stay, the others become edges (centre or edge mark, member)."""
+def _reduced(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, id) rows of a batch with its hot buckets as stars: their smallest id stays, the others become edges (member or edge mark, centre), each once."""
     if len(keys) <= HOT:
-        return keys, codes
-    order = np.lexsort((codes.view(np.int64), keys))
-    keys, codes = keys[order], codes[order]
+        return keys, ids
+    order = np.lexsort((ids.view(np.int64), keys))
+    keys, ids = keys[order], ids[order]
     starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
     if sizes.max() <= HOT:
-        return keys, codes
+        return keys, ids
     first, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
-    rank = np.arange(len(keys)) - first
-    out_keys, out_codes = [], []
-    ids = codes ^ masks[(keys & _EDGE).astype(np.int64)]
-    for k in range(STARS):
-        at = np.flatnonzero((size > HOT) & (rank > k))
-        out_keys.append(ids[first[at] + k] | _EDGE)
-        out_codes.append(ids[at])
-    stays = (size <= HOT) | (rank < STARS)
-    return np.concatenate([keys[stays], *out_keys]), np.concatenate([codes[stays], *out_codes])
+    member = np.flatnonzero((size > HOT) & (np.arange(len(keys)) > first))
+    edges = np.unique(np.stack([ids[member] | _EDGE, ids[first[member]]], axis=1), axis=0)
+    stays = (size <= HOT) | (np.arange(len(keys)) == first)
+    return np.concatenate([keys[stays], edges[:, 0]]), np.concatenate([ids[stays], edges[:, 1]])
 
 
 #: Classes a task remembers so as not to work them twice.
@@ -191,10 +176,10 @@ _REMEMBERED = 1_000_000
 
 
 def band_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Iterator[pd.DataFrame]:
-    """From (source_table, class_id, payload): (bucket, code) for each band, code being the class id under the band's mask, or an edge; texts of fewer words give none."""
-    masks, seen = _masks(), set()
+    """From (source_table, class_id, payload): (bucket, id) for each band, or for an edge; texts of fewer words give none."""
+    seen: set[int] = set()
     for b in batches:
-        ids, flat, doc, salt = [], [], [], []
+        ids, texts, salt = [], [], []
         for table, c, payload in zip(b["source_table"], b["class_id"], b["payload"]):
             if c in seen:
                 continue
@@ -205,107 +190,78 @@ def band_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | No
             w = words_of(text) if text else []
             if len(w) < max(least_words, shingle):
                 continue
-            h = shingle_hashes(w, shingle)
-            flat.append(h)
-            doc.append(np.full(len(h), len(ids), dtype=np.int64))
+            texts.append(w)
             ids.append(c)
             salt.append(xxhash.xxh3_64_intdigest(table))
         if not ids:
             continue
-        sig = one_permutation(np.concatenate(flat), np.concatenate(doc), len(ids), BANDS * ROWS)
-        codes = np.array(ids, dtype=np.int64).view(np.uint64)[:, None] ^ masks[None, :]
-        keys, codes = _reduced(band_keys(sig, np.array(salt, dtype=np.uint64)).ravel(), codes.ravel(), masks)
-        yield pd.DataFrame({"bucket": keys.view(np.int64), "code": codes.view(np.int64)})
+        flat, doc = shingles_of(texts, shingle)
+        sig = one_permutation(flat, doc, len(ids), BANDS * ROWS)
+        owner = np.repeat(np.array(ids, dtype=np.int64).view(np.uint64), BANDS)
+        keys, codes = _reduced(band_keys(sig, np.array(salt, dtype=np.uint64)).ravel(), owner)
+        yield pd.DataFrame({"bucket": keys.view(np.int64), "id": codes.view(np.int64)})
 
 
-def star_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Star edges (a < b) with their number, of rows sorted by (bucket, code); edges among the rows are passed on. The first STARS different classes of the last bucket go on into the next batch."""
-    masks = _masks()
-    head = np.empty((0, 2), dtype=np.int64)
+def star_edges(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int) -> DataFrame:
+    """a, b, early: the distinct edges from the centres a of the buckets to their other classes, of rows(source_table, class_id, payload). ``early`` edges are of stars made within a batch; their centre stands in the bucket for all of them."""
+    banded = rows.mapInPandas(lambda it: band_rows(it, text_of, least_words, shingle), "bucket long, id long")
+    early = F.col("bucket").bitwiseAND(F.lit(63)) == 63
+    centre = F.min("id").over(Window.partitionBy("bucket"))
+    starred = banded.select("id", early.alias("early"), F.col("bucket").bitwiseAND(F.lit(~63)).alias("member"), centre.alias("centre"))
+    edges = starred.where(F.col("early") | (F.col("id") != F.col("centre"))).select(F.when(F.col("early"), F.col("id")).otherwise(F.col("centre")).alias("a"), F.when(F.col("early"), F.col("member")).otherwise(F.col("id")).alias("b"), "early")
+    return edges.groupBy("a", "b").agg(F.max("early").alias("early"))
+
+
+def families(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """class_id of the classes in stars whose classes(class_id, lo, hi) have several owners.
+
+    A star made within a batch belongs to its centre's bucket: its owners count
+    there, and it is in a family if its centre is.
+    """
+    owners = lambda x: classes.select(*[F.col(c).alias(n) for c, n in (("class_id", x), ("lo", "lo" + x), ("hi", "hi" + x))])
+    known = edges.join(owners("a"), "a").join(owners("b"), "b").select("a", "b", "early", (~((F.col("loa") == F.col("hia")) & (F.col("lob") == F.col("hib")) & (F.col("loa") == F.col("lob")))).alias("mixed"))
+    known = cut(known)
+    within = known.where("early AND mixed").select("a").distinct()
+    mixed = known.where("mixed").select("a").unionByName(known.join(_few(within).withColumnRenamed("a", "b"), "b", "left_semi").select("a")).distinct()
+    first = cut(known.join(_few(mixed), "a").select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
+    early = known.where("early").join(first.withColumnRenamed("class_id", "a"), "a").select(F.col("b").alias("class_id"))
+    return first.unionByName(early).distinct()
+
+
+def to_shingles(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Iterator[pd.DataFrame]:
+    """From (source_table, class_id, o, payload): the sorted distinct shingle hashes instead of the payload, as bytes; texts of fewer words give none."""
     for b in batches:
-        rows = b[["bucket", "code"]].to_numpy(dtype=np.int64)
-        ready = (rows[:, 0] & 63) == 63
-        if ready.any():
-            c, d = rows[ready, 0] & ~np.int64(63), rows[ready, 1]
-            p, n = np.unique(np.stack([np.minimum(c, d), np.maximum(c, d)], axis=1), axis=0, return_counts=True)
-            yield pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "n": n})
-            rows = rows[~ready]
-        if not len(rows):
-            continue
-        if len(head) and head[0, 0] != rows[0, 0]:
-            head = head[:0]
-        x = np.concatenate([head, rows])
-        fresh = np.arange(len(x)) >= len(head)
-        keep = np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)])
-        x, fresh = x[keep], fresh[keep]
-        bucket = x[:, 0]
-        starts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1])
-        sizes = np.diff(np.concatenate([starts, [len(bucket)]]))
-        first = np.repeat(starts, sizes)
-        rank = np.arange(len(bucket)) - first
-        ids = (x[:, 1].view(np.uint64) ^ masks[bucket & 63]).view(np.int64)
-        pairs = []
-        for k in range(STARS):
-            at = np.flatnonzero((rank > k) & fresh)
-            if not len(at):
-                break
-            c, d = ids[first[at] + k], ids[at]
-            pairs.append(np.stack([np.minimum(c, d), np.maximum(c, d)], axis=1))
-        # a bucket that goes on beyond STARS rows only grows by members: its last row stays, so that repeats are still known
-        tail = x[starts[-1] :]
-        head = tail if len(tail) <= STARS else np.concatenate([tail[:STARS], tail[-1:]])
-        if pairs and sum(map(len, pairs)):
-            p, n = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
-            yield pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "n": n})
-
-
-def candidate_edges(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int) -> DataFrame:
-    """Distinct candidate pairs of classes (a < b) of rows(source_table, class_id, payload)."""
-    banded = rows.mapInPandas(lambda it: band_rows(it, text_of, least_words, shingle), "bucket long, code long")
-    edges = banded.repartition("bucket").sortWithinPartitions("bucket", "code").mapInPandas(star_edges, "a long, b long, n long")
-    return edges.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
-
-
-def _class_shingles(b: pd.DataFrame, seen: dict[int, int], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shingle hashes, index of their class, class ids, hashes of their owners, of their tables) of the classes of a batch that are not among ``seen``; once more, with MANY, at a class's second owner. Texts of fewer words give none."""
-    ids, flat, doc, owners, salt = [], [], [], [], []
-    for table, c, payload, owner in zip(b["source_table"], b["class_id"], b["payload"], b["o"]):
-        known = seen.get(c)
-        if known is not None and known in (owner, MANY):
-            continue
-        if len(seen) >= _REMEMBERED:
-            seen.clear()
-        seen[c] = owner = owner if known is None else MANY
-        text = text_of(payload)
-        w = words_of(text) if text else []
-        if len(w) < max(least_words, shingle):
-            continue
-        h = shingle_hashes(w, shingle)
-        flat.append(h)
-        doc.append(np.full(len(h), len(ids), dtype=np.int64))
-        ids.append(c)
-        owners.append(owner)
-        salt.append(xxhash.xxh3_64_intdigest(table))
-    none = np.empty(0, dtype=np.uint64)
-    return np.concatenate([none, *flat]), np.concatenate([none.astype(np.int64), *doc]), np.array(ids, dtype=np.int64), np.array(owners, dtype=np.int64), np.array(salt, dtype=np.uint64)
+        words = [words_of(text_of(p) or "") for p in b["payload"]]
+        long = np.array([len(w) >= max(least_words, shingle) for w in words], dtype=bool)
+        flat, doc = shingles_of([w for w, ok in zip(words, long) if ok], shingle)
+        ends = np.searchsorted(doc, np.arange(int(long.sum()) + 1))
+        out = b.loc[long, ["source_table", "class_id", "o"]].reset_index(drop=True)
+        out["shingles"] = [np.unique(flat[i:j]).tobytes() for i, j in zip(ends[:-1], ends[1:])]
+        yield out
+
+
+def _loaded(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle hashes of the rows, index of their row)."""
+    flat = np.frombuffer(b"".join(b["shingles"]), dtype=np.uint64)
+    return flat, np.repeat(np.arange(len(b)), [len(s) // 8 for s in b["shingles"]])
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def common_shingles(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int) -> bytes:
-    """Packed bytes, one for each slot of shingles, how many of the counted classes have one: 0 for none, else 1 + 4 log2 of the number."""
+def common_shingles(classes: DataFrame) -> bytes:
+    """Packed bytes, one for each slot of shingles, how many of the classes have one: 0 for none, else 1 + 4 log2 of the number. It orders shingles; any table gives the same pairs."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[int, int] = {}
+        held = np.zeros(1 << SLOT_BITS, dtype=np.int64)
         for b in batches:
-            flat, doc, *_ = _class_shingles(b, seen, text_of, least_words, shingle)
-            slot, n = np.unique(np.unique(doc << SLOT_BITS | _slot(flat)) & ((1 << SLOT_BITS) - 1), return_counts=True)
-            yield pd.DataFrame({"slot": slot.astype(np.int32), "n": n})
+            flat, _ = _loaded(b)
+            held += np.bincount(_slot(flat), minlength=1 << SLOT_BITS)
+        at = np.flatnonzero(held)
+        yield pd.DataFrame({"slot": at.astype(np.int32), "n": held[at]})
 
-    part = rows.where(F.pmod(F.shiftright("class_id", 6), F.lit(COUNTED)) == 0)
-    counted = part.mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).select("slot", (1 + F.floor(4 * F.log2("n"))).cast("int").alias("level"))
+    counted = classes.select("shingles").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).select("slot", (1 + F.floor(4 * F.log2("n"))).cast("int").alias("level"))
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
@@ -317,27 +273,27 @@ def common_shingles(rows: DataFrame, text_of: Callable[[str], str | None], least
     return bytes(found["levels"]) if found else zlib.compress(bytes(1 << SLOT_BITS))
 
 
-def prefix_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int, threshold: float, packed: bytes) -> Iterator[pd.DataFrame]:
-    """From (source_table, class_id, payload, o): (bucket, id, owner, n, at, side) for each prefix shingle; n is the class's number of shingles, at the shingle's place in their order.
+def prefix_rows(batches: Iterator[pd.DataFrame], threshold: float, packed: bytes) -> Iterator[pd.DataFrame]:
+    """From (source_table, class_id, o, shingles): (bucket, id, owner, n, at, side) for each prefix shingle; n is the class's number of shingles, at the shingle's place in their order.
 
     A shingle that is expected at more than BLOCK classes has a bucket for each
     two blocks of classes, with a side each, and one for each block alone (side 2).
     """
-    common, seen = np.frombuffer(zlib.decompress(packed), dtype=np.uint8), {}
+    common = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
     for b in batches:
-        flat, doc, ids, owners, salt = _class_shingles(b, seen, text_of, least_words, shingle)
-        if not len(ids):
+        if not len(b):
             continue
+        flat, doc = _loaded(b)
+        ids, owners = b["class_id"].to_numpy(dtype=np.int64), b["o"].to_numpy(dtype=np.int64)
+        salt = np.array([xxhash.xxh3_64_intdigest(t) for t in b["source_table"]], dtype=np.uint64)
         level = common[_slot(flat)]
         order = np.lexsort((flat, level, doc))
         flat, doc, level = flat[order], doc[order], level[order]
-        keep = np.concatenate([[True], (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])])
-        flat, doc, level = flat[keep], doc[keep], level[keep]
         n = np.bincount(doc, minlength=len(ids))
         rank = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
         keep = rank < _prefix(n, threshold)[doc]
         flat, doc, level, rank = flat[keep], doc[keep], level[keep], rank[keep]
-        blocks = np.clip(np.ceil(np.exp2((level - 1.0) / 4) * COUNTED / BLOCK), 1, MOST_BLOCKS).astype(np.int64)
+        blocks = np.clip(np.ceil(np.exp2((level - 1.0) / 4) / BLOCK), 1, MOST_BLOCKS).astype(np.int64)
         at = np.repeat(np.arange(len(doc)), blocks)
         other = np.arange(len(at)) - (np.cumsum(blocks) - blocks)[at]
         own = (_mixed(ids.view(np.uint64))[doc] % blocks.astype(np.uint64)).astype(np.int64)[at]
@@ -398,36 +354,22 @@ def meetings(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.D
         yield from paired(np.concatenate(open_rows))
 
 
-def all_candidates(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int, threshold: float) -> DataFrame:
-    """Distinct pairs of classes (a < b) of rows(source_table, class_id, payload, o), every pair of different owners that reaches the threshold among them."""
-    common = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text_of, least_words, shingle))
-    prefixes = rows.mapInPandas(lambda it: prefix_rows(it, text_of, least_words, shingle, threshold, common.value), "bucket long, id long, owner long, n int, at int, side int")
+def all_candidates(classes: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (a < b) of classes(source_table, class_id, o, shingles), every pair of different owners that reaches the threshold among them."""
+    common = classes.sparkSession.sparkContext.broadcast(common_shingles(classes))
+    prefixes = classes.mapInPandas(lambda it: prefix_rows(it, threshold, common.value), "bucket long, id long, owner long, n int, at int, side int")
     met = prefixes.repartition("bucket").sortWithinPartitions("bucket", "id").mapInPandas(lambda it: meetings(it, threshold), "a long, b long, need long")
     return met.groupBy("a", "b", "need").agg(F.count("*").alias("n")).where("n >= need").select("a", "b")
 
 
-def _similarity(text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Callable[[Column, Column], Column]:
-    @F.pandas_udf(T.DoubleType())
-    def of(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[str, np.ndarray | None] = {}
-
-        def shingles(payload: str) -> np.ndarray | None:
-            if payload not in known:
-                w = words_of(text_of(payload) or "")
-                known[payload] = np.unique(shingle_hashes(w, shingle)) if len(w) >= max(least_words, shingle) else None
-            return known[payload]
-
-        out = []
-        for x, y in zip(a, b):
-            s, t = shingles(x), shingles(y)
-            if s is None or t is None:
-                out.append(0.0)
-                continue
-            n = len(np.intersect1d(s, t, assume_unique=True))
-            out.append(n / (len(s) + len(t) - n))
-        return pd.Series(out, dtype="float64")
-
-    return of
+@F.pandas_udf(T.DoubleType())
+def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = []
+    for x, y in zip(a, b):
+        s, t = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+        n = len(np.intersect1d(s, t, assume_unique=True))
+        out.append(n / (len(s) + len(t) - n))
+    return pd.Series(out, dtype="float64")
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -438,100 +380,95 @@ def _few(ids: DataFrame) -> DataFrame:
 class Duplicates:
     """Links between the classes of texts(source_table, record_key, owner, payload).
 
-    ``text_of`` turns a payload into its text (default: it is the text).
-    Rows with a null table, key or payload take part in nothing, nor do texts
-    of fewer than ``least_words`` (or ``shingle``) words; a null owner equals
-    other nulls. A class whose rows have several owners is linked to itself.
-    ``all_links``: source_table, a, b, na, nb, ra, rb, similarity, between all
-    classes of the similarity that have different owners (a = b for copies); n
-    is a class's number of rows, r its representatives: a key of its first
-    owner and one of its last. ``members``: source_table, class_id, record_key,
-    owner of linked classes. ``links``: a part of the links from star edges,
-    linear in the number of classes. All are made when first asked for and cut
-    off in the checkpoint folder.
+    ``text_of`` turns a payload into its text, no longer than the payload
+    (default: it is the text). Rows with a null table, key or payload take part
+    in nothing, nor do texts of fewer than ``least_words`` (or ``shingle``)
+    words; a null owner equals other nulls. A class whose rows have several
+    owners is linked to itself.
+    ``links``: source_table, a, b, similarity, between all classes of the
+    similarity that have different owners (a = b for copies). ``members``:
+    source_table, class_id, record_key, owner of linked classes. Both are made
+    when first asked for and cut off in the checkpoint folder.
     """
 
     def __init__(self, texts: DataFrame, threshold: float = 0.8, shingle: int = 5, least_words: int = 5, text_of: Callable[[str], str | None] = lambda x: x) -> None:
         cols = ["source_table", "record_key", "owner", "payload"]
         rows = texts.select(*[F.col(c).cast("string").alias(c) for c in cols]).where("payload IS NOT NULL AND source_table IS NOT NULL AND record_key IS NOT NULL")
+        rows = rows.where(F.length("payload") >= 2 * max(least_words, shingle) - 1)  # so long are so many words with what parts them
         self._rows = rows.withColumn("class_id", F.xxhash64("source_table", "payload").bitwiseAND(F.lit(~63))).withColumn("o", F.xxhash64(F.coalesce("owner", F.lit("\u0000"))))
-        self._texts = self._rows.select("source_table", "class_id", "payload", "o")
         self._threshold, self._how = threshold, (text_of, least_words, shingle)
 
     @cached_property
-    def links(self) -> DataFrame:
-        return self._verified(candidate_edges(self._texts, *self._how))[0]
-
-    @cached_property
-    def _complete(self) -> tuple[DataFrame, DataFrame]:
-        return self._verified(all_candidates(self._texts, *self._how, self._threshold))
-
-    @property
-    def all_links(self) -> DataFrame:
-        return self._complete[0]
-
-    @property
-    def members(self) -> DataFrame:
-        return self._complete[1]
-
-    def _verified(self, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The links among candidate pairs, and their members."""
-        rows, edges = self._rows, cut(candidates)
-        linked = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
+    def _made(self) -> tuple[DataFrame, DataFrame]:
+        rows, how = self._rows, self._how
+        edges = cut(star_edges(rows.select("source_table", "class_id", "payload"), *how))
+        ends = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
         classes = (
             rows.select("class_id", "o", F.xxhash64("record_key").alias("k"))
             .groupBy("class_id")
             .agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.min("k").alias("k"))
-            .join(linked, "class_id", "left")
+            .join(ends, "class_id", "left")
             .where(F.col("linked") | (F.col("lo") != F.col("hi")))
         )
         classes = cut(classes.drop("linked"))
-        side = lambda x: classes.select(*[F.col(c).alias(n) for c, n in (("class_id", x), ("lo", "lo" + x), ("hi", "hi" + x))])
-        pairs = edges.join(side("a"), "a").join(side("b"), "b").where("NOT (loa = hia AND lob = hib AND loa = lob)").select("a", "b")
-        copies = classes.where("lo != hi").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
-        pairs = cut(pairs.unionByName(copies))
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().join(classes.select("class_id", "k"), "class_id")
+        copied = classes.where("lo != hi").select("class_id")
+        owner = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit(MANY)).alias("o")
+        wanted = cut(families(edges, classes).unionByName(copied).distinct().join(classes, "class_id").select("class_id", owner, "k"))
         # the payload of one key of each class is enough
         payload = F.when(F.xxhash64("record_key") == F.col("k"), F.col("payload"))
-        chosen = cut(rows.join(_few(wanted), "class_id").select("source_table", "class_id", "record_key", "owner", payload.alias("payload")))
-        reps = chosen.where("payload IS NOT NULL").dropDuplicates(["class_id"])
-        score = _similarity(*self._how)
-        scored = pairs.join(reps.select("source_table", F.col("class_id").alias("a"), F.col("payload").alias("pa")), "a").join(reps.select(F.col("class_id").alias("b"), F.col("payload").alias("pb")), "b").withColumn("similarity", score("pa", "pb"))
-        links = scored.where(F.col("similarity") >= self._threshold).drop("pa", "pb")
-        by_owner = F.struct("owner", "record_key")
-        sizes = chosen.groupBy("class_id").agg(F.count("*").alias("n"), F.array(F.min(by_owner)["record_key"], F.max(by_owner)["record_key"]).alias("r"))
-        links = cut(links.join(sizes.withColumnsRenamed({"class_id": "a", "n": "na", "r": "ra"}), "a").join(sizes.withColumnsRenamed({"class_id": "b", "n": "nb", "r": "rb"}), "b"))
+        chosen = cut(rows.drop("o").join(_few(wanted), "class_id").select("source_table", "class_id", "record_key", "owner", "o", payload.alias("payload")))
+        one = chosen.where("payload IS NOT NULL").dropDuplicates(["class_id"]).select("source_table", "class_id", "o", "payload")
+        texts = cut(one.mapInPandas(lambda it: to_shingles(it, *how), "source_table string, class_id long, o long, shingles binary"))
+        side = lambda x: texts.select(F.col("class_id").alias(x), F.col("shingles").alias("s" + x))
+        pairs = all_candidates(texts, self._threshold).join(side("a"), "a").join(side("b"), "b").withColumn("similarity", _similarity("sa", "sb"))
+        found = pairs.where(F.col("similarity") >= self._threshold).select("a", "b", "similarity")
+        copies = texts.where(F.col("o") == MANY).select(F.col("class_id").alias("a"), F.col("class_id").alias("b"), F.lit(1.0).alias("similarity"))
+        links = cut(found.unionByName(copies).join(texts.select("source_table", F.col("class_id").alias("a")), "a"))
         kept = links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-        return links, chosen.drop("payload").distinct().join(kept, "class_id", "left_semi")
+        return links, cut(chosen.drop("payload", "o").distinct().join(kept, "class_id", "left_semi"))
 
-    def key_pairs(self) -> DataFrame:
-        """source_table, left_key, right_key (smaller first, each once): the links written out into keys of different owners.
+    @property
+    def links(self) -> DataFrame:
+        return self._made[0]
 
-        Where one link would give more than EXPAND pairs, every key of either
-        class is paired with the representatives of the other instead (two, of
-        different owners if there are several), so each key keeps its link.
+    @property
+    def members(self) -> DataFrame:
+        return self._made[1]
+
+    def key_pairs(self, copy_pairs: int | None = COPY_PAIRS) -> DataFrame:
+        """source_table, left_key, right_key (smaller first, each once), of_copies: the links written out into keys of different owners.
+
+        Pairs of different texts are all written out. Of one text, so are its
+        copies where they give no more than ``copy_pairs`` pairs (None: always);
+        beyond, each copy is paired with two representatives, of different
+        owners. ``of_copies`` is "pairs", "representatives", or null for pairs
+        of different texts.
         """
+        by_owner = F.struct("owner", "record_key")
+        sizes = self.members.groupBy("class_id").agg(F.count("*").alias("n"), F.array(F.min(by_owner), F.max(by_owner)).alias("r"))
         left = self.members.select(F.col("class_id").alias("a"), F.col("record_key").alias("ka"), F.col("owner").alias("oa"))
         right = self.members.select(F.col("class_id").alias("b"), F.col("record_key").alias("kb"), F.col("owner").alias("ob"))
-        links = self.all_links.select("source_table", "a", "b", "ra", "rb", (F.col("na") * F.col("nb") > EXPAND).alias("large"))
-        cols = ["source_table", "ka", "oa", "kb", "ob"]
-        full = links.where("NOT large").join(left, "a").join(right, "b").select(*cols)
-        large = links.where("large")
-        one = large.select("source_table", "a", "b", F.explode(F.array_distinct("rb")).alias("kb")).join(right, ["b", "kb"]).join(left, "a").select(*cols)
-        two = large.select("source_table", "a", "b", F.explode(F.array_distinct("ra")).alias("ka")).join(left, ["a", "ka"]).join(right, "b").select(*cols)
+        between = self.links.where("a != b").select("source_table", "a", "b", F.lit(None).cast("string").alias("of_copies"))
+        large = (F.col("n") * F.col("n") > copy_pairs) if copy_pairs is not None else F.lit(False)
+        copies = self.links.where("a = b").join(sizes.withColumnRenamed("class_id", "a"), "a").select("source_table", "a", "b", F.when(large, "representatives").otherwise("pairs").alias("of_copies"), "r")
+        cols = ["source_table", "ka", "oa", "kb", "ob", "of_copies"]
+        full = between.unionByName(copies.where("of_copies = 'pairs'").drop("r")).join(left, "a").join(right, "b").select(*cols)
+        few = copies.where("of_copies = 'representatives'").select("source_table", "b", "of_copies", F.explode(F.array_distinct("r")).alias("x"))
+        few = few.join(right, "b").select("source_table", F.col("x.record_key").alias("ka"), F.col("x.owner").alias("oa"), "kb", "ob", "of_copies")
         return (
-            full.unionByName(one)
-            .unionByName(two)
+            full.unionByName(few)
             .where((F.col("ka") != F.col("kb")) & ~F.col("oa").eqNullSafe(F.col("ob")))
-            .select("source_table", F.least("ka", "kb").alias("left_key"), F.greatest("ka", "kb").alias("right_key"))
-            .distinct()
+            .groupBy("source_table", F.least("ka", "kb").alias("left_key"), F.greatest("ka", "kb").alias("right_key"))
+            .agg(F.max("of_copies").alias("of_copies"))
         )
 
     def groups(self) -> DataFrame:
-        """source_table, record_key, group_id, n_links: for each key in a link its connected group (the smallest class id in it) and the number of classes its own is linked to."""
-        roots = connected(self.all_links.select("a", "b"))
-        degree = self.all_links.select("a", "b").unionByName(self.all_links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"))
-        return self.members.join(roots.withColumnRenamed("id", "class_id"), "class_id").join(degree, "class_id").select("source_table", "record_key", F.col("root").alias("group_id"), "n_links").distinct()
+        """source_table, record_key, group_id, n_links: for each key in a link its connected group (named by the smallest key in it) and the number of classes its own is linked to."""
+        roots = connected(self.links.select("a", "b"))
+        degree = self.links.select("a", "b").unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"))
+        at = self.members.join(roots.withColumnRenamed("id", "class_id"), "class_id").join(degree, "class_id")
+        names = at.groupBy("root").agg(F.min("record_key").alias("group_id"))
+        return at.join(names, "root").select("source_table", "record_key", "group_id", "n_links").distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from strataq.llm import near_duplicates as nd
 
@@ -41,7 +42,7 @@ def corpus(seed=4, families=25):
 def test_against_all_pairs(spark, rows):
     data = corpus() + [("a", "n1", None, corpus()[0][3], "x", 1), ("a", "n2", None, corpus()[0][3], "x", 1), ("a", "short", "o9", "zu kurz", "x", 1), ("a", "empty", "o9", "", "x", 1), ("a", "null", "o9", None, "x", 1), ("a", None, "o9", "w1 " * 80, "x", 1), (None, "k", "o9", "w1 " * 80, "x", 1)]
     for threshold, k, least in ((0.7, 3, 40), (0.8, 5, 5)):
-        got = nd.Duplicates(spark.createDataFrame(data, S), threshold, k, least).key_pairs()
+        got = nd.Duplicates(spark.createDataFrame(data, S), threshold, k, least).key_pairs().drop("of_copies")
         assert rows(got) == brute(data, threshold, k, least)
 
 
@@ -67,58 +68,77 @@ def test_groups_are_connected_parts(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
-def test_hot_copies_keep_their_links(spark, monkeypatch):
-    monkeypatch.setattr(nd, "EXPAND", 50)
+def test_hot_copies_keep_their_links(spark, rows):
     text = corpus(1)[0][3]
     near = text + " ende"
     data = [("a", f"c{i:03}", f"o{i % 30}", text, "", 0) for i in range(120)] + [("a", f"d{i}", f"p{i}", near, "", 0) for i in range(3)] + [("a", f"z{i}", "q", f"v{i} " * 50, "", 0) for i in range(120)]
-    pairs = nd.Duplicates(spark.createDataFrame(data, S), 0.7, 3, 40).key_pairs().collect()
-    assert len(pairs) < 1200
-    owner = {d[1]: d[2] for d in data}
-    assert all(owner[r["left_key"]] != owner[r["right_key"]] for r in pairs)
-    keys = {k for r in pairs for k in (r["left_key"], r["right_key"])}
-    assert keys == {d[1] for d in data if not d[1].startswith("z")}
-    assert any(r["left_key"][0] == "c" and r["right_key"][0] == "d" for r in pairs)
-
-
-def test_large_family_stays_connected(spark, rows):
-    r = random.Random(8)
-    base = [f"w{i}" for i in range(90)]
+    dup = nd.Duplicates(spark.createDataFrame(data, S), 0.7, 3, 40)
+    want = brute(data, 0.7, 3, 40)
+    assert rows(dup.key_pairs(None).drop("of_copies")) == want == rows(dup.key_pairs(10**6).drop("of_copies"))
+    few = dup.key_pairs(50).collect()
+    got = {(r["source_table"], r["left_key"], r["right_key"]) for r in few}
+    different = {x for x in want if {x[1][0], x[2][0]} == {"c", "d"}}
+    assert different <= got <= set(want) and len(got) < 1200
+    assert {k for r in few for k in (r["left_key"], r["right_key"])} == {d[1] for d in data if not d[1].startswith("z")}
+    kinds = {r["of_copies"] for r in few if {r["left_key"][0], r["right_key"][0]} == {"c"}}
+    assert kinds == {"representatives"} and {r["of_copies"] for r in few if "d" in r["left_key"] + r["right_key"] and "c" in r["left_key"] + r["right_key"]} == {None}
+
+
+def variants(number, changes=2, seed=3):
+    """Keys and texts of a family; their similarities lie on both sides of 0.7."""
+    r = random.Random(seed)
     data = []
-    for i in range(700):
-        w = list(base)
-        for _ in range(3):
+    for i in range(number):
+        w = [f"w{j}" for j in range(90)]
+        for _ in range(changes):
             w[r.randrange(90)] = f"v{r.randrange(50)}"
-        data.append(("a", f"k{i:03}", f"o{i}", " ".join(w), "", 0))
-    for n in (1, 7):
-        dup = nd.Duplicates(spark.createDataFrame(data, S).repartition(n), 0.7, 3, 40)
-        groups = dup.groups().collect()
-        assert len(groups) == 700 and len({g["group_id"] for g in groups}) == 1
-        assert dup.links.count() < 700 * nd.STARS * 8
-        assert all(len(shingles(data[int(a[1:])][3], 3) & shingles(data[int(b[1:])][3], 3)) >= 0.7 * len(shingles(data[int(a[1:])][3], 3) | shingles(data[int(b[1:])][3], 3)) for _, a, b in rows(dup.key_pairs())[:500])
+        data.append(("a", f"k{i:03}", f"o{i % 97}", " ".join(w), "", 0))
+    return data
 
 
-def test_hot_buckets_become_stars_before_the_exchange():
-    masks = nd._masks()
-    rng = np.random.default_rng(5)
-    ids = rng.integers(0, 2**58, 500, dtype=np.uint64) << np.uint64(6)
-    keys = np.concatenate([np.full(500, 3 << 6 | 5), (np.arange(500) << 8) | 9]).astype(np.uint64)
-    codes = np.concatenate([ids ^ masks[5], ids ^ masks[9]])
-    k, c = nd._reduced(keys, codes, masks)
-    edges = (k & np.uint64(63)) == 63
-    assert (~edges).sum() == 500 + nd.STARS and edges.sum() == sum(range(500 - nd.STARS, 500))
-    assert set((k[edges] & ~np.uint64(63)).tolist()) <= set(ids.tolist()) >= set(c[edges].tolist())
+@pytest.mark.parametrize("number", [50, 200, 700])
+def test_large_family_gives_every_pair(spark, rows, number):
+    data = variants(number, 3)
+    want = brute(data, 0.7, 3, 40)
+    dup = nd.Duplicates(spark.createDataFrame(data, S).repartition(5), 0.7, 3, 40)
+    assert rows(dup.key_pairs().drop("of_copies")) == want
+    assert len({g["group_id"] for g in dup.groups().collect()}) == 1
 
 
-def test_large_bucket_is_linear():
-    import pandas as pd
+def test_blocks_of_hot_shingles_give_every_pair(spark, rows, monkeypatch):
+    data = variants(300, 3)
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    monkeypatch.setattr(nd, "HOT", 8)
+    assert rows(nd.Duplicates(spark.createDataFrame(data, S).repartition(3), 0.7, 3, 40).key_pairs().drop("of_copies")) == brute(data, 0.7, 3, 40)
+
+
+def test_one_owner_s_stars_count_where_another_batch_has_the_other_owner(spark, rows, monkeypatch):
+    """All but one of a hot family have one owner; the one is alone in its batch, or not."""
+    monkeypatch.setattr(nd, "HOT", 4)
+    data = [(t, k, "one" if i != 17 else "two", x, e, c) for i, (t, k, _, x, e, c) in enumerate(variants(60, 2))]
+    want = brute(data, 0.7, 3, 40)
+    assert len(want) > 20
+    for n in (1, 3, 60):
+        assert rows(nd.Duplicates(spark.createDataFrame(data, S).repartition(n), 0.7, 3, 40).key_pairs().drop("of_copies")) == want
+
 
-    n = 5000
-    rows = pd.DataFrame({"bucket": np.full(n, 64, dtype=np.int64), "code": np.sort(np.random.default_rng(1).integers(-(2**62), 2**62, n))})
-    one = sum(len(x) for x in nd.star_edges(iter([rows])))
-    cut = [rows.iloc[a : a + 777] for a in range(0, n, 777)]
-    edges = pd.concat(list(nd.star_edges(iter(cut))))
-    assert one == len(edges) <= nd.STARS * n and edges["n"].sum() == len(edges)
+def test_families_follow_stars_of_batches(spark):
+    """Centres 0, 100, 200 stand in one bucket; only the star within the batch of 200 has another owner."""
+    edges = [(0, 100, False), (0, 200, False), (100, 101, True), (200, 201, True), (500, 501, False), (500, 502, False)]
+    owners = [(x, 7 if x != 201 else 8) for x in (0, 100, 101, 200, 201, 500, 501, 502)]
+    classes = spark.createDataFrame([(c, o, o) for c, o in owners], "class_id long, lo long, hi long")
+    got = nd.families(spark.createDataFrame(edges, "a long, b long, early boolean"), classes).collect()
+    assert sorted(r["class_id"] for r in got) == [0, 100, 101, 200, 201]
+
+
+def test_hot_buckets_become_stars_before_the_exchange():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 2**57, 500, dtype=np.uint64) << np.uint64(6)
+    keys = np.concatenate([np.full(500, 3 << 6 | 5), np.full(500, 4 << 6 | 6), (np.arange(500) << 8) | 9]).astype(np.uint64)
+    k, c = nd._reduced(keys, np.concatenate([ids, ids, ids]))
+    edges = (k & np.uint64(63)) == 63
+    assert (~edges).sum() == 502 and edges.sum() == 499  # both hot buckets give the same edges
+    assert set(c[edges].tolist()) == {ids.min()} and set((k[edges] & ~np.uint64(63)).tolist()) == set(ids.tolist()) - {ids.min()}
 
 
 def test_densified_signatures_estimate_similarity():
@@ -142,24 +162,3 @@ def test_connected(spark):
     got = {r["id"]: r["root"] for r in nd.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got[3] == 1 and got[8] == 7 and got[9] == 9 and {got[100 + i] for i in range(41)} == {100} and {got[500 + i] for i in range(60)} == {500}
 
-
-def variants(number, changes=2, seed=3):
-    """Keys and texts of a family; their similarities lie on both sides of 0.7."""
-    r = random.Random(seed)
-    data = []
-    for i in range(number):
-        w = [f"w{j}" for j in range(90)]
-        for _ in range(changes):
-            w[r.randrange(90)] = f"v{r.randrange(50)}"
-        data.append(("a", f"k{i:03}", f"o{i % 97}", " ".join(w), "", 0))
-    return data
-
-
-def test_large_family_gives_every_pair(spark, rows, monkeypatch):
-    data = variants(300, 3)
-    want = brute(data, 0.7, 3, 40)
-    assert 5000 < len(want) < 40000
-    for block in (512, 16):
-        monkeypatch.setattr(nd, "BLOCK", block)
-        dup = nd.Duplicates(spark.createDataFrame(data, S).repartition(5), 0.7, 3, 40)
-        assert rows(dup.key_pairs()) == want
