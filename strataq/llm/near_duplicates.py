@@ -4,24 +4,25 @@
    JVM; classes, not rows, are compared, and a task works each class once.
 2. Each class gets one hash per bin (one permutation); empty bins borrow from a
    filled one by a fixed order of probes, the same for all texts. Bands of bins
-   are bucket keys; two numbers a band go through the exchange.
+   are bucket keys; two numbers a band go through the exchange, and one bit of
+   each bin as the class's sketch.
 3. Within a bucket only star edges count, from its smallest class to the others,
    so a bucket of m classes gives m - 1 pairs. A bucket that is hot within a
    batch becomes a star before the exchange: only its centre goes on, its edges
    are spread by their member, so a bucket with a third of all classes is no
    hot task.
-4. A star whose classes have several owners is a family. Two classes that share
-   a bucket are in one star, so a family holds every pair of its classes; which
-   of them reach the threshold, stars do not say.
-5. The classes in families are therefore joined exactly. Their distinct shingles
+4. Edges whose sketches differ by more than similar texts' do go. The others'
+   connected parts that have several owners are the families.
+5. The classes in families are joined exactly: their distinct shingles
    are ordered rarest first; two classes of the threshold share one among the
    first ``n - ceil(threshold * n) + 1`` of either. All classes that meet at one
    are paired, hot shingles in blocks of classes; at how many shingles a pair
    meets bounds what it can share, and the rest is verified by all shingles.
 
-A pair of similarity 0.7 shares no bucket with a probability of 0.0005, one of
-0.75 of 0.00003; nothing else is lost. Collected to the driver are counts, which
-decide whether class ids may be broadcast, and a table of fixed size.
+So stars only have to hold a family together; which of its pairs reach the
+threshold is found exactly. A pair of similarity 0.7 shares no bucket with a
+probability of 0.0005. Collected to the driver are counts, which decide whether
+class ids may be broadcast, and a table of fixed size.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ from strataq.session import cut
 
 #: Bands, and bins per band.
 BANDS, ROWS = 28, 4
+#: Bins that count as independent in a short text, and standard errors by which a sketch may fall short.
+_FREE_BINS, _ERRORS = 50, 3.4
 #: Rows of one bucket in a batch from which it becomes a star before the exchange.
 HOT = 64
 #: Most class ids that are broadcast to the rows they are looked up in; beyond, the two are joined by a shuffle.
@@ -150,8 +153,22 @@ def band_keys(sig: np.ndarray, salt: np.ndarray) -> np.ndarray:
     return (h & ~np.uint64(63)) | np.arange(BANDS, dtype=np.uint64)
 
 
-#: The last six bits of a row's first number: its band, or this for an edge. Class ids have them zero.
-_EDGE = np.uint64(63)
+#: The last six bits of a row's first number: its band, or one of these for an edge and for the two halves of a sketch. Class ids have them zero.
+_EDGE, _HALVES = np.uint64(63), (np.uint64(61), np.uint64(62))
+
+
+def sketches(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One bit of each bin, in two numbers."""
+    bits = (_mixed(sig) & np.uint64(1)).astype(np.uint8)
+    half = sig.shape[1] // 2
+    packed = [np.packbits(np.pad(x, ((0, 0), (0, 64 - half))), axis=1).view(np.uint64).ravel() for x in (bits[:, :half], bits[:, half:])]
+    return packed[0], packed[1]
+
+
+def most_differing_bits(threshold: float) -> int:
+    """By how many bits the sketches of texts of that similarity differ at most, but for ``_ERRORS`` standard errors."""
+    p = (1 + threshold) / 2
+    return int(BANDS * ROWS * (1 - p + _ERRORS * (p * (1 - p) / _FREE_BINS) ** 0.5))
 
 
 def _reduced(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +193,7 @@ _REMEMBERED = 1_000_000
 
 
 def band_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Iterator[pd.DataFrame]:
-    """From (source_table, class_id, payload): (bucket, id) for each band, or for an edge; texts of fewer words give none."""
+    """From (source_table, class_id, payload): (bucket, id) for each band, or for an edge, and (class and half, bits) for its sketch; texts of fewer words give none."""
     seen: set[int] = set()
     for b in batches:
         ids, texts, salt = [], [], []
@@ -197,35 +214,40 @@ def band_rows(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | No
             continue
         flat, doc = shingles_of(texts, shingle)
         sig = one_permutation(flat, doc, len(ids), BANDS * ROWS)
-        owner = np.repeat(np.array(ids, dtype=np.int64).view(np.uint64), BANDS)
-        keys, codes = _reduced(band_keys(sig, np.array(salt, dtype=np.uint64)).ravel(), owner)
+        own = np.array(ids, dtype=np.int64).view(np.uint64)
+        keys, codes = _reduced(band_keys(sig, np.array(salt, dtype=np.uint64)).ravel(), np.repeat(own, BANDS))
+        keys, codes = np.concatenate([keys, *[own | half for half in _HALVES]]), np.concatenate([codes, *sketches(sig)])
         yield pd.DataFrame({"bucket": keys.view(np.int64), "id": codes.view(np.int64)})
 
 
 def star_edges(rows: DataFrame, text_of: Callable[[str], str | None], least_words: int, shingle: int) -> DataFrame:
-    """a, b, early: the distinct edges from the centres a of the buckets to their other classes, of rows(source_table, class_id, payload). ``early`` edges are of stars made within a batch; their centre stands in the bucket for all of them."""
-    banded = rows.mapInPandas(lambda it: band_rows(it, text_of, least_words, shingle), "bucket long, id long")
-    early = F.col("bucket").bitwiseAND(F.lit(63)) == 63
-    centre = F.min("id").over(Window.partitionBy("bucket"))
-    starred = banded.select("id", early.alias("early"), F.col("bucket").bitwiseAND(F.lit(~63)).alias("member"), centre.alias("centre"))
-    edges = starred.where(F.col("early") | (F.col("id") != F.col("centre"))).select(F.when(F.col("early"), F.col("id")).otherwise(F.col("centre")).alias("a"), F.when(F.col("early"), F.col("member")).otherwise(F.col("id")).alias("b"), "early")
-    return edges.groupBy("a", "b").agg(F.max("early").alias("early"))
+    """a, b, bits: the distinct edges from the centres a of the buckets to their other classes, of rows(source_table, class_id, payload); where b is 61 or 62, half of the sketch of a."""
+    banded = rows.mapInPandas(lambda it: band_rows(it, text_of, least_words, shingle), "bucket long, id long").repartition("bucket")
+    kind, first = F.col("bucket").bitwiseAND(F.lit(63)), F.col("bucket").bitwiseAND(F.lit(~63))
+    starred = banded.withColumn("centre", F.min("id").over(Window.partitionBy("bucket")))
+    x = starred.select(
+        F.when(kind == 63, F.col("id")).when(kind > 60, first).otherwise(F.col("centre")).alias("a"),
+        F.when(kind == 63, first).when(kind > 60, kind).otherwise(F.col("id")).alias("b"),
+        F.when((kind > 60) & (kind < 63), F.col("id")).otherwise(F.lit(0)).alias("bits"),
+    )
+    return x.where("a != b").groupBy("a", "b").agg(F.max("bits").alias("bits"))
+
+
+def close_edges(starred: DataFrame, threshold: float) -> DataFrame:
+    """a, b: the edges of star_edges whose ends' sketches allow the threshold."""
+    kind = F.col("b").bitwiseAND(F.lit(63))
+    sketch = starred.where(kind > 0).groupBy("a").agg(F.max(F.when(kind == 61, F.col("bits"))).alias("x"), F.max(F.when(kind == 62, F.col("bits"))).alias("y"))
+    side = lambda c: sketch.select(F.col("a").alias(c), F.col("x").alias("x" + c), F.col("y").alias("y" + c))
+    both = starred.where(kind == 0).select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    differ = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb")))
+    return both.where(differ <= most_differing_bits(threshold)).select("a", "b")
 
 
 def families(edges: DataFrame, classes: DataFrame) -> DataFrame:
-    """class_id of the classes in stars whose classes(class_id, lo, hi) have several owners.
-
-    A star made within a batch belongs to its centre's bucket: its owners count
-    there, and it is in a family if its centre is.
-    """
-    owners = lambda x: classes.select(*[F.col(c).alias(n) for c, n in (("class_id", x), ("lo", "lo" + x), ("hi", "hi" + x))])
-    known = edges.join(owners("a"), "a").join(owners("b"), "b").select("a", "b", "early", (~((F.col("loa") == F.col("hia")) & (F.col("lob") == F.col("hib")) & (F.col("loa") == F.col("lob")))).alias("mixed"))
-    known = cut(known)
-    within = known.where("early AND mixed").select("a").distinct()
-    mixed = known.where("mixed").select("a").unionByName(known.join(_few(within).withColumnRenamed("a", "b"), "b", "left_semi").select("a")).distinct()
-    first = cut(known.join(_few(mixed), "a").select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
-    early = known.where("early").join(first.withColumnRenamed("class_id", "a"), "a").select(F.col("b").alias("class_id"))
-    return first.unionByName(early).distinct()
+    """class_id of the classes in connected parts of edges(a, b) whose classes(class_id, lo, hi) have several owners."""
+    at = cut(connected(edges).withColumnRenamed("id", "class_id").join(classes.select("class_id", "lo", "hi"), "class_id"))
+    mixed = at.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("root")
+    return at.join(_few(mixed), "root", "left_semi").select("class_id")
 
 
 def to_shingles(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Iterator[pd.DataFrame]:
@@ -401,7 +423,8 @@ class Duplicates:
     @cached_property
     def _made(self) -> tuple[DataFrame, DataFrame]:
         rows, how = self._rows, self._how
-        edges = cut(star_edges(rows.select("source_table", "class_id", "payload"), *how))
+        starred = cut(star_edges(rows.select("source_table", "class_id", "payload"), *how))
+        edges = cut(close_edges(starred, self._threshold))
         ends = edges.select(F.explode(F.array("a", "b")).alias("class_id")).distinct().withColumn("linked", F.lit(True))
         classes = (
             rows.select("class_id", "o", F.xxhash64("record_key").alias("k"))

@@ -122,13 +122,28 @@ def test_one_owner_s_stars_count_where_another_batch_has_the_other_owner(spark,
         assert rows(nd.Duplicates(spark.createDataFrame(data, S).repartition(n), 0.7, 3, 40).key_pairs().drop("of_copies")) == want
 
 
-def test_families_follow_stars_of_batches(spark):
-    """Centres 0, 100, 200 stand in one bucket; only the star within the batch of 200 has another owner."""
-    edges = [(0, 100, False), (0, 200, False), (100, 101, True), (200, 201, True), (500, 501, False), (500, 502, False)]
-    owners = [(x, 7 if x != 201 else 8) for x in (0, 100, 101, 200, 201, 500, 501, 502)]
-    classes = spark.createDataFrame([(c, o, o) for c, o in owners], "class_id long, lo long, hi long")
-    got = nd.families(spark.createDataFrame(edges, "a long, b long, early boolean"), classes).collect()
-    assert sorted(r["class_id"] for r in got) == [0, 100, 101, 200, 201]
+def test_families_are_parts_of_several_owners(spark):
+    edges = [(0, 100), (0, 200), (100, 101), (200, 201), (500, 501), (500, 502), (600, 601)]
+    owners = [(x, 7 if x != 201 else 8) for x in (0, 100, 101, 200, 201, 500, 501, 502, 600)]
+    classes = spark.createDataFrame([(c, o, o) for c, o in owners] + [(601, 7, 9)], "class_id long, lo long, hi long")
+    got = nd.families(spark.createDataFrame(edges, "a long, b long"), classes).collect()
+    assert sorted(r["class_id"] for r in got) == [0, 100, 101, 200, 201, 600, 601]
+
+
+def test_sketches_tell_similar_from_other_texts():
+    r = random.Random(6)
+    allowed = nd.most_differing_bits(0.7)
+    missed = passed = tried = 0
+    for _ in range(300):
+        base = [f"x{r.randrange(10**6)}" for _ in range(51)]
+        texts = [base, base[:42] + [f"y{r.randrange(10**6)}" for _ in range(9)], base[:12] + [f"z{r.randrange(10**6)}" for _ in range(39)]]  # 42 / 60 = 0.7 of the first, 12 / 90 of the second
+        flat, doc = nd.shingles_of(texts, 1)
+        x, y = nd.sketches(nd.one_permutation(flat, doc, 3, nd.BANDS * nd.ROWS))
+        differ = lambda i, j: bin(int(x[i] ^ x[j])).count("1") + bin(int(y[i] ^ y[j])).count("1")
+        missed += differ(0, 1) > allowed
+        passed += differ(0, 2) <= allowed
+        tried += 1
+    assert missed <= 2 and passed < tried / 4
 
 
 def test_hot_buckets_become_stars_before_the_exchange():
