@@ -11,8 +11,8 @@
    batch becomes a star before the exchange: only its centre goes on, its edges
    are spread by their member, so a bucket with a third of all classes is no
    hot task.
-4. Edges whose sketches differ by more than similar texts' do go. The others'
-   connected parts that have several owners are the families.
+4. Edges whose sketches differ by more than similar texts' do go. What the
+   others link with an edge between owners is a family.
 5. The classes in families are joined exactly: their distinct shingles
    are ordered rarest first; two classes of the threshold share one among the
    first ``n - ceil(threshold * n) + 1`` of either. All classes that meet at one
@@ -243,11 +243,30 @@ def close_edges(starred: DataFrame, threshold: float) -> DataFrame:
     return both.where(differ <= most_differing_bits(threshold)).select("a", "b")
 
 
+#: From a class to its star's centre within a batch, to its bucket's centre, and to another batch's centre.
+_HOPS = 3
+
+
 def families(edges: DataFrame, classes: DataFrame) -> DataFrame:
-    """class_id of the classes in connected parts of edges(a, b) whose classes(class_id, lo, hi) have several owners."""
-    at = cut(connected(edges).withColumnRenamed("id", "class_id").join(classes.select("class_id", "lo", "hi"), "class_id"))
-    mixed = at.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("root")
-    return at.join(_few(mixed), "root", "left_semi").select("class_id")
+    """class_id of the classes no more than _HOPS edges(a, b) away from an edge between owners, by their classes(class_id, lo, hi).
+
+    Classes that share a bucket are linked by four edges at most: to the centres
+    of their batches' stars and from there to the bucket's. If their owners
+    differ, one of these edges is between owners, and no class on the way is
+    farther from it.
+    """
+    owners = lambda x: classes.select(*[F.col(c).alias(n) for c, n in (("class_id", x), ("lo", "lo" + x), ("hi", "hi" + x))])
+    between = edges.join(owners("a"), "a").join(owners("b"), "b").where("NOT (loa = hia AND lob = hib AND loa = lob)")
+    found = cut(between.select(F.explode(F.array("a", "b")).alias("class_id")).distinct())
+    number = found.count()
+    for _ in range(_HOPS):
+        near = _few(found)
+        ways = [edges.join(near.withColumnRenamed("class_id", x), x, "left_semi").select(F.col(y).alias("class_id")) for x, y in ("ab", "ba")]
+        found = cut(found.unionByName(ways[0]).unionByName(ways[1]).distinct())
+        before, number = number, found.count()
+        if number == before:
+            break
+    return found
 
 
 def to_shingles(batches: Iterator[pd.DataFrame], text_of: Callable[[str], str | None], least_words: int, shingle: int) -> Iterator[pd.DataFrame]:

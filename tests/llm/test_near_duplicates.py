@@ -122,7 +122,7 @@ def test_one_owner_s_stars_count_where_another_batch_has_the_other_owner(spark,
         assert rows(nd.Duplicates(spark.createDataFrame(data, S).repartition(n), 0.7, 3, 40).key_pairs().drop("of_copies")) == want
 
 
-def test_families_are_parts_of_several_owners(spark):
+def test_families_reach_from_an_edge_between_owners_to_all_of_a_bucket(spark):
     edges = [(0, 100), (0, 200), (100, 101), (200, 201), (500, 501), (500, 502), (600, 601)]
     owners = [(x, 7 if x != 201 else 8) for x in (0, 100, 101, 200, 201, 500, 501, 502, 600)]
     classes = spark.createDataFrame([(c, o, o) for c, o in owners] + [(601, 7, 9)], "class_id long, lo long, hi long")
