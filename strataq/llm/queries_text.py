@@ -103,11 +103,24 @@ ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k+11], ' ') AS g FROM (SELEC
 hits AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))
 """
 
+# Texts as pieces that are words or what lies between; a word is leaked if a common n-gram covers it.
+_CLEANED = _GRAMS.rstrip() + r""",
+found AS (SELECT DISTINCT g FROM ig),
+leaked AS (SELECT DISTINCT doc_id, unnest(range(k, k + 12)) AS w FROM (SELECT doc_id, k, array_to_string(w[k:k+11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM dw)) JOIN found USING (g)),
+split AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+') AS p FROM documents WHERE doc_id IN (SELECT doc_id FROM leaked)),
+piece AS (SELECT doc_id, unnest(range(1, len(p) + 1)) AS i, unnest(p) AS x FROM split),
+numbered AS (SELECT *, sum(CASE WHEN regexp_matches(x, '[\p{L}\p{N}]') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS w, regexp_matches(x, '[\p{L}\p{N}]') AS is_word FROM piece),
+marked AS (SELECT n.doc_id, i, x, is_word, a.w IS NOT NULL AND (is_word OR b.w IS NOT NULL) AS gone, is_word AND a.w IS NOT NULL AND c.w IS NULL AS starts
+FROM numbered n LEFT JOIN leaked a ON a.doc_id = n.doc_id AND a.w = n.w LEFT JOIN leaked b ON b.doc_id = n.doc_id AND b.w = n.w + 1 LEFT JOIN leaked c ON c.doc_id = n.doc_id AND c.w = n.w - 1)
+SELECT doc_id, CAST(count(*) FILTER (starts) AS INTEGER) AS n_spans, CAST(coalesce(sum(length(x)) FILTER (gone), 0) AS INTEGER) AS removed_chars, coalesce(string_agg(x, '' ORDER BY i) FILTER (NOT gone), '') AS clean_text FROM marked GROUP BY doc_id
+"""
+
 QUERIES = {"p2_found": p2_found, "p2_unified": p2_unified, "p2_equal_titles": p2_equal_titles, "p4_found": p4_found, "p4_pieces": p4_pieces, "p8_found": p8_found, "p8_items": p8_items, "p8_cleaned": p8_cleaned}
 
 SQL = {
     "p2_found": _BLOCKS + f"SELECT DISTINCT 'law_norms' AS source_table, id AS record_key FROM law_norms WHERE regexp_matches(title, '{_ODD}') UNION ALL SELECT DISTINCT 'law_version_blocks', norm_id || '|' || version_id || '|' || block_index FROM vals WHERE regexp_matches(v, '{_ODD}')",
     "p4_found": _BLOCKS + "SELECT norm_id, version_id, block_index FROM vals GROUP BY ALL HAVING sum(length(v)) + count(*) - 1 > (SELECT max_size FROM size_limits WHERE limit_name = 'block_part')",
     "p8_found": _GRAMS + "SELECT doc_id, item_id FROM hits",
+    "p8_cleaned": _CLEANED,
     "p8_items": _GRAMS + "SELECT item_id, count(*) AS n_documents FROM hits GROUP BY item_id",
 }
