@@ -2,12 +2,13 @@
 
 Every kind is found by its own form; a form that also occurs in file numbers,
 amounts or citations needs a check digit or a word that announces it. An item
-is replaced by ``[TYPE:pseudonym]``. Numbers are permuted within their format by
-a keyed Feistel network (separators, prefixes and check digits stay valid, and
-the birth date inside a pension number stays a date), so equal values keep
-equal pseudonyms in all documents, however they were written; names,
-addresses and mail addresses get a keyed tag. A batch works each distinct
-value once; there is no exchange.
+is replaced by ``[TYPE:pseudonym]``. A value is first brought into one writing
+(``canonical``); numbers are then permuted within their format by a keyed
+Feistel network (country codes and check digits stay valid, and the birth date
+inside a pension number stays a date); names, addresses and mail addresses get a
+keyed tag. So equal values have equal placeholders in all documents, however
+they were written, and a keyed link tag. A batch works each distinct value once;
+there is no exchange.
 """
 
 from __future__ import annotations
@@ -157,17 +158,27 @@ _LOWER = r"[a-zäöüß]{2,}(?:-[a-zäöüß]{2,})*"
 _TITLE = r"(?:(?:Dr|Prof|Mag|Dipl)\.(?:-[A-Z][a-z]+\.)?(?:\s?(?:med|jur|phil|rer|nat|iur|h\.\s?c)\.)*)"
 _POLITE = r"(?:Herrn?|Frau)"
 _TWO = rf"(?!(?:Herrn?|Frau|Dr|Prof)\b)(?:{_UPPER}(?:\s{_UPPER}){{1,3}}|{_LAST},\s{_LAST}|(?:[A-ZÄÖÜ]\.\s?){{1,2}}{_LAST}|{_LAST}\s(?:(?:von|zu|van|de)\s)?{_LAST})"
-_CUE = r"(?:[Mm]ein Name ist|[Ii]ch heiße|[Mm]ir hat(?:te)?|[Ll]aut|[Nn]ach Auskunft von|[Nn]ach Angaben von|[Nn]ame:|gez\.|i\.\s?[AV]\.|Grüßen,?|Gruß,?|Grüße,?|Hochachtungsvoll,?|Sachbearbeiter(?:in)?|Ansprechpartner(?:in)?|Kolleg(?:e|in|en)|im Namen von|im Auftrag von|vertreten durch)"
+_CUE = r"(?:[Mm]ein Name ist|[Ii]ch bin|[Kk]ontakt(?:person)?:|[Ii]ch heiße|[Mm]ir hat(?:te)?|[Ll]aut|[Nn]ach Auskunft von|[Nn]ach Angaben von|[Nn]ame:|gez\.|i\.\s?[AV]\.|Grüßen,?|Gruß,?|Grüße,?|Hochachtungsvoll,?|Sachbearbeiter(?:in)?|Ansprechpartner(?:in)?|Kolleg(?:e|in|en)|im Namen von|im Auftrag von|vertreten durch)"
 _NAME_CUED = re.compile(rf"(?<![\w]){_CUE}[\s:]+(?:{_POLITE}\s+)?(?:{_TITLE}\s*)*({_TWO})(?!\w)")
 _NAME_ONE = re.compile(rf"(?<![\w-])(?:{_POLITE}\s+(?:{_TITLE}\s*)*|(?:{_TITLE}\s*)+)({_TWO}|{_LAST}|{_UPPER})(?!\w)")
 _NAME_LOWER = re.compile(rf"(?<![\w]){_CUE}[\s:]+({_LOWER}\s{_LOWER})(?=\s+(?:gilt|von|hat|sagt|ist|[A-ZÄÖÜ§(])|\s*[.,;\n]|\s*$)")
 _NAME_MAILBOX = re.compile(rf"^\s*\"?(?:{_POLITE}\s+)?(?:{_TITLE}\s*)*({_TWO}|{_LAST}|{_LOWER}\s{_LOWER})\"?\s*<")
+# Common first names, which make a name of the capitalised word behind them without any cue.
+_FIRST = "Achim|Alexander|Andrea|Andreas|Angelika|Anja|Anke|Anna|Anne|Annette|Anton|Antje|Astrid|Barbara|Beate|Benjamin|Bernd|Bettina|Birgit|Björn|Brigitte|Carla|Carsten|Charlotte|Christa|Christian|Christiane|Christina|Christine|Christoph|Claudia|Clara|Cornelia|Daniel|Daniela|David|Dennis|Dieter|Dirk|Doris|Elena|Elisabeth|Elke|Emil|Emma|Erika|Erik|Eva|Felix|Florian|Frank|Franziska|Friedrich|Gabriele|Georg|Gerd|Gerhard|Gisela|Günter|Hannah|Hans|Heike|Heinrich|Heinz|Helga|Helmut|Herbert|Horst|Ines|Ingrid|Jan|Jana|Jens|Johanna|Johannes|Jonas|Jörg|Jürgen|Julia|Julian|Jutta|Karin|Karl|Katharina|Kathrin|Katja|Kerstin|Klaus|Kristina|Lars|Laura|Lea|Lena|Leon|Lina|Lisa|Lukas|Manfred|Manuela|Marc|Maria|Marie|Marion|Markus|Martin|Martina|Matthias|Max|Maximilian|Melanie|Michael|Michaela|Monika|Moritz|Nadine|Nicole|Niklas|Nina|Olaf|Oliver|Patrick|Paul|Paula|Peter|Petra|Philipp|Rainer|Ralf|Regina|Renate|Robert|Rolf|Sabine|Sabrina|Sandra|Sarah|Sebastian|Silke|Simon|Sophie|Stefan|Stefanie|Susanne|Sven|Tanja|Thomas|Thorsten|Tim|Tobias|Tom|Ulrich|Ulrike|Ursula|Ute|Uwe|Vera|Volker|Walter|Werner|Wolfgang|Yvonne"
+_FIRST_NAMES = frozenset(_FIRST.split("|"))
+_NAME_FIRST = re.compile(rf"(?<![\w-])((?:{_FIRST})(?:[-\s](?:{_FIRST}))?\s(?:(?:von|zu|van|de)\s)?{_LAST})(?![\w-])(?!\s(?:Stiftung|Institut|Schule|Gymnasium|Haus|Preis|Gesellschaft|Verein|Platz|Straße|Allee|Weg|Ring|Ufer|Park|Halle)\b)")
 # Small words and kinds of things that are no names.
 _NO_LOWER = frozenset("der die das dem den des ein eine einem einen einer eines mein meine meinem meiner dein sein seine ihr ihre ihrem unser unsere und oder nicht nach vor mit bei auf aus von zum zur im in an am als auch es er sie wir ich man so bitte diese dieser dieses diesem allen aller alle anliegend beigefügt".split())
 _NO_NAME = re.compile(r"(?:gesetz|verordnung|satzung|ordnung|absatz|paragraph|nummer|blatt|seite|amt|ministerium|behörde|stelle|gemeinde|stiftung|verband|verein|auskunft|bescheid|anlage|tabelle|ung|keit|heit|schaft|recht|kreis|stadt|land|gericht)$", re.IGNORECASE)
 _STARTERS = frozenset("Der Die Das Den Dem Im In An Am Bei Bitte Mit Mir Mein Meine Ich Es Er Sie Wir Zur Zum Zuständig Laut Tel Mobil Post Rückfragen Rufen Erreichbar Vergleichen Betrag Seite Vorgang Gemeint Aktenzeichen Anschrift Angegeben Auf Für Gegen Über Unter Nach Vor Zu Seit Aus Von Wenn Dass Das Leider Danke Vielen Beste Hier Dort Also Auch Wegen Außerdem".split())
 
 
+# What a text must hold for the longer forms to be looked for at all.
+_DIGIT, _LONG_NUMBER, _POSTCODE = re.compile(r"\d"), re.compile(r"\d{2,5}[ /]?\d{3}"), re.compile(r"\d{5}\s")
+_WRITTEN_AT, _CARD_FORM, _PHONE_START = re.compile(r"[\[({<]\s?(?:at|ät|AT)\s?[\])}>]|\s(?:at|ät|AT)\s"), re.compile(r"[A-Z][A-Z0-9]{8}"), re.compile(r"\+[1-9]|0\d")
+_STREET_WORD = re.compile(r"[Ss]tra(?:ß|ss)e|[Ss]tr\.|[Gg]asse|[Aa]llee|[Ww]eg|[Pp]latz|[Dd]amm|[Uu]fer|[Cc]haussee|[Ss]tei?g|[Ss]tieg|[Pp]fad|[Rr]ing|[Kk]anal|[Pp]romenade|[Tt]wiete")
+
+
 def _card_ok(s: str) -> bool:
     return any(c.isdigit() for c in s) and s == s.upper()
 
@@ -197,40 +208,50 @@ def find_items(text: str) -> list[tuple[str, int, int]]:
             taken.append((a, b))
             out.append((kind, a, b))
 
-    if "@" in text or "at" in text or "ät" in text or "AT" in text:
+    if "@" in text or _WRITTEN_AT.search(text):
         for m in _EMAIL.finditer(text):
             a = m.start()
             if m.group().lower().startswith("mailto"):
                 a += len("mailto")
             take("EMAIL", a, m.end())
-    digits = any(c.isdigit() for c in text)
-    if digits:
+    if _DIGIT.search(text):
         for m in _IBAN.finditer(text):
             raw = re.sub(r"[ -]", "", m.group(1))
             if iban_valid(raw) or (raw.startswith("DE") and len(raw) == 22) or text[: m.start()].rstrip(": ").upper().endswith("IBAN"):
                 take("IDNUM", *m.span(1))
         for m in _PENSION.finditer(text):
             take("IDNUM", *m.span(1))
-        for pattern in (_TAX_WORD, _TAX_OFFICE):
-            for m in pattern.finditer(text):
-                take("IDNUM", *m.span(1))
-        for m in _CARD.finditer(text):
-            if _card_ok(m.group(1)):
-                take("IDNUM", *m.span(1))
-        for m in _PHONE.finditer(text):
-            n = sum(c.isdigit() for c in m.group())
-            if 9 <= n <= 16 and not _NO_PHONE.search(text[max(0, m.start() - 24) : m.start()]):
-                take("PHONE", m.start(), m.end())
-        for m in _TAX.finditer(text):
-            raw = m.group(1).replace(" ", "")
-            if tax_check(raw[:10]) == raw[10] and not _NO_PHONE.search(text[max(0, m.start() - 24) : m.start()]):
-                take("IDNUM", *m.span(1))
-        for pattern in (_ANNOUNCED, _WITH_TOWN, _BARE):
-            for m in pattern.finditer(text):
+        long_number = _LONG_NUMBER.search(text)
+        if long_number:
+            for pattern in (_TAX_WORD, _TAX_OFFICE):
+                for m in pattern.finditer(text):
+                    take("IDNUM", *m.span(1))
+        if _CARD_FORM.search(text):
+            for m in _CARD.finditer(text):
+                if _card_ok(m.group(1)):
+                    take("IDNUM", *m.span(1))
+        if _PHONE_START.search(text):
+            for m in _PHONE.finditer(text):
+                n = sum(c.isdigit() for c in m.group())
+                if 9 <= n <= 16 and not _NO_PHONE.search(text[max(0, m.start() - 24) : m.start()]):
+                    take("PHONE", m.start(), m.end())
+        if long_number:
+            for m in _TAX.finditer(text):
+                raw = m.group(1).replace(" ", "")
+                if tax_check(raw[:10]) == raw[10] and not _NO_PHONE.search(text[max(0, m.start() - 24) : m.start()]):
+                    take("IDNUM", *m.span(1))
+        for m in _ANNOUNCED.finditer(text):
+            take("ADDRESS", *m.span(1))
+        if _POSTCODE.search(text):
+            for m in _WITH_TOWN.finditer(text):
+                take("ADDRESS", *m.span(1))
+        if _STREET_WORD.search(text):
+            for m in _BARE.finditer(text):
                 take("ADDRESS", *m.span(1))
     for m in _NAME_MAILBOX.finditer(text):
         take("NAME", *m.span(1))
-    for pattern in (_NAME_CUED, _NAME_ONE, _NAME_LOWER):
+    known = not _FIRST_NAMES.isdisjoint(text.replace("-", " ").split())
+    for pattern in (_NAME_CUED, _NAME_ONE, _NAME_LOWER, *([_NAME_FIRST] if known else [])):
         at = 0
         while m := pattern.search(text, at):
             span = _name_span(m, pattern)
@@ -243,21 +264,32 @@ def find_items(text: str) -> list[tuple[str, int, int]]:
 # --- pseudonyms -------------------------------------------------------------
 
 
-def _phone(f: Feistel, s: str) -> str:
-    """The number behind the country's and the trunk prefix is permuted; prefix and separators stay."""
-    m = re.match(r"(?:\+49|0049)?[ ./-]*(?:\(0\)|\(?0(?!0))?", s) if s.startswith(("+49", "0049")) else re.match(r"(?:\+|00)\d{1,3}[ ./-]*(?:\(0\))?|\(?0", s)
-    at = m.end() if m else 0
-    return s[:at] + _refill(s[at:], f.digits("".join(c for c in s[at:] if c.isdigit())), str.isdigit)
+#: Country code of telephone numbers that name none.
+HOME = "49"
+
+
+def _phone_digits(s: str) -> str:
+    """Country code and number, digits only."""
+    digits = "".join(c for c in s if c.isdigit())
+    if s.lstrip(" (").startswith("+") or digits.startswith("00"):
+        digits = "".join(c for c in s.replace("(0)", "") if c.isdigit()).removeprefix("00")
+    elif digits.startswith("0"):
+        digits = HOME + digits[1:]
+    return HOME + digits[len(HOME) + 1 :] if digits.startswith(HOME + "0") else digits
+
+
+def _phone(f: Feistel, value: str) -> str:
+    """Behind the country's first two digits the number is permuted."""
+    return value[:3] + f.digits(value[3:])
 
 
 _DAYS = (datetime.date(1999, 12, 31) - datetime.date(1900, 1, 1)).days + 1
 
 
-def _idnum(f: Feistel, s: str) -> str:
-    raw = re.sub(r"[ /-]", "", s)
+def _idnum(f: Feistel, raw: str) -> str:
     if re.fullmatch(r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}", raw):
         bban = f.signs(raw[4:])
-        return _refill(s, raw[:2] + iban_check(raw[:2], bban) + bban)
+        return raw[:2] + iban_check(raw[:2], bban) + bban
     if re.fullmatch(r"\d{8}[A-Z]\d{3}", raw):
         try:
             day = datetime.date(1900 + int(raw[6:8]), int(raw[4:6]), int(raw[2:4]))
@@ -267,13 +299,13 @@ def _idnum(f: Feistel, s: str) -> str:
             date = raw[2:8]
         rest = f.signs(raw[:2] + raw[8:11])
         first = rest[:2] + date + rest[2:]
-        return _refill(s, first + pension_check(first))
+        return first + pension_check(first)
     if re.fullmatch(r"\d{11}", raw):
         ten = f.digits(raw[:10])
         while ten[0] == "0" and raw[0] != "0":
             ten = f.digits(ten)
-        return _refill(s, ten + tax_check(ten))
-    return _refill(s, f.signs(raw.upper()))
+        return ten + tax_check(ten)
+    return f.signs(raw)
 
 
 _WRITTEN = (re.compile(r"\s*[\[({<]\s*(?:at|ät)\s*[\])}>]\s*|\s+(?:at|ät)\s+|\s*@\s*", re.IGNORECASE), re.compile(r"\s*[\[({<]\s*(?:punkt|dot)\s*[\])}>]\s*|\s+(?:punkt|dot)\s+", re.IGNORECASE))
@@ -281,39 +313,47 @@ _WRITTEN = (re.compile(r"\s*[\[({<]\s*(?:at|ät)\s*[\])}>]\s*|\s+(?:at|ät)\s+|\
 
 def canonical(kind: str, value: str) -> str:
     """The value without the differences of writing that do not matter for linking."""
+    if kind == "PHONE":
+        return "+" + _phone_digits(value)
+    if kind == "IDNUM":
+        return re.sub(r"[\s/.-]", "", value).upper()
     if kind == "EMAIL":
         return _WRITTEN[1].sub(".", _WRITTEN[0].sub("@", value)).lower()
-    v = re.sub(r"\s+", " ", value).casefold()
-    if kind == "NAME" and (m := re.fullmatch(r"([^,]+), (.+)", v)):
-        v = f"{m[2]} {m[1]}"
-    return v
+    v = " ".join(re.sub(r"[\s,]+" if kind == "ADDRESS" else r"\s+", " ", value).casefold().split())
+    if kind == "NAME":
+        m = re.fullmatch(r"([^,]+), (.+)", v)
+        return f"{m[2]} {m[1]}" if m else v
+    v = re.sub(r" d[- ](?=\d{5} )", " ", re.sub(r"str(?:asse\b|\.|\b)", "strasse", v))
+    return re.sub(r"(\d) ([a-z])(?= \d{5} |$)", r"\1\2", v)
 
 
 def pseudonym(f: Feistel, kind: str, value: str) -> str:
-    if kind == "PHONE":
-        return _phone(f, value)
-    if kind == "IDNUM":
-        return _idnum(f, value)
-    return f.tag(kind, canonical(kind, value))
+    v = canonical(kind, value)
+    return _phone(f, v) if kind == "PHONE" else _idnum(f, v) if kind == "IDNUM" else f.tag(kind, v)
+
+
+def link_tag(f: Feistel, kind: str, value: str) -> str:
+    """A keyed tag, equal for equal values."""
+    return f.tag("link " + kind, canonical(kind, value))
 
 
-def redact_text(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int, str]]]:
-    """The text with placeholders, and (type, start 1 …, length, placeholder) of each item."""
+def redact_text(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int, str, str]]]:
+    """The text with placeholders, and (type, start 1 …, length, placeholder, link tag) of each item."""
     out, items, last = [], [], 0
     for kind, a, b in find_items(text):
         placeholder = f"[{kind}:{pseudonym(f, kind, text[a:b])}]"
         out += [text[last:a], placeholder]
-        items.append((kind, a + 1, b - a, placeholder))
+        items.append((kind, a + 1, b - a, placeholder, link_tag(f, kind, text[a:b])))
         last = b
     return "".join([*out, text[last:]]), items
 
 
-_ITEM = T.StructType([T.StructField("pii_type", T.StringType()), T.StructField("start_pos", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("placeholder", T.StringType())])
+_ITEM = T.StructType([T.StructField("pii_type", T.StringType()), T.StructField("start_pos", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("placeholder", T.StringType()), T.StructField("link", T.StringType())])
 _REDACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("items", T.ArrayType(_ITEM))])
 
 
 def redact(df: DataFrame, text: str, key: bytes, out: str = "redacted") -> DataFrame:
-    """Adds ``out``: struct<text, items array<struct<pii_type, start_pos, length, placeholder>>> for the string column ``text``.
+    """Adds ``out``: struct<text, items array<struct<pii_type, start_pos, length, placeholder, link>>> for the string column ``text``.
 
     Null gives null, an empty text no items. An existing column ``out`` is
     replaced, other columns stay. Whole texts are read, of any length.

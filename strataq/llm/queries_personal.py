@@ -30,9 +30,10 @@ def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_linked(spark: SparkSession, d: str) -> DataFrame:
-    """Placeholders that occur in several reports: equal values stay linked."""
-    items = _redacted(spark, d).select("report_id", F.explode("redacted.items").alias("i"))
-    return items.groupBy("i.pii_type", "i.placeholder").agg(F.countDistinct("report_id").alias("n_reports")).where("n_reports > 1")
+    """Values that occur in several reports, by their link tags, and in how many writings."""
+    values = _redacted(spark, d).select("report_id", "value", F.explode("redacted.items").alias("i"))
+    items = values.select("report_id", "i.pii_type", "i.link", "i.placeholder", F.substring("value", F.col("i.start_pos"), F.col("i.length")).alias("written"))
+    return items.groupBy("pii_type", "link").agg(F.min("placeholder").alias("placeholder"), F.countDistinct("report_id").alias("n_reports"), F.countDistinct("written").alias("n_writings")).where("n_reports > 1")
 
 
 QUERIES = {"p3_found": p3_found, "p3_redacted": p3_redacted, "p3_linked": p3_linked}
