@@ -84,7 +84,7 @@ def ordered_subsequence(spark, d):
 
 def order_consistency(spark, d):
     """Versions in which the paragraph numbers do not grow with the block index."""
-    one = table(spark, d, "law_version_blocks").where("part_count = 1").select("norm_id", "version_id", "block_index", F.regexp_extract(F.get_json_object("block_json", "$.label"), "^§ (\\d+)", 1).alias("n")).distinct().where("n != ''")
+    one = _stored(spark, d).select("norm_id", "version_id", "block_index", F.regexp_extract(F.get_json_object("block_json", "$.label"), "^§ (\\d+)", 1).alias("n")).distinct().where("n != ''")
     w = Window.partitionBy("norm_id", "version_id").orderBy("block_index")
     x = one.withColumn("before", F.lag(F.col("n").cast("int")).over(w))
     return x.groupBy("norm_id", "version_id").agg(F.count("*").alias("numbered"), F.count_if(F.col("before") >= F.col("n").cast("int")).alias("breaks"))
@@ -217,7 +217,7 @@ SELECT norm_id, version_id, coalesce(e.id, l.id) AS entry, CASE WHEN e.id IS NOT
     "tier_coverage": "WITH t AS (" + qq.SQL["tiered_resolution"] + ") SELECT tier, count(*) AS n, round(count(*) / (SELECT count(*) FROM t), 4) AS rate FROM t GROUP BY tier",
     "readiness": _LV + ", k AS (SELECT jurisdiction, title IS NOT NULL AND current_version_id IS NOT NULL AND id IN (SELECT norm_id FROM lv) AS ok FROM ln) SELECT jurisdiction, bool_and(ok) AS ready, count(*) FILTER (NOT ok) AS blocked FROM k GROUP BY jurisdiction",
     "ordered_subsequence": _LV + "SELECT norm_id, count(*) FILTER (b > simulation_valid_from) AS breaks FROM (SELECT norm_id, simulation_valid_from, lag(simulation_valid_from) OVER (PARTITION BY norm_id ORDER BY version_id) AS b FROM lv) GROUP BY norm_id HAVING breaks > 0",
-    "order_consistency": "SELECT norm_id, version_id, count(*) AS numbered, count(*) FILTER (b >= n) AS breaks FROM (SELECT *, lag(n) OVER (PARTITION BY norm_id, version_id ORDER BY block_index) AS b FROM (SELECT DISTINCT norm_id, version_id, block_index, CAST(regexp_extract(json_extract_string(block_json, '$.label'), '^§ (\\d+)', 1) AS INTEGER) AS n FROM law_version_blocks WHERE part_count = 1 AND regexp_matches(json_extract_string(block_json, '$.label'), '^§ \\d+'))) GROUP BY ALL",
+    "order_consistency": qq.WHOLE + " SELECT norm_id, version_id, count(*) AS numbered, count(*) FILTER (b >= n) AS breaks FROM (SELECT *, lag(n) OVER (PARTITION BY norm_id, version_id ORDER BY block_index) AS b FROM (SELECT DISTINCT norm_id, version_id, block_index, CAST(regexp_extract(json_extract_string(j, '$.label'), '^§ (\\d+)', 1) AS INTEGER) AS n FROM whole WHERE regexp_matches(json_extract_string(j, '$.label'), '^§ \\d+'))) GROUP BY ALL",
     "candidate_augmentation": qs._sql_kinds() + "SELECT request, doc_id, min(s) AS source FROM (SELECT request, doc_id, 1 AS s FROM hits WHERE strict UNION ALL SELECT request, doc_id, 2 FROM hits WHERE kind IN ('title', 'identity')) GROUP BY ALL",
     "german_dates": "SELECT DISTINCT citation, try_cast(regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 3) || '-' || list_position([" + ", ".join(f"'{m}'" for m in _MONTHS) + "], regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 2)) || '-' || regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 1) AS DATE) AS day FROM law_versions WHERE regexp_matches(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})')",
     "index_integrity": "SELECT count(*) AS documents, 0 AS wrong FROM documents",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
 from strataq.operators import quality as ql
+from strataq.operators.blocks import BLOCK_KEYS, assemble_parts
 from strataq.queries.relational import _LN
 from strataq.queries.temporal import norms_now, versions_now
 from strataq.session import table
@@ -129,10 +130,11 @@ def tiered_resolution(spark, d):
 
 
 def prefix_title_match(spark, d):
-    """Titles of at least 25 characters of which one begins the other: met by their first 25, then verified."""
-    n = norms_now(spark, d, "title").select("id", tx.normalise(F.col("title")).alias("k")).where("length(k) >= 25").withColumn("b", F.left("k", F.lit(25)))
-    m = n.withColumnsRenamed({"id": "other", "k": "ok"})
-    return n.join(m, "b").where("id < other").where(F.startswith("ok", "k") | F.startswith("k", "ok")).select("id", "other")
+    """Titles of at least 25 characters of which one begins the other: every title meets the beginnings of the others by hash, then is verified. Titles that only share a beginning do not meet."""
+    n = norms_now(spark, d, "title").select("id", tx.normalise(F.col("title")).alias("k")).where("length(k) >= 25")
+    begins = n.select(F.col("id").alias("longer"), F.col("k").alias("lk"), F.explode(F.sequence(F.lit(25), F.length("k"))).alias("n")).select("longer", "lk", F.xxhash64(F.left("lk", F.col("n"))).alias("h"))
+    met = n.withColumn("h", F.xxhash64("k")).join(begins, "h").where(F.startswith("lk", "k") & (F.col("id") != F.col("longer")))
+    return met.select(F.least("id", "longer").alias("id"), F.greatest("id", "longer").alias("other")).distinct()
 
 
 def reference_frequency(spark, d):
@@ -223,8 +225,8 @@ def ledger_status(spark, d):
 
 def version_compare(spark, d):
     """Units of neighbouring versions by label and title: changed, new, dropped or same."""
-    one = table(spark, d, "law_version_blocks").where("part_count = 1").select("norm_id", "version_id", "block_index", "block_json").distinct()
-    u = one.select("norm_id", "version_id", F.get_json_object("block_json", "$.label").alias("label"), F.get_json_object("block_json", "$.title").alias("title"), F.md5("block_json").alias("h"))
+    whole = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS)
+    u = whole.select("norm_id", "version_id", F.get_json_object("block_json", "$.label").alias("label"), F.get_json_object("block_json", "$.title").alias("title"), F.md5("block_json").alias("h"))
     u = u.groupBy("norm_id", "version_id", "label", "title").agg(F.min("h").alias("h"))
     w = Window.partitionBy("norm_id").orderBy("version_id")
     nxt = u.select("norm_id", "version_id").distinct().withColumn("next_version", F.lead("version_id").over(w)).where("next_version IS NOT NULL")
@@ -280,6 +282,8 @@ def chunk_roundtrip(spark, d):
     return g.select("doc_id", "n_parts", (F.md5("text") == F.col("h")).alias("same"))
 
 
+#: Blocks rejoined from their parts, in DuckDB.
+WHOLE = """WITH parts AS (SELECT DISTINCT * FROM law_version_blocks WHERE part_index >= 0 AND part_index < part_count), whole AS (SELECT norm_id, version_id, block_index, string_agg(block_json, '' ORDER BY part_index) AS j, count(*) AS n, max(part_count) AS pc FROM parts GROUP BY ALL HAVING n = pc)"""
 _FNV = "list_reduce(list_prepend(2166136261::BIGINT, list_transform(string_split('audit' || chr(0) || doc_id, ''), lambda c: CASE WHEN c = chr(0) THEN 0 ELSE ord(c) END::BIGINT)), lambda h, x: (xor(h, x) * 16777619) & 4294967295)"
 _LV = _LN.rstrip() + ", lv AS (SELECT * FROM law_versions QUALIFY row_number() OVER (PARTITION BY norm_id, version_id ORDER BY updated_at DESC) = 1) "
 _NORM = lambda c: f"trim(regexp_replace(replace(strip_accents(lower({c})), 'ß', 'ss'), '[^a-z0-9*]+', ' ', 'g'))"
@@ -330,7 +334,7 @@ SQL = {
     "redirect_map": "SELECT CASE p_brand WHEN 'Brand#1' THEN 'Brand#2' WHEN 'Brand#3' THEN 'Brand#4' ELSE p_brand END AS brand, count(*) AS n FROM part GROUP BY 1",
     "change_feed": _LV + "SELECT norm_id, max(simulation_valid_from) FILTER (simulation_valid_from <= DATE '2026-01-01') AS effective, min(simulation_valid_from) FILTER (simulation_valid_from > DATE '2026-01-01') AS upcoming FROM lv GROUP BY norm_id HAVING effective IS NOT NULL ORDER BY effective DESC, norm_id LIMIT 40",
     "ledger_status": "WITH l AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_linestatus = 'F') AS f FROM lineitem GROUP BY 1) SELECT o_orderstatus, CASE WHEN n IS NULL THEN 'no-lines' WHEN o_orderstatus = 'F' AND f < n THEN 'contradictory' WHEN f = n THEN 'applied' WHEN f = 0 THEN 'pending' ELSE 'partly' END AS status, count(*) AS n FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY ALL",
-    "version_compare": """WITH u AS (SELECT norm_id, version_id, json_extract_string(block_json, '$.label') AS label, json_extract_string(block_json, '$.title') AS title, min(md5(block_json)) AS h FROM (SELECT DISTINCT norm_id, version_id, block_index, block_json FROM law_version_blocks WHERE part_count = 1) GROUP BY ALL),
+    "version_compare": f"""{WHOLE}, u AS (SELECT norm_id, version_id, json_extract_string(j, '$.label') AS label, json_extract_string(j, '$.title') AS title, min(md5(j)) AS h FROM whole GROUP BY ALL),
 nx AS (SELECT norm_id, version_id, lead(version_id) OVER (PARTITION BY norm_id ORDER BY version_id) AS nv FROM (SELECT DISTINCT norm_id, version_id FROM u) QUALIFY nv IS NOT NULL),
 x AS (SELECT norm_id, nv AS version_id, label, title, h AS h1, NULL AS h2 FROM u JOIN nx USING (norm_id, version_id) UNION ALL SELECT u.norm_id, u.version_id, label, title, NULL, h FROM u JOIN nx ON nx.norm_id = u.norm_id AND nx.nv = u.version_id),
 g AS (SELECT norm_id, version_id, label, title, max(h1) AS h1, max(h2) AS h2 FROM x GROUP BY ALL)

@@ -6,23 +6,27 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
+from strataq.operators import quality as ql
 from strataq.operators import resolve as rs
-from strataq.operators.listing import top_per_group
-from strataq.queries.quality import _LV, _NORM
+from strataq.operators.blocks import BLOCK_KEYS, assemble_parts
+from strataq.queries.quality import _LV, _NORM, WHOLE
 from strataq.queries.temporal import norms_now, versions_now
 from strataq.session import table
 
 
 def title_order(spark, d):
+    """Every norm's position by area and sort key."""
     n = norms_now(spark, d, "jurisdiction", "title").withColumn("k", tx.sort_key(F.col("title")))
-    return top_per_group(n, ["jurisdiction"], [F.asc_nulls_first("k"), F.asc("id")], 15, "position").select("jurisdiction", "position", "id")
+    return ql.global_rank(n, ["jurisdiction", "k", "id"]).select("jurisdiction", F.col("rank").alias("position"), "id")
 
 
 def activity_order(spark, d):
-    """Norms by their last change, or the start of their current version, newest first."""
+    """Every norm's position by its last change, or the start of its current version, newest first."""
     last = versions_now(spark, d).groupBy(F.col("norm_id").alias("id")).agg(F.max(F.when(F.col("simulation_valid_from") <= "2026-09-01", F.col("simulation_valid_from"))).alias("last"))
     n = norms_now(spark, d, "current_valid_from").join(last, "id", "left")
-    return n.select("id", F.coalesce("last", "current_valid_from").alias("activity")).orderBy(F.desc_nulls_last("activity"), "id").limit(60)
+    a = n.select("id", F.coalesce("last", "current_valid_from").alias("activity"))
+    # days from newest to oldest as growing numbers, unknown ones last
+    return ql.global_rank(a.withColumn("k", F.coalesce(-F.unix_date("activity"), F.lit(2**31 - 1))), ["k", "id"]).select("id", "activity", F.col("rank").alias("position"))
 
 
 def rank_vectors(spark, d):
@@ -30,7 +34,7 @@ def rank_vectors(spark, d):
     v = F.when(F.col("o_orderpriority").startswith("1"), F.array(F.lit(1))).when(F.col("o_orderpriority").startswith("2"), F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(2), F.length("o_orderstatus"), F.lit(3)))
     o = table(spark, d, "orders").select("o_orderkey", v.alias("v"), "o_orderpriority")
     at = [F.coalesce(F.try_element_at("v", F.lit(i)), F.lit(0)) for i in (1, 2, 3)]
-    return o.orderBy(*at, "o_orderkey").limit(40).select("o_orderkey", "o_orderpriority")
+    return ql.global_rank(o.select("o_orderkey", *[c.alias(f"v{i}") for i, c in enumerate(at)]), ["v0", "v1", "v2", "o_orderkey"]).select("o_orderkey", F.col("rank").alias("position"))
 
 
 def gap_match(spark, d):
@@ -45,7 +49,7 @@ def gap_match(spark, d):
 def entry_link(spark, d):
     """Titles of documents to titles of norms by word overlap, unique best only."""
     sig = lambda c: F.array_distinct(F.filter(tx.words(c), lambda x: F.length(x) >= 5))
-    docs = table(spark, d, "documents").where("doc_type IN ('norm_text', 'contents', 'tariff')").select("doc_id", sig(F.substring_index("text", "\n", 1)).alias("w"))
+    docs = table(spark, d, "documents").select("doc_id", sig(F.substring_index("text", "\n", 1)).alias("w"))
     n = norms_now(spark, d, "title").select("id", sig(F.col("title")).alias("w"))
     return rs.overlap_match(docs, n, "doc_id", "id", "w", 0.75)
 
@@ -90,7 +94,7 @@ def page_ranges(spark, d):
 
 def baseline_units(spark, d):
     """Per norm and unit label the block that holds at the baseline: latest version that covers the day."""
-    b = table(spark, d, "law_version_blocks").where("part_count = 1").select("norm_id", "version_id", "block_index", F.get_json_object("block_json", "$.label").alias("label")).distinct()
+    b = assemble_parts(table(spark, d, "law_version_blocks"), BLOCK_KEYS).select(*BLOCK_KEYS, F.get_json_object("block_json", "$.label").alias("label")).distinct()
     v = versions_now(spark, d).where("simulation_valid_from <= '2025-01-01' AND (simulation_valid_to IS NULL OR simulation_valid_to >= '2025-01-01')").select("norm_id", "version_id", "simulation_valid_from")
     g = b.where("label IS NOT NULL").join(v, ["norm_id", "version_id"]).groupBy("norm_id", "label").agg(F.max(F.struct("simulation_valid_from", "version_id", "block_index")).alias("x"))
     return g.select("norm_id", "label", F.col("x.version_id").alias("version_id"), F.col("x.block_index").alias("block_index"))
@@ -123,17 +127,17 @@ _WORDS = lambda c: f"list_filter(string_split(coalesce({_NORM(c)}, ''), ' '), la
 _DOCLINE = "split_part(text, chr(10), 1)"
 
 SQL = {
-    "title_order": _LV + "SELECT jurisdiction, position, id FROM (SELECT jurisdiction, id, row_number() OVER (PARTITION BY jurisdiction ORDER BY trim(regexp_replace(lower(replace(strip_accents(title), 'ß', 'ss')), '[^a-z0-9]+', ' ', 'g')) NULLS FIRST, id) AS position FROM ln) WHERE position <= 15",
-    "activity_order": _LV + ", a AS (SELECT norm_id, max(simulation_valid_from) FILTER (simulation_valid_from <= DATE '2026-09-01') AS l FROM lv GROUP BY 1) SELECT id, coalesce(l, current_valid_from) AS activity FROM ln LEFT JOIN a ON a.norm_id = id ORDER BY activity DESC NULLS LAST, id LIMIT 60",
-    "rank_vectors": "SELECT o_orderkey, o_orderpriority FROM orders ORDER BY CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 1 ELSE 2 END, CASE o_orderpriority[1] WHEN '1' THEN 0 WHEN '2' THEN -1 ELSE length(o_orderstatus) END, CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 0 ELSE 3 END, o_orderkey LIMIT 40",
+    "title_order": _LV + "SELECT jurisdiction, row_number() OVER (ORDER BY jurisdiction NULLS FIRST, trim(regexp_replace(lower(replace(strip_accents(title), 'ß', 'ss')), '[^a-z0-9]+', ' ', 'g')) NULLS FIRST, id) AS position, id FROM ln",
+    "activity_order": _LV + ", a AS (SELECT norm_id, max(simulation_valid_from) FILTER (simulation_valid_from <= DATE '2026-09-01') AS l FROM lv GROUP BY 1) SELECT id, coalesce(l, current_valid_from) AS activity, row_number() OVER (ORDER BY coalesce(l, current_valid_from) DESC NULLS LAST, id) AS position FROM ln LEFT JOIN a ON a.norm_id = id",
+    "rank_vectors": "SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 1 ELSE 2 END, CASE o_orderpriority[1] WHEN '1' THEN 0 WHEN '2' THEN -1 ELSE length(o_orderstatus) END, CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 0 ELSE 3 END, o_orderkey) AS position FROM orders",
     "gap_match": _LV + ", r AS (SELECT DISTINCT id, jurisdiction || ':' || lower(trim(norm_slug)) AS norm_id, version_id, strftime(created_at, '%Y-%m') AS m FROM feedback_reports WHERE norm_slug IS NOT NULL), v AS (SELECT norm_id, list(version_id) AS vs, list(strftime(simulation_valid_from, '%Y-%m')) AS ms FROM lv GROUP BY 1), k AS (SELECT id, coalesce(list_contains(vs, version_id), false) AS a, coalesce(list_contains(ms, m), false) AS b, vs IS NOT NULL AS c FROM r LEFT JOIN v USING (norm_id)) SELECT id, CASE WHEN a AND b AND c THEN 'exact' WHEN a AND (b OR c) THEN 'strong' WHEN a OR b OR c THEN 'weak' ELSE 'none' END AS level FROM k",
-    "entry_link": _LV + f", a AS (SELECT doc_id, list_distinct(list_filter({_WORDS(_DOCLINE)}, lambda x: length(x) >= 5)) AS w FROM documents WHERE doc_type IN ('norm_text', 'contents', 'tariff')), b AS (SELECT id, list_distinct(list_filter({_WORDS('title')}, lambda x: length(x) >= 5)) AS w FROM ln), p AS (SELECT doc_id, id, len(list_intersect(a.w, b.w)) AS s, least(len(a.w), len(b.w)) AS m FROM a, b WHERE len(a.w) > 0 AND len(b.w) > 0), q AS (SELECT *, s / m AS score FROM p WHERE s / m >= 0.75), r AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY score DESC, s DESC) AS k FROM q) SELECT doc_id, min(id) AS id, round(max(score), 6) AS score FROM r WHERE k = 1 GROUP BY doc_id HAVING count(*) = 1",
+    "entry_link": _LV + f", a AS (SELECT doc_id, list_distinct(list_filter({_WORDS(_DOCLINE)}, lambda x: length(x) >= 5)) AS w FROM documents), b AS (SELECT id, list_distinct(list_filter({_WORDS('title')}, lambda x: length(x) >= 5)) AS w FROM ln), p AS (SELECT doc_id, id, len(list_intersect(a.w, b.w)) AS s, least(len(a.w), len(b.w)) AS m FROM a, b WHERE len(a.w) > 0 AND len(b.w) > 0), q AS (SELECT *, s / m AS score FROM p WHERE s / m >= 0.75), r AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY score DESC, s DESC) AS k FROM q) SELECT doc_id, min(id) AS id, round(max(score), 6) AS score FROM r WHERE k = 1 GROUP BY doc_id HAVING count(*) = 1",
     "identity_sanity": _LV + f", j AS (SELECT list_distinct({_WORDS('split_part(d.text, chr(10), 1)')}) AS w, list_distinct({_WORDS('ln.title')}) AS t FROM documents d JOIN ln ON ln.id = d.norm_id) SELECT CASE WHEN len(list_intersect(w, t)) / greatest(1, least(len(w), len(t))) >= 0.5 THEN 'plausible' ELSE 'doubtful' END AS sanity, count(*) AS n FROM j GROUP BY 1",
     "length_tolerance": "SELECT CASE WHEN n_chars IS NULL THEN 'unknown' WHEN g = 0 THEN 'exact' WHEN g <= 0.03 * n_chars THEN 'transform' WHEN g <= 0.12 * n_chars + 200 THEN 'parse' ELSE 'off' END AS klass, count(*) AS n FROM (SELECT n_chars, abs(length(coalesce(text, '')) - n_chars) AS g FROM documents) GROUP BY 1",
     "enumeration_gaps": "SELECT norm_id, count(*) AS n, min(version_id) AS first FROM (SELECT DISTINCT norm_id, version_id FROM law_source_objects s WHERE version_id <> '' AND NOT EXISTS (SELECT 1 FROM law_versions v WHERE v.norm_id = s.norm_id AND v.version_id = s.version_id)) GROUP BY 1",
     "evidence_match": _LV + ", u AS (SELECT norm_id, source_valid_from, min(version_id) AS version FROM lv WHERE source_valid_from IS NOT NULL GROUP BY ALL HAVING count(*) = 1) SELECT s.norm_id, source_index, version FROM (SELECT DISTINCT norm_id, source_index, source_valid_from FROM law_source_objects WHERE version_id = '') s LEFT JOIN u ON u.norm_id = s.norm_id AND u.source_valid_from = s.source_valid_from",
     "page_ranges": _LV + ", c AS (SELECT id, CAST(regexp_extract(initial_citation, 'Blatt (\\d+) S\\. (\\d+)', 1) AS INTEGER) AS issue, CAST(regexp_extract(initial_citation, 'Blatt (\\d+) S\\. (\\d+)', 2) AS INTEGER) AS page FROM ln WHERE regexp_matches(initial_citation, 'Blatt \\d+ S\\. \\d+')), s AS (SELECT id AS entry, issue, page AS low, coalesce(lead(page) OVER (PARTITION BY issue ORDER BY page, id) - 1, 9999) AS until FROM c), a AS (SELECT DISTINCT issue, unnest([page, page + 3]) AS p FROM c) SELECT a.issue, p, entry FROM a JOIN s ON s.issue = a.issue AND p BETWEEN low AND until",
-    "baseline_units": _LV + ", b AS (SELECT DISTINCT norm_id, version_id, block_index, json_extract_string(block_json, '$.label') AS label FROM law_version_blocks WHERE part_count = 1) SELECT b.norm_id, label, arg_max(b.version_id, (simulation_valid_from, b.version_id, block_index)) AS version_id, arg_max(block_index, (simulation_valid_from, b.version_id, block_index)) AS block_index FROM b JOIN lv ON lv.norm_id = b.norm_id AND lv.version_id = b.version_id WHERE label IS NOT NULL AND simulation_valid_from <= DATE '2025-01-01' AND (simulation_valid_to IS NULL OR simulation_valid_to >= DATE '2025-01-01') GROUP BY ALL",
+    "baseline_units": WHOLE + _LV.replace("WITH ln", ", ln", 1) + ", b AS (SELECT DISTINCT norm_id, version_id, block_index, json_extract_string(j, '$.label') AS label FROM whole) SELECT b.norm_id, label, arg_max(b.version_id, (simulation_valid_from, b.version_id, block_index)) AS version_id, arg_max(block_index, (simulation_valid_from, b.version_id, block_index)) AS block_index FROM b JOIN lv ON lv.norm_id = b.norm_id AND lv.version_id = b.version_id WHERE label IS NOT NULL AND simulation_valid_from <= DATE '2025-01-01' AND (simulation_valid_to IS NULL OR simulation_valid_to >= DATE '2025-01-01') GROUP BY ALL",
     "publication_links": _LV + ", n AS (SELECT initial_citation AS c, min(id) AS link FROM ln WHERE initial_citation IS NOT NULL GROUP BY 1 HAVING count(DISTINCT id) = 1) SELECT link IS NOT NULL AS linked, link = norm_id AS own, count(*) AS n FROM lv LEFT JOIN n ON n.c = lv.citation WHERE citation IS NOT NULL GROUP BY ALL",
     "title_audit": _LV + f", k AS (SELECT id, {_NORM('title')} AS k FROM ln) SELECT id, CASE WHEN coalesce(k, '') = '' THEN 'blank' WHEN count(*) OVER (PARTITION BY k) > 1 THEN 'ambiguous' ELSE 'ok' END AS verdict FROM k",
     "foreign_records": _LV + ", s AS (SELECT norm_id, count(DISTINCT source_index) AS k FROM law_source_objects WHERE version_id = '' GROUP BY 1) SELECT id, upper(jurisdiction) AS area, CASE status WHEN 'in-force' THEN 'aktiv' WHEN 'repealed' THEN 'aufgehoben' ELSE 'sonstiges' END AS status, greatest(effective_date, DATE '2023-12-01') AS start, coalesce(k, 0) AS sources FROM ln LEFT JOIN s ON s.norm_id = id",

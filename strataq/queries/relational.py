@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataq.operators import listing
+from strataq.operators import listing, quality
 from strataq.queries.temporal import norms_now
 from strataq.session import table
 
@@ -99,16 +99,15 @@ def federated_topk(spark, d):
 
 
 def german_sort(spark, d):
-    """Position in German order, numbers within names as numbers; ties by id."""
-    n = norms_now(spark, d, "short_title", "jurisdiction").where("jurisdiction = 'nsh'")
-    fold = F.translate(F.lower("short_title"), "äöü", "aou")
-    w = Window.partitionBy("jurisdiction").orderBy(F.replace(fold, F.lit("ß"), F.lit("ss")), "id")
-    return n.withColumn("position", F.row_number().over(w)).where("position <= 50").select("id", "position")
+    """Every norm's position by area and short title in German dictionary order (umlauts as their vowels, sharp s as ss); ties by id."""
+    fold = F.replace(F.translate(F.lower("short_title"), "äöü", "aou"), F.lit("ß"), F.lit("ss"))
+    n = norms_now(spark, d, "short_title", "jurisdiction").withColumn("k", fold)
+    return quality.global_rank(n, ["jurisdiction", "k", "id"]).select("jurisdiction", "id", F.col("rank").alias("position"))
 
 
 def natural_order(spark, d):
     p = table(spark, d, "part").select("p_brand").distinct()
-    return p.select("p_brand", F.regexp_extract("p_brand", "(\\d+)", 1).cast("int").alias("number")).orderBy("number").limit(12)
+    return p.select("p_brand", F.regexp_extract("p_brand", "(\\d+)", 1).cast("int").alias("number")).withColumn("position", F.row_number().over(Window.orderBy("number", "p_brand")))  # a row per brand
 
 
 def round_robin_sample(spark, d):
@@ -233,8 +232,8 @@ SQL = {
     "paging_offset": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20 OFFSET 40",
     "paging_keyset": "SELECT c_custkey, c_name FROM customer WHERE c_custkey > 500 ORDER BY c_custkey LIMIT 50",
     "federated_topk": "SELECT c_custkey, c_nationkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20 OFFSET 10",
-    "german_sort": _LN + "SELECT id, position FROM (SELECT id, row_number() OVER (ORDER BY replace(translate(lower(short_title), 'äöü', 'aou'), 'ß', 'ss') NULLS FIRST, id) AS position FROM ln WHERE jurisdiction = 'nsh') WHERE position <= 50",
-    "natural_order": "SELECT DISTINCT p_brand, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS number FROM part ORDER BY number LIMIT 12",
+    "german_sort": _LN + "SELECT jurisdiction, id, row_number() OVER (ORDER BY jurisdiction NULLS FIRST, replace(translate(lower(short_title), 'äöü', 'aou'), 'ß', 'ss') NULLS FIRST, id) AS position FROM ln",
+    "natural_order": "SELECT *, row_number() OVER (ORDER BY number, p_brand) AS position FROM (SELECT DISTINCT p_brand, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS number FROM part)",
     "round_robin_sample": "SELECT doc_id, doc_type, turn FROM (SELECT doc_id, doc_type, row_number() OVER (PARTITION BY doc_type ORDER BY doc_id) AS turn FROM documents WHERE doc_type IS NOT NULL) ORDER BY turn, doc_type, doc_id LIMIT 40",
     "semi_exists": "SELECT c_custkey, c_mktsegment FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)",
     "anti_not_exists": "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= '2000-01-01')",

@@ -29,10 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most stored bytes that are moved to spread a source over the cores.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over as many partitions as there are cores, where its source has fewer splits (one small file is one split): for work that costs far more than moving its rows. Larger sources stay as they are split."""
+    """``df`` over as many partitions as there are cores, where its source has fewer splits (one small file is one split) and no more than SPREAD_BYTES: for work that costs far more than moving its rows. Other sources stay as they are split."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 64) else df
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SPREAD_BYTES
+    return df.repartition(cores) if small and df.rdd.getNumPartitions() < cores else df
 
 
 def _shared_dir(spark: SparkSession) -> str:
