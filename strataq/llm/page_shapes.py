@@ -1,12 +1,15 @@
 """Pages of stuffed keywords, link lists and tags, found by the shapes of their lines.
 
-Each line is cut into units (sentences, and runs of words without any function
-word); a unit is reduced to a shape: how many words, which capitals, which
-separators, what kind of link, numbered or not, sentence or not. Units are
-grouped by shape within their page, and a page is flagged if its few largest
-non-sentence shapes hold at least half of its words. Numbered lines (contents,
-fee tables), a section of further links after the text, and closing keywords
-are ordinary. A page is one row and needs no exchange.
+Each line is cut into units: sentences, and runs of words without any small word
+(at most SMALL letters, as every language's sentences have between their
+others). A unit is reduced to a shape: how many words, which capitals, which
+separators, what kind of link. Runs with separators or links between their
+words, and runs in a line that does not close, are no sentences; nor are words
+that come back within a few dozen words again and again. No words of any
+language are listed. Units are grouped by shape within their page, and a page is
+flagged if its few largest non-sentence shapes hold at least half of its words.
+Numbered lines (contents, fee tables), a section of further links after the
+text, and closing keywords are ordinary. A page is one row and needs no exchange.
 """
 
 from __future__ import annotations
@@ -19,23 +22,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Share of a page's words, and number of shapes in which they may lie.
-SHARE, FEW = 0.5, 12
-#: Words without a function word that make a run of their own inside a line; so few if separators stand between them.
+#: Share of a page's words; its largest non-sentence shapes that count: so many, and one more for each so many units in such shapes.
+SHARE, FEW, UNITS_A_SHAPE = 0.5, 12, 6
+#: Letters of a small word at most.
+SMALL = 3
+#: Words without a small word that make a run of their own inside a line; so few if separators stand between them.
 RUN, SEPARATED_RUN = 7, 3
-#: Fewest words in lists for a page to be flagged; a page of two words is a stub.
-LEAST = 8
-
-# Words that sentences cannot do without.
-_GERMAN = "der die das den dem des ein eine einen einem einer eines und oder aber sowie als wie wenn dass ob weil da denn soweit sofern jedoch auch nur noch nicht kein keine keinen zu zum zur in im ins an am auf aus bei beim bis durch für gegen mit nach nachdem neben ohne obwohl über um unter von vom vor während wegen wenngleich zwischen zusammen ist sind war waren wird werden wurde wurden hat haben hatte kann können muss müssen soll sollen darf dürfen es er sie ich wir ihr man sich dies diese dieser dieses diesem diesen hierzu damit dort hier welche welcher welches ab seit so ihre ihren ihrer sein seine"
-_ENGLISH = "the a an and or but of to in on at by for from with without within as is are was were be been may shall must can this that these those which who it its not no every each nobody all before after although because if when while over near up upon against than then under until"
-_FUNCTION = frozenset((_GERMAN + " " + _ENGLISH).split())
+#: Words in a row over which repetition is measured; the share of words among them that were there before in another place from which they are no sentence's, and that of different words under which they are none.
+WINDOW, AGAIN, DIFFERENT = 24, 0.32, 0.4
+#: Words per separator, commas included, at most in a list.
+PER_SEPARATOR = 3
+#: Fewest words in lists for a page to be flagged: fewer are a stub.
+LEAST = 3
 
 _WORD = re.compile(r"[^\W_]+")
 _LINK = re.compile(r"<[^<>\n]+>|(?:https?://|www\.)[^\s)\]<>]+")
-_BETWEEN = re.compile(r"[|/›»#;]")
+_SEPARATOR = re.compile(r"[|/›»#;,•·★☆]")
+_BETWEEN = re.compile(r"[|/›»#;•·★☆]|(?:^|\s)[+-]\S|\s-\s")
 _NUMBERED = re.compile(r"^\s*(?:§+\s*\d|\(\d+[a-z]?\)|\d+(?:\.\d+)*[.)]?\s|[a-z]\)\s|(?:Art\.|Artikel|Article|Section|Annex|Anlage|Anhang|Teil|Part|Abschnitt|Kapitel|Chapter|Nr\.|No\.)\s*(?:\d|[IVXLC]+\b))")
-_SENTENCE_END = re.compile(r"(?<=[.!?…])[\"“”»)]*\s+(?=[^\W\d_]|[„\"(§#])")
+_SENTENCE_END = re.compile(r"(?<=[.!?…])[\"“”»)]*\s+(?=[^\W\d_]|[„\"(§#])|(?<=[。！？])")
+_CLOSED = re.compile(r"[.!?…:。！？۔؟।][\"“”»)\]]*\s*$")
 _HEADING = re.compile(r"^[^\W\d_][\w\s-]{0,40}:$")
 _LABELLED = re.compile(r"^[^\W\d_][\w-]{1,30}:\s+\S")
 _BULLET = re.compile(r"^\s*[-–•*]\s+")
@@ -53,35 +59,50 @@ def shape_of(unit: str, words: list[str]) -> tuple:
     return (min(len(words).bit_length(), 6), caps, seps, link)
 
 
+def _is_small(w: str, first: bool) -> bool:
+    return w.isalpha() and (w == w.lower() or (first and w[1:] == w[1:].lower()))
+
+
+def _apart(text: str, words: int) -> bool:
+    """Whether separators stand between the words of a run: one of the strong ones, or commas and the like after every few words."""
+    return _BETWEEN.search(text) is not None or len(_SEPARATOR.findall(text)) >= max(2, words / PER_SEPARATOR)
+
+
 def _runs(line: str) -> list[tuple[str, list[str], bool]]:
-    """(unit, words, is a sentence) of one line."""
+    """(unit, words, whether it may be a sentence) of one line."""
     out = []
     for part in _SENTENCE_END.split(line):
         found = list(_WORD.finditer(part))
         if not found:
             continue
-        low = [m.group().lower() for m in found]
-        marks = [w in _FUNCTION for w in low]
-        links = [m.span() for m in _LINK.finditer(part)]
+        links = [m.span() for m in _LINK.finditer(part)] if "<" in part or "http" in part or "www." in part else []
         inside = [any(a <= m.start() < b for a, b in links) for m in found] if links else [False] * len(found)
-        if not any(mark and not link for mark, link in zip(marks, inside)):
+        shown = str.lower if part.isupper() else str
+        small = [len(m.group()) <= SMALL and not link and _is_small(shown(m.group()), k == 0) for k, (m, link) in enumerate(zip(found, inside))]
+        closed = _CLOSED.search(part) is not None
+        if not any(small):
+            apart = links or (len(found) >= SEPARATED_RUN and _apart(part[: found[-1].end()], len(found)))
+            out.append((part, [m.group() for m in found], closed and not apart))
+            continue
+        if len(_SEPARATOR.findall(part)) >= max(4, len(found) / PER_SEPARATOR) and _BETWEEN.search(part):
             out.append((part, [m.group() for m in found], False))
             continue
-        # long runs without function words are units of their own
+        # long runs without small words are units of their own
         start = k = 0
-        spans = []
+        spans: list[tuple[int, int, bool]] = []
         while k < len(found):
-            if marks[k] and not inside[k]:
+            if small[k]:
                 k += 1
                 continue
             e = k
-            while e < len(found) and not (marks[e] and not inside[e]):
+            while e < len(found) and not small[e]:
                 e += 1
-            between = _BETWEEN.search(_LINK.sub(" ", part[found[k].start() : found[e - 1].end()]))
-            if sum(w[0].isalpha() for w in low[k:e]) >= (SEPARATED_RUN if between else RUN):
+            apart = any(inside[k:e]) or _apart(part[found[k].start() : found[e - 1].end()], e - k)
+            if sum(m.group()[0].isalpha() for m in found[k:e]) >= (SEPARATED_RUN if apart else RUN):
                 if k > start:
                     spans.append((start, k, True))
-                spans.append((k, e, False))
+                # what goes on to the end of a line that does not close is no sentence
+                spans.append((k, e, not apart and (e < len(found) or closed)))
                 start = e
             k = e
         if start < len(found):
@@ -93,12 +114,33 @@ def _runs(line: str) -> list[tuple[str, list[str], bool]]:
     return out
 
 
-def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]]]:
-    """(words, words in sentences, words in ordinary lists, non-sentence shapes with their words, largest first)."""
+def _repeating(words: list[str]) -> list[bool]:
+    """For each word whether it stands in a window of repeated words; windows overlap by half, the last ends with the last word."""
+    out = [False] * len(words)
+    for k in range(0, len(words), WINDOW // 2):
+        k = max(0, min(k, len(words) - WINDOW))
+        window = words[k : k + WINDOW]
+        if len(window) - len(set(window)) <= AGAIN * len(window):
+            continue
+        seen, pairs, again, before = set(), set(), 0, ""
+        for w in window:  # a phrase that comes back counts once, keywords in ever new order each time
+            again += w in seen and (before, w) not in pairs
+            seen.add(w)
+            pairs.add((before, w))
+            before = w
+        if len(window) > WINDOW // 3 and (again > AGAIN * len(window) or len(seen) < DIFFERENT * len(window)):
+            out[k : k + WINDOW] = [True] * len(window)
+    return out
+
+
+def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]], int]:
+    """(words, words in sentences, words in ordinary lists, the few largest non-sentence shapes with their words, words in all of these)."""
     lines = text.split("\n")
     full = [i for i, line in enumerate(lines) if line.strip()]
     total = sentence = ordinary = 0
     shapes: Counter = Counter()
+    units = 0
+    waiting: list[tuple[str, list[str]]] = []
     further = False
     labels = Counter(m.group().split(":")[0] for line in lines if (m := _LABELLED.match(line)))
     for i in full:
@@ -108,7 +150,7 @@ def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]]]:
             continue
         total += n
         if _HEADING.match(line):
-            further = sentence > 0
+            further = bool(waiting)
             ordinary += n
             continue
         if further and _BULLET.match(line):
@@ -118,22 +160,29 @@ def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]]]:
         if _NUMBERED.match(line):
             ordinary += n
             continue
-        if i == full[-1] and sentence > 0 and (m := _LABELLED.match(line)) and labels[m.group().split(":")[0]] == 1 and not any(s in line for s in "|;/#"):
+        if i == full[-1] and waiting and (m := _LABELLED.match(line)) and labels[m.group().split(":")[0]] == 1 and not any(s in line for s in "|;/#"):
             ordinary += n
             continue
-        for unit, words, is_sentence in _runs(line):
-            if is_sentence:
-                sentence += len(words)
+        for unit, words, may in _runs(line):
+            if may:
+                waiting.append((unit, words))
             else:
                 shapes[shape_of(unit, words)] += len(words)
-    return total, sentence, ordinary, shapes.most_common()
+                units += 1
+    repeating = iter(_repeating([w.lower() for _, words in waiting for w in words]))
+    for unit, words in waiting:
+        listed = sum(next(repeating) for _ in words)
+        sentence += len(words) - listed
+        if listed:
+            shapes[shape_of(unit, words)] += listed
+            units += 1
+    return total, sentence, ordinary, [(s, n) for s, n in shapes.most_common(FEW + units // UNITS_A_SHAPE)], sum(shapes.values())
 
 
-def stuffed_share(text: str, few: int = FEW) -> float:
-    """Share of the words that lie in the page's few largest non-sentence shapes; 0 for a page without words."""
-    total, _, _, shapes = page_profile(text)
-    held = sum(n for _, n in shapes[:few])
-    return held / total if held >= LEAST else 0.0
+def stuffed_share(text: str) -> float:
+    """Share of the words that lie in the page's few largest non-sentence shapes; 0 for a page without words or with too few."""
+    total, _, _, shapes, in_lists = page_profile(text)
+    return sum(n for _, n in shapes) / total if in_lists >= LEAST else 0.0
 
 
 def profile_pages(documents: DataFrame) -> DataFrame:
@@ -143,8 +192,8 @@ def profile_pages(documents: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for d, t in zip(b["doc_id"], b["text"]):
-                total, sentence, ordinary, shapes = page_profile(t or "")
-                rows.append((d, total, sentence, ordinary, sum(n for _, n in shapes), len(shapes), sum(n for _, n in shapes[:FEW]) / max(1, total)))
+                total, sentence, ordinary, shapes, in_lists = page_profile(t or "")
+                rows.append((d, total, sentence, ordinary, in_lists, len(shapes), sum(n for _, n in shapes) / max(1, total)))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "sentence_words", "ordinary_words", "list_words", "n_shapes", "share"])
 
     docs = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")

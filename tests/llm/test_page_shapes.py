@@ -28,6 +28,40 @@ GOOD = {
 }
 
 
+#: The same matter in the prose of eleven languages.
+PROSES = {
+    "Polish": "Rada gminy uchwaliła nowy plan zagospodarowania przestrzennego dla obszaru położonego nad rzeką. Mieszkańcy mogą zgłaszać uwagi do końca miesiąca, a burmistrz odpowie na nie pisemnie. Projekt przewiduje budowę drogi rowerowej oraz parku, w którym staną ławki i place zabaw.",
+    "Turkish": "Belediye meclisi yeni imar planını oybirliğiyle kabul etti. Vatandaşlar itirazlarını ay sonuna kadar yazılı olarak iletebilir ve başkan bunlara yanıt verir. Proje kapsamında bisiklet yolu ile büyük bir park yapılacak, parkta oyun alanları bulunacak.",
+    "French": "Le conseil municipal a adopté le nouveau plan d'aménagement pour la zone située au bord de la rivière. Les habitants peuvent présenter leurs observations jusqu'à la fin du mois, et le maire y répondra par écrit.",
+    "Finnish": "Kunnanvaltuusto hyväksyi uuden asemakaavan joen rannalla sijaitsevalle alueelle. Asukkaat voivat esittää huomautuksensa kuukauden loppuun mennessä, ja kunnanjohtaja vastaa niihin kirjallisesti. Kustannukset katetaan kaupungin talousarviosta.",
+    "Spanish": "El pleno municipal aprobó el nuevo plan urbanístico para la zona situada junto al río. Los vecinos pueden presentar alegaciones hasta fin de mes y el alcalde responderá por escrito.",
+    "Russian": "Городской совет утвердил новый план застройки территории у реки. Жители могут подать замечания до конца месяца, и мэр ответит на них письменно. Расходы покроет городской бюджет.",
+    "Greek": "Το δημοτικό συμβούλιο ενέκρινε το νέο πολεοδομικό σχέδιο για την περιοχή δίπλα στο ποτάμι. Οι κάτοικοι μπορούν να υποβάλουν παρατηρήσεις έως το τέλος του μήνα και ο δήμαρχος θα απαντήσει γραπτώς.",
+    "Hungarian": "A képviselő-testület elfogadta a folyóparti terület új rendezési tervét. A lakosok a hónap végéig tehetnek észrevételeket, amelyekre a polgármester írásban válaszol.",
+    "Japanese": "市議会は川沿いの地域の新しい都市計画を承認した。住民は月末まで意見を提出でき、市長は書面で回答する。計画には自転車道と公園の整備が含まれている。",
+    "Arabic": "وافق مجلس المدينة على المخطط الجديد للمنطقة الواقعة بجانب النهر. يمكن للسكان تقديم ملاحظاتهم حتى نهاية الشهر، وسيرد رئيس البلدية عليها كتابيا.",
+    "Czech": "Zastupitelstvo obce schválilo nový územní plán pro oblast u řeky. Obyvatelé mohou podat připomínky do konce měsíce a starosta na ně písemně odpoví.",
+}
+FOREIGN_SPAM = {"Polish": "tanie kredyty online Warszawa tanie pożyczki online Kraków kredyty Gdańsk " * 6, "French": "devis gratuit pas cher avocat devis rapide avocat Lyon devis gratuit avocat Paris " * 6, "Turkish": "Ucuz kredi hemen başvur. Kredi ucuz başvur hesapla. Hemen hesapla kredi ucuz. " * 5, "seven tags": "Tags: Hafen | Deich | Wald | Moor | Amt | Siel"}
+
+
+@pytest.mark.parametrize("language", PROSES)
+def test_prose_of_no_known_language_is_ordinary(language):
+    assert ps.stuffed_share(PROSES[language]) < 0.1
+    assert ps.stuffed_share("\n".join(PROSES.values())) < 0.1 and ps.stuffed_share(PROSES[language].upper()) < 0.2
+
+
+@pytest.mark.parametrize("kind", FOREIGN_SPAM)
+def test_keywords_of_no_known_language_are_found(kind):
+    assert ps.stuffed_share(FOREIGN_SPAM[kind]) >= 0.9
+
+
+def test_many_shapes_of_lists_are_found():
+    """Lines of forty different lengths and separators."""
+    page = "\n".join(f"{'|/›»#'[i % 5]} ".join(f"wort{i}{j}" for j in range(3 + i % 8)) + " |" for i in range(40))
+    assert ps.stuffed_share(page) >= 0.5
+
+
 @pytest.mark.parametrize("kind", SPAM)
 def test_stuffed(kind):
     assert ps.stuffed_share(SPAM[kind]) >= 0.9
@@ -42,8 +76,8 @@ def test_ordinary(kind):
 
 def test_words_add_up():
     for text in [*SPAM.values(), *GOOD.values()]:
-        total, sentence, ordinary, shapes = ps.page_profile(text)
-        assert total == sentence + ordinary + sum(n for _, n in shapes) == len(ps._WORD.findall(text))
+        total, sentence, ordinary, shapes, in_lists = ps.page_profile(text)
+        assert total == sentence + ordinary + in_lists == len(ps._WORD.findall(text)) and sum(n for _, n in shapes) <= in_lists
 
 
 def test_table(spark, rows):
