@@ -4,11 +4,11 @@ Texts are tokenised once. What is planned is not the texts but their lengths:
 a histogram of at most ``capacity`` rows, so the plan is made on the driver
 with a size bound that does not depend on the number of texts. The plan takes
 the longest lengths first and looks for one, two or three available lengths
-that fill the gap exactly (a hash of available lengths and of their pair sums),
-consuming as many containers at once as the counts allow; the residual lengths
+that fill the gap exactly (an index of single, pair and triple sums of the
+available lengths), consuming as many containers at once as the counts allow; the residual lengths
 go to the best-fitting open gap. Texts then get a rank within their length, in
-salted groups, so a length that a third of all texts share is no hot task, and
-the rank names container and position.
+salted groups of a bounded number of rows, so a length that a third of all texts
+share is no hot task, and the rank names container and position.
 """
 
 from __future__ import annotations
@@ -27,13 +27,13 @@ from strataq.session import cut
 
 #: Vocabulary of the sizes: a public byte-level BPE for many languages.
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: Groups a length is ranked in.
-SALTS = 64
+#: Texts of one length that are ranked together, about.
+GROUP_ROWS = 200_000
 #: Most capacity in all, which bounds the histogram and the plan.
 PLAN_BOUND = 1_000_000
 
 # Fixed value: the public pattern that byte-level BPE vocabularies of this kind are cut with.
-_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ENCODERS: dict[str, object] = {}
 
 
@@ -44,11 +44,7 @@ def encoder(path: str = TOKENIZER):
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        try:
-            from public_tokenizers import PATTERN as pattern
-        except ImportError:
-            pattern = _PATTERN
-        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _ENCODERS[path]
 
 
@@ -105,7 +101,7 @@ def item_sizes(documents: DataFrame, capacities: dict[str, int], path: str = TOK
 
 
 class _Lengths:
-    """Counts of available lengths, with a bit set of the lengths and of their pair sums."""
+    """Counts of available lengths, with an index of their pair and triple sums; a sum whose lengths have since been used up may still be in it."""
 
     def __init__(self, counts: dict[int, int], capacity: int) -> None:
         self.n = np.zeros(capacity + 1, dtype=np.int64)
@@ -113,18 +109,22 @@ class _Lengths:
             self.n[length] = n
         self.capacity = capacity
         self.stale = 0
-        self.pairs = self._pair_sums()
+        self._index()
 
-    def _pair_sums(self) -> np.ndarray:
-        bits = 0
+    def _index(self) -> None:
         have = [int(x) for x in np.flatnonzero(self.n)]
+        within = (1 << (self.capacity + 1)) - 1
+        singles = sum(1 << x for x in have)
+        pairs = triples = 0
         for x in have:
-            bits |= 1 << x
-        sums = 0
+            pairs |= singles << x
+        pairs &= within
         for x in have:
-            sums |= bits << x
-        sums &= (1 << (self.capacity + 1)) - 1
-        raw = np.frombuffer(sums.to_bytes(self.capacity // 8 + 1, "little"), dtype=np.uint8)
+            triples |= pairs << x
+        self.pairs, self.triples = self._flags(pairs), self._flags(triples & within)
+
+    def _flags(self, bits: int) -> np.ndarray:
+        raw = np.frombuffer(bits.to_bytes(self.capacity // 8 + 1, "little"), dtype=np.uint8)
         return np.unpackbits(raw, bitorder="little")[: self.capacity + 1].astype(bool)
 
     def take(self, combination: tuple[int, ...], m: int) -> None:
@@ -133,7 +133,8 @@ class _Lengths:
             if not self.n[x]:
                 self.stale += 1
         if self.stale > 64:
-            self.stale, self.pairs = 0, self._pair_sums()
+            self.stale = 0
+            self._index()
 
     def times(self, combination: tuple[int, ...]) -> int:
         """How often the combination is available."""
@@ -141,7 +142,7 @@ class _Lengths:
 
     def pair(self, total: int) -> tuple[int, int] | None:
         """Two available lengths of the sum, the longest first."""
-        if total < 2:
+        if total < 2 or not self.pairs[total]:
             return None
         low = np.arange(1, total // 2 + 1)
         ok = (self.n[low] > 0) & (self.n[total - low] > 0)
@@ -151,7 +152,7 @@ class _Lengths:
         return (total - int(low[hits[0]]), int(low[hits[0]])) if len(hits) else None
 
     def triple(self, total: int) -> tuple[int, int, int] | None:
-        if total < 3:
+        if total < 3 or not self.triples[total]:
             return None
         first = np.arange(total - 2, 0, -1)
         for x in first[(self.n[first] > 0) & self.pairs[total - first]]:
@@ -250,10 +251,12 @@ def pack(documents: DataFrame, capacities: dict[str, int], path: str = TOKENIZER
     """
     if not capacities or min(capacities.values()) < 1 or sum(capacities.values()) > PLAN_BOUND:
         raise ValueError("capacities must be positive and bounded")
-    salt = F.pmod(F.xxhash64("doc_id", "piece_index"), F.lit(SALTS)).cast("int")
-    items = cut(item_sizes(documents, capacities, path, doc, text).withColumn("salt", salt))
+    items = cut(item_sizes(documents, capacities, path, doc, text))
+    histogram = items.groupBy("capacity_name", "n_tokens").agg(F.count("*").alias("n")).collect()  # at most a row per token of capacity
+    salts = 1 + max((r["n"] for r in histogram), default=0) // GROUP_ROWS
+    # where a row lies in the checkpoint is fixed, and parts repeated rows
+    items = items.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece_index", F.spark_partition_id()), F.lit(salts)).cast("int"))
     per_salt = items.groupBy("capacity_name", "n_tokens", "salt").agg(F.count("*").alias("n"))
-    histogram = per_salt.groupBy("capacity_name", "n_tokens").agg(F.sum("n").alias("n")).collect()  # at most a row per token of capacity
     plan = {}
     for name, capacity in capacities.items():
         plan[name] = slots(plan_patterns({r["n_tokens"]: r["n"] for r in histogram if r["capacity_name"] == name}, capacity))

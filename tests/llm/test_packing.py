@@ -2,6 +2,7 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from strataq.llm import packing as pk
@@ -83,3 +84,21 @@ def test_pack(spark):
     assert pk.pack(df.limit(0), caps).count() == 0
     with pytest.raises(ValueError):
         pk.pack(df, {})
+
+
+def test_a_hot_length_is_ranked_in_groups(spark, monkeypatch):
+    """Half of all rows are one repeated row, others share its length."""
+    monkeypatch.setattr(pk, "GROUP_ROWS", 7)
+    data = [(1, "ein Text")] * 60 + [(i, f"{chr(97 + i % 26)} Text") for i in range(2, 40)] + [(100 + i, "") for i in range(30)]
+    got = pk.pack(spark.createDataFrame(data, "doc_id long, text string").repartition(5), {"c": 16}).collect()
+    assert len(got) == len(data) and len({(r["container_id"], r["position"]) for r in got}) == len(data)
+    fill = {}
+    for r in got:
+        fill[r["container_id"]] = fill.get(r["container_id"], 0) + r["n_tokens"]
+    assert max(fill.values()) <= 16 and len(fill) == -(-sum(fill.values()) // 16)
+
+
+def test_index_of_sums():
+    h = pk._Lengths({3: 1, 5: 2, 9: 1}, 20)
+    assert {int(x) for x in np.flatnonzero(h.pairs)} == {6, 8, 10, 12, 14, 18} and h.triple(13) == (5, 5, 3) and h.triple(4) is None and not h.triples[7]
+    assert h.triple(9) is None and h.pair(6) is None  # 3 is there once only
