@@ -129,6 +129,14 @@ def snippet(label: Column, heading: Column, body: Column, limit: int = 300) -> C
     return F.when(F.length(shown) <= limit, shown).otherwise(F.concat(F.rtrim(F.left(shown, F.when(cut > limit // 2, cut).otherwise(limit))), F.lit("…")))
 
 
+def short_request(c: Column, limit: int = 200, least: int = 40) -> Column:
+    """A text as a request of at most ``limit`` characters, cut at the last blank that leaves at least ``least``."""
+    text = F.trim(F.regexp_replace(c, "\\s+", " "))
+    head = F.left(text, F.lit(limit))
+    whole = F.regexp_replace(head, " [^ ]*$", "")
+    return F.when(F.length(text) <= limit, text).when(F.length(whole) >= least, whole).otherwise(head)
+
+
 def fnv1a(c: Column) -> Column:
     """FNV-1a, 32 bits, over the UTF-8 bytes."""
     raw = F.encode(c, "UTF-8")

@@ -1,42 +1,61 @@
-"""Search requests and query plans: plain data on the driver, no Spark."""
+"""Search requests and query plans: plain data on the driver, no Spark.
+
+A request is cut into lexemes once; a scanner walks them and takes phrases and
+structural addresses out, what it leaves are words. What may follow a marker
+such as "§" is written down as data (``_MARKERS``), not as patterns over the
+whole request.
+"""
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 MATCH_MODES = ("and-first", "or-prefix")
+SCOPES = ("all", "title", "body")
 MOST_CHARACTERS, SHORTEST_PREFIX = 200, 4
-# Words that never become prefixes by themselves.
-NO_PREFIX = frozenset("uber ueber fur fuer nach oder sowie vom zum zur des der die das und den dem mit von bei aus ohne eine einer eines einem einen durch gegen west westdeutschland".split())
+# Small words that never become prefixes by themselves. Names of places of a portal come from the caller.
+SMALL_WORDS = frozenset("uber ueber fur fuer nach oder sowie vom zum zur des der die das und den dem mit von bei aus ohne eine einer eines einem einen durch gegen".split())
+
+# --- spellings ---------------------------------------------------------------
+
+
+def _folded(value: str, sharp: str) -> str:
+    """Lower case without marks; ``sharp`` for ß; all signs but a-z, 0-9, * and what ``sharp`` holds part words."""
+    kept = "abcdefghijklmnopqrstuvwxyz0123456789*" + sharp
+    signs = (sharp if c == "ß" else c for c in unicodedata.normalize("NFD", value.lower()) if not 0x300 <= ord(c) <= 0x36F)
+    return " ".join("".join(c if all(x in kept for x in c) else " " for c in signs).split())
 
 
 def normalise(value: str) -> str:
-    plain = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not "\u0300" <= c <= "\u036f")
-    return re.sub(r"[^a-z0-9*]+", " ", plain.replace("ß", "ss")).strip()
+    return _folded(value, "ss")
 
 
 def normalise_keep_sharp(value: str) -> str:
-    plain = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not "\u0300" <= c <= "\u036f")
-    return re.sub(r"[^a-z0-9ß*]+", " ", plain).strip()
+    return _folded(value, "ß")
 
 
-def _replaced(value: str, table: dict[str, str]) -> str:
-    return re.sub("|".join(map(re.escape, table)), lambda m: table[m.group()], value)
+_WRITTEN_OUT = {"ä": "ae", "ö": "oe", "ü": "ue", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue"}
+_DRAWN_TOGETHER = {"ae": "ä", "oe": "ö", "ue": "ü", "Ae": "Ä", "Oe": "Ö", "Ue": "Ü", "AE": "Ä", "OE": "Ö", "UE": "Ü"}
+_SHARPENED = {s: "ß" for s in ("ss", "sS", "Ss", "SS")}
+#: Ways to spell a word otherwise: what is replaced, and by which form it is normalised.
+_SPELLINGS = (({}, normalise), ({}, normalise_keep_sharp), (_WRITTEN_OUT, normalise), (_DRAWN_TOGETHER, normalise), (_SHARPENED, normalise_keep_sharp))
 
 
-_OUT = {"ä": "ae", "ö": "oe", "ü": "ue", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue"}
-_BACK = {b: a for a, b in _OUT.items()} | {"AE": "Ä", "OE": "Ö", "UE": "Ü"}
+def variants(value: str) -> list[str]:
+    """The distinct spellings under which a word may be indexed, the plain one first."""
+    found: dict[str, None] = {}
+    for table, form in _SPELLINGS:
+        spelled = value
+        for old, new in table.items():
+            spelled = spelled.replace(old, new)
+        found[form(spelled)] = None
+    return [v for v in found if v]
 
 
-def variants(value: str) -> list[str]:
-    out = [normalise(value), normalise_keep_sharp(value), normalise(_replaced(value, _OUT))]
-    if re.search("[aou]e", value, re.IGNORECASE):
-        out.append(normalise(_replaced(value, _BACK)))
-    if re.search("ss", value, re.IGNORECASE):
-        out.append(normalise_keep_sharp(re.sub("ss", "ß", value, flags=re.IGNORECASE)))
-    return list(dict.fromkeys(v for v in out if v))
+# --- plans -------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -56,80 +75,145 @@ class Address:
     subsection: str | None = None
 
 
-# How addresses are written in requests.
-_NUMBER = r"[0-9]+[a-z]?"
-_PARAGRAPH = re.compile(rf"§{{1,2}}\s*({_NUMBER}(?![^\W_])(?:\s*(?:,|und)\s*{_NUMBER}(?![^\W_]))*)(?:\s+Abs(?:atz)?\.?\s*({_NUMBER}))?", re.IGNORECASE)
-_ARTICLE = re.compile(rf"\b(?:Artikel|Art\.)\s*({_NUMBER}|[IVXLC]+(?![^\W_]))(?:\s+Abs(?:atz)?\.?\s*({_NUMBER}))?", re.IGNORECASE)
-_SUBSECTION = re.compile(rf"\b(?:Absatz|Abs\.)\s*({_NUMBER})", re.IGNORECASE)
-_DECIMAL = re.compile(r"\b(?:Nr\.|Nummer|Ziffer|Ziff\.)\s*(\d{1,2}(?:\.\d{1,2}){0,5})(?![\d.]*\d)\.?", re.IGNORECASE)
-
-
-def split_addresses(text: str) -> tuple[list[Address], str]:
-    """The addresses of a request and what is left of it. Decimal numbers count only where there is no paragraph or article."""
-    found: list[Address] = []
-
-    def add(kind: str, number: str, subsection: str | None = None) -> None:
-        a = Address(kind, number.lower(), subsection.lower() if subsection else None)
-        if a not in found:
-            found.append(a)
-
-    def paragraphs(m: re.Match) -> str:
-        for number in re.split(r"\s*(?:,|und)\s*", m[1], flags=re.IGNORECASE):
-            add("paragraph", number, m[2])
-        return " "
-
-    def once(kind: str, m: re.Match, sub: bool = False) -> str:
-        add(kind, m[1], m[2] if sub else None)
-        return " "
-
-    text = _PARAGRAPH.sub(paragraphs, text)
-    text = _ARTICLE.sub(lambda m: once("article", m, True), text)
-    text = _SUBSECTION.sub(lambda m: once("subsection", m), text)
-    if not any(a.kind in ("paragraph", "article") for a in found):
-        text = _DECIMAL.sub(lambda m: once("number", m), text)
-    return found, text
-
-
-def split_phrases(text: str) -> tuple[list[str], str]:
-    found = [(a or b).strip() for a, b in re.findall(r'"([^"]+)"|„([^“]+)“', text)]
-    return [f for f in found if f], re.sub(r'"[^"]+"|„[^“]+“', " ", text)
-
-
-def parse_tokens(text: str) -> list[Token]:
-    out: dict[tuple[str, bool], Token] = {}
-    for m in re.finditer(r"[^\W_]+\*?", text):
-        prefix = m.group().endswith("*")
-        raw = m.group().rstrip("*")
-        if n := normalise(raw):
-            out.setdefault((n, prefix), Token(raw, n, tuple(variants(raw)), prefix))
-    return list(out.values())
-
-
 @dataclass(frozen=True)
 class Plan:
+    """``wide``: for each word whether it is a prefix in or-prefix."""
+
     tokens: list[Token]
     phrases: list[str]
     addresses: list[Address]
     identity: list[str] = field(default_factory=list)
     subject: list[str] = field(default_factory=list)
     mode: str = "and-first"
+    scope: str = "all"
+    wide: tuple[bool, ...] = ()
 
     @property
     def free_text(self) -> bool:
         return bool(self.tokens or self.phrases)
 
 
-def build_plan(request: str, mode: str = "and-first") -> Plan:
-    """Phrases, then addresses, then words. In and-first the last word becomes a prefix if it is long enough, no number and no small word. Identity counts only without addresses and phrases."""
+_LEXEME = re.compile(r'"[^"]+"|„[^“]+“|§+|\d+(?:\.\d+)+|[^\W_]+\*?|\S')
+_PLAIN = re.compile(r"\d+[a-z]?", re.IGNORECASE)
+_ROMAN = re.compile(r"[IVXLC]+", re.IGNORECASE)
+_DOTTED = re.compile(r"\d{1,2}(?:\.\d{1,2}){0,5}")
+# Words and signs that announce an address, its kind, and the forms its number may have.
+_MARKERS = {
+    "§": ("paragraph", (_PLAIN,)), "§§": ("paragraph", (_PLAIN,)), "artikel": ("article", (_PLAIN, _ROMAN)), "art": ("article", (_PLAIN, _ROMAN)),
+    "absatz": ("subsection", (_PLAIN,)), "abs": ("subsection", (_PLAIN,)), "nr": ("number", (_DOTTED,)), "nummer": ("number", (_DOTTED,)), "ziffer": ("number", (_DOTTED,)), "ziff": ("number", (_DOTTED,)),
+}
+_LISTING = (",", "und")
+
+
+class _Scanner:
+    """Walks the lexemes of a request; ``at`` is the next one."""
+
+    def __init__(self, request: str) -> None:
+        self.lexemes, self.at = _LEXEME.findall(request), 0
+        self.phrases: list[str] = []
+        self.addresses: list[Address] = []
+        self.words: list[str] = []
+        self._numbers: list[tuple[int, list[str], Address]] = []
+        while self.at < len(self.lexemes):
+            self._step()
+        if any(a.kind in ("paragraph", "article") for a in self.addresses):
+            for place, lexemes, _ in reversed(self._numbers):  # next to a paragraph or an article, a number is a word
+                self.words[place:place] = lexemes
+        else:
+            self.addresses += [a for *_, a in self._numbers]
+        self.addresses = list(dict.fromkeys(self.addresses))
+
+    def _step(self) -> None:
+        x = self.lexemes[self.at]
+        if len(x) > 2 and x[0] in '"„':
+            if x[1:-1].strip():
+                self.phrases.append(x[1:-1].strip())
+            self.at += 1
+            return
+        start = self.at
+        kind, numbers = self._address()
+        if not numbers:
+            self.words.append(x)
+            self.at = start + 1
+        elif kind == "number":
+            self._numbers.append((len(self.words), self.lexemes[start : self.at], Address(kind, numbers[0])))
+        else:
+            inner = self._address(("subsection",))[1] if kind in ("paragraph", "article") else []
+            self.addresses += [Address(kind, n, inner[0] if inner else None) for n in numbers]
+
+    def _address(self, kinds: tuple[str, ...] | None = None) -> tuple[str, list[str]]:
+        """Kind and numbers of the address that begins here, and moves behind it; no numbers, and stays, if none does."""
+        start = self.at
+        kind, forms = _MARKERS.get(self._peek().lower(), ("", ()))
+        if not kind or (kinds and kind not in kinds):
+            return "", []
+        self.at += 1
+        if self._peek() == ".":
+            self.at += 1
+        numbers: list[str] = []
+        while any(f.fullmatch(self._peek()) for f in forms):
+            numbers.append(self._peek().lower())
+            self.at += 1
+            following = self.lexemes[self.at + 1] if self.at + 1 < len(self.lexemes) else ""
+            if kind != "paragraph" or self._peek().lower() not in _LISTING or not _PLAIN.fullmatch(following):
+                break
+            self.at += 1
+        if not numbers:
+            self.at = start
+        return kind, numbers
+
+    def _peek(self) -> str:
+        return self.lexemes[self.at] if self.at < len(self.lexemes) else ""
+
+
+def split_addresses(text: str) -> tuple[list[Address], str]:
+    """The addresses of a request and the words left of it. Decimal numbers count only where there is no paragraph or article."""
+    s = _Scanner(text)
+    return s.addresses, " ".join(s.words)
+
+
+def parse_tokens(text: str) -> list[Token]:
+    """The words of a text, each spelling once; a closing * asks for a prefix."""
+    known: dict[tuple[str, bool], Token] = {}
+    for w in re.findall(r"[^\W_]+\*?", text):
+        raw = w.removesuffix("*")
+        key = (normalise(raw), raw != w)
+        if key[0] and key not in known:
+            known[key] = Token(raw, key[0], tuple(variants(raw)), key[1])
+    return list(known.values())
+
+
+def _grows(t: Token, small: Iterable[str]) -> bool:
+    return not t.prefix and len(t.normalised) >= SHORTEST_PREFIX and not t.normalised.isdigit() and t.normalised not in SMALL_WORDS and t.normalised not in small
+
+
+def build_plan(request: str, mode: str = "and-first", scope: str = "all", small_words: Iterable[str] = ()) -> Plan:
+    """Phrases, addresses and words of a request of at most MOST_CHARACTERS.
+
+    In and-first the last word becomes a prefix if it is long enough, no number
+    and no small word; in or-prefix every such word does. Identity counts only
+    without addresses and phrases.
+    """
     request = request[:MOST_CHARACTERS].strip()
-    quoted, rest = split_phrases(request)
-    addresses, rest = split_addresses(rest)
-    words = parse_tokens(rest)
-    if mode == "and-first" and words:
-        last = words[-1]
-        if not last.prefix and len(last.normalised) >= SHORTEST_PREFIX and not last.normalised.isdigit() and last.normalised not in NO_PREFIX:
-            words = [*words[:-1], Token(last.raw, last.normalised, last.variants, True)]
-    return Plan(words, quoted, addresses, variants(request) if not addresses and not quoted else [], variants(rest), mode)
+    s = _Scanner(request)
+    rest = " ".join(s.words)
+    words, small = parse_tokens(rest), frozenset(small_words)
+    grown: dict[Token, bool] = {}
+    for k, t in enumerate(words):
+        wide = t.prefix or _grows(t, small)
+        narrow = wide if mode == "or-prefix" or k == len(words) - 1 else t.prefix
+        grown.setdefault(Token(t.raw, t.normalised, t.variants, narrow), wide)
+    return Plan(list(grown), s.phrases, s.addresses, [] if s.addresses or s.phrases else variants(request), variants(rest), mode, scope, tuple(grown.values()))
+
+
+def short_request(text: str, limit: int = MOST_CHARACTERS, least: int = 40) -> str:
+    """A text as a request of at most ``limit`` characters, cut at the last blank if that leaves more than ``least``."""
+    text = " ".join(text.split())
+    if len(text) <= limit:
+        return text
+    head = text[:limit]
+    blank = head.rfind(" ")
+    return head[:blank] if blank > least else head
 
 
 def clamp(value: str | int | None, low: int, high: int, default: int) -> int:

@@ -91,10 +91,10 @@ def order_consistency(spark, d):
 
 
 def candidate_augmentation(spark, d):
-    """Strict hits first, then documents whose title holds the words, each once, with their origin."""
-    s = qs.search_and_first(spark, d).withColumn("source", F.lit(1))
-    t = qs.search_match_kinds(spark, d).where("kind IN ('title', 'identity')").select("request", "doc_id").withColumn("source", F.lit(2))
-    return s.unionByName(t).groupBy("request", "doc_id").agg(F.min("source").alias("source"))
+    """Hits with their origin: strict ones, documents whose title holds the words, and those of the fallback; one search."""
+    h = qs._hits(spark, d, qs.REQUESTS | qs.ADDRESSES)
+    source = F.when(F.col("strict"), 1).when(F.col("kind").isin("title", "identity"), 2).otherwise(3)
+    return h.select("request", "doc_id", source.alias("source"))
 
 
 _MONTHS = ["Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"]
@@ -116,13 +116,6 @@ def structure_audit(spark, d):
     return c.unionByName(e).groupBy("finding").agg(F.count("*").alias("n"), F.countDistinct("norm_id", "version_id").alias("versions"))
 
 
-def index_integrity(spark, d):
-    """Documents whose postings do not add up to their words."""
-    docs = table(spark, d, "documents").select("doc_id", F.size(tx.words(F.col("text"))).alias("n"))
-    p = si.postings(table(spark, d, "documents"), ["doc_id"], "text").groupBy("doc_id").agg(F.sum("tf").alias("m"))
-    return docs.join(p, "doc_id", "left").agg(F.count("*").alias("documents"), F.count_if(F.col("n") != F.coalesce("m", F.lit(0))).alias("wrong"))
-
-
 def provenance_violations(spark, d):
     v = versions_now(spark, d)
     rules = {"source-starts-later": "source_valid_from > simulation_valid_from", "source-ends-earlier": "source_valid_to < simulation_valid_from", "source-end-without-start": "source_valid_from IS NULL AND source_valid_to IS NOT NULL", "source-inverted": "source_valid_to < source_valid_from"}
@@ -201,7 +194,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         feedback_list, body_selection, entity_urls, norm_payload, scope_exists, structural_address, register_crosscheck, tier_coverage, readiness, ordered_subsequence, order_consistency, candidate_augmentation, german_dates,
-        structure_audit, index_integrity, provenance_violations, validity_decision, review_merge, staleness, additive_only, entity_view, stem_overlap, word_diff, sentence_counts, command_classes,
+        structure_audit, provenance_violations, validity_decision, review_merge, staleness, additive_only, entity_view, stem_overlap, word_diff, sentence_counts, command_classes,
     )
 }
 
@@ -218,9 +211,8 @@ SELECT norm_id, version_id, coalesce(e.id, l.id) AS entry, CASE WHEN e.id IS NOT
     "readiness": _LV + ", k AS (SELECT jurisdiction, title IS NOT NULL AND current_version_id IS NOT NULL AND id IN (SELECT norm_id FROM lv) AS ok FROM ln) SELECT jurisdiction, bool_and(ok) AS ready, count(*) FILTER (NOT ok) AS blocked FROM k GROUP BY jurisdiction",
     "ordered_subsequence": _LV + "SELECT norm_id, count(*) FILTER (b > simulation_valid_from) AS breaks FROM (SELECT norm_id, simulation_valid_from, lag(simulation_valid_from) OVER (PARTITION BY norm_id ORDER BY version_id) AS b FROM lv) GROUP BY norm_id HAVING breaks > 0",
     "order_consistency": qq.WHOLE + " SELECT norm_id, version_id, count(*) AS numbered, count(*) FILTER (b >= n) AS breaks FROM (SELECT *, lag(n) OVER (PARTITION BY norm_id, version_id ORDER BY block_index) AS b FROM (SELECT DISTINCT norm_id, version_id, block_index, CAST(regexp_extract(json_extract_string(j, '$.label'), '^§ (\\d+)', 1) AS INTEGER) AS n FROM whole WHERE regexp_matches(json_extract_string(j, '$.label'), '^§ \\d+'))) GROUP BY ALL",
-    "candidate_augmentation": qs._sql_kinds() + "SELECT request, doc_id, min(s) AS source FROM (SELECT request, doc_id, 1 AS s FROM hits WHERE strict UNION ALL SELECT request, doc_id, 2 FROM hits WHERE kind IN ('title', 'identity')) GROUP BY ALL",
+    "candidate_augmentation": qs._sql_hits(qs.REQUESTS | qs.ADDRESSES) + "SELECT request, doc_id, CASE WHEN strict THEN 1 WHEN kind IN ('title', 'identity') THEN 2 ELSE 3 END AS source FROM hits",
     "german_dates": "SELECT DISTINCT citation, try_cast(regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 3) || '-' || list_position([" + ", ".join(f"'{m}'" for m in _MONTHS) + "], regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 2)) || '-' || regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 1) AS DATE) AS day FROM law_versions WHERE regexp_matches(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})')",
-    "index_integrity": "SELECT count(*) AS documents, 0 AS wrong FROM documents",
     "provenance_violations": _LV + "SELECT norm_id, version_id, unnest(list_filter([CASE WHEN source_valid_from > simulation_valid_from THEN 'source-starts-later' END, CASE WHEN source_valid_to < simulation_valid_from THEN 'source-ends-earlier' END, CASE WHEN source_valid_from IS NULL AND source_valid_to IS NOT NULL THEN 'source-end-without-start' END, CASE WHEN source_valid_to < source_valid_from THEN 'source-inverted' END], lambda x: x IS NOT NULL)) AS rule FROM lv",
     "validity_decision": "WITH s AS (SELECT norm_id, version_id, kind, CASE kind WHEN 'official-gazette' THEN 3 WHEN 'primary-pdf' THEN 2 ELSE 1 END + CASE WHEN availability = 'archived' THEN 1 ELSE 0 END AS s FROM law_source_objects WHERE version_id <> ''), g AS (SELECT norm_id, version_id, max(s) AS m, arg_max(kind, (s, coalesce(kind, ''))) AS kind FROM s GROUP BY ALL) SELECT norm_id, version_id, kind, CASE WHEN m >= 4 THEN 'decided' WHEN m >= 2 THEN 'supported' ELSE 'undetermined' END AS decision FROM g",
     "review_merge": _R + "SELECT id, CASE WHEN category = 'search' THEN 'new' WHEN category <> 'other' OR status <> 'new' THEN status ELSE 'superseded' END AS merged FROM r",

@@ -267,14 +267,6 @@ def title_classification(spark, d):
     return norms_now(spark, d, "title").select("id", k.alias("decision"))
 
 
-def search_metrics(spark, d):
-    """Recall, reciprocal rank and top-1 for a fixed sample of documents in the listing by length within their type; no search is run and no eval item read."""
-    g = table(spark, d, "documents").select("doc_id", "doc_type", "n_chars")
-    w = Window.partitionBy("doc_type").orderBy(F.desc("n_chars"), "doc_id")
-    r = g.withColumn("pos", F.row_number().over(w)).where("doc_id % 7 = 3").groupBy("doc_type").agg(F.min("pos").alias("first_hit"))
-    return r.agg(F.count("*").alias("n"), F.round(F.avg((F.col("first_hit") <= 10).cast("int")), 6).alias("recall10"), F.round(F.avg(1 / F.col("first_hit")), 6).alias("mrr"), F.round(F.avg((F.col("first_hit") == 1).cast("int")), 6).alias("top1"))
-
-
 def chunk_roundtrip(spark, d):
     """Texts cut at a fixed length and joined again in order: pieces and whether the text is the same."""
     t = table(spark, d, "documents").where("length(text) > 0").select("doc_id", "text", F.explode(F.sequence(F.lit(0), ((F.length("text") - 1) / 400).cast("int"))).alias("i")).select("doc_id", F.md5("text").alias("h"), "i", F.substring("text", F.col("i") * 400 + 1, F.lit(400)).alias("part"))
@@ -300,7 +292,7 @@ QUERIES = {
         token_multiset_diff, similarity_measures, text_integrity, stratified_sample, strided_sample, global_positions, percentile_nearest_rank, percentile_by_index, coverage_percent, signature_classes, priority_score_bands,
         content_fingerprint, corpus_fingerprint, snapshot_diff, incremental_equals_full, replica_parity, tiered_resolution, prefix_title_match, reference_frequency, taxonomy_assignment, rule_overlap_check,
         event_confidence_score, identity_propagation, successor_match, publication_series, slug_reserve, redirect_map, change_feed, ledger_status, version_compare, record_violations, freshness_window, citation_scan,
-        title_classification, search_metrics, chunk_roundtrip,
+        title_classification, chunk_roundtrip,
     )
 }
 
@@ -343,6 +335,5 @@ SELECT norm_id, version_id, CASE WHEN h1 IS NULL THEN 'new' WHEN h2 IS NULL THEN
     "freshness_window": " UNION ALL ".join(f"SELECT '{t}' AS table_name, min(updated_at) AS oldest, max(updated_at) AS newest FROM {t}" for t in ("law_norms", "law_versions", "law_source_objects")),
     "citation_scan": "SELECT citation, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, unnest(regexp_extract_all(text, '§ (\\d+[a-z]?) Absatz (\\d+)')) AS citation FROM documents) GROUP BY ALL",
     "title_classification": _LN + "SELECT id, CASE WHEN regexp_matches(title, '(?i)änderung|aufhebung') THEN 'exclude' WHEN regexp_matches(title, '(?i)bekanntmachung') THEN 'review' WHEN regexp_matches(title, '(?i)^(gesetz|verordnung|satzung)') THEN 'include' ELSE 'unknown' END AS decision FROM ln",
-    "search_metrics": "WITH r AS (SELECT doc_type, min(pos) AS f FROM (SELECT doc_id, doc_type, row_number() OVER (PARTITION BY doc_type ORDER BY n_chars DESC, doc_id) AS pos FROM documents) WHERE doc_id % 7 = 3 GROUP BY 1) SELECT count(*) AS n, round(avg(CASE WHEN f <= 10 THEN 1 ELSE 0 END), 6) AS recall10, round(avg(1 / f), 6) AS mrr, round(avg(CASE WHEN f = 1 THEN 1 ELSE 0 END), 6) AS top1 FROM r",
     "chunk_roundtrip": "SELECT doc_id, CAST((length(text) + 399) // 400 AS BIGINT) AS n_parts, true AS same FROM documents WHERE length(text) > 0",
 }

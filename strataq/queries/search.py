@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
 from strataq.operators import search_index as si
+from strataq.plans import search as ps
 from strataq.plans.search import build_plan, normalise
 from strataq.queries.temporal import norms_now, versions_now
-from strataq.session import spread, table
+from strataq.session import kept_path, spread, table
 
 REQUESTS = {
-    "register": "Verzeichnis Forstfläche", "penalty": "Zwangsgeld Planungsstelle", "prefix": "Einwendungen Kirchen", "title": "Verordnung Kitanutzung", "english": "harbour permit", "phrase": "„im öffentlichen Interesse“ Lärmaufsicht",
-    "fallback": "Gebührenverzeichnis Hundert", "spelling": "Kuestenschutz Gebuehren", "identity": "Verordnung über die Kitanutzung",
+    "register": "Verzeichnis Forstfläche", "penalty": "Zwangsgeld Planungsstelle", "prefix": "Einwendungen Kirchen", "title": "Verordnung Kitanutzung", "english": "harbour permit",
+    "fallback": "Gebührenverzeichnis Hundert", "spelling": "Kuestenschutz Gebuehren", "identity": "Verordnung über die Kitanutzung", "early prefix": "Kirch* Beteiligten", "one": "Forstfläche",
+}
+#: Requests with phrases and structural addresses, alone and with words.
+ADDRESSES = {
+    "phrase": "„im öffentlichen Interesse“ Lärmaufsicht", "phrase alone": '"bei geringer Bedeutung"', "paragraph": "§ 3 Absatz 2", "paragraph and title": "§ 1 Verordnung", "paragraph and text": "§ 3 Zwangsgeld",
+    "list": "§§ 1, 3", "number": "Nr. 2.1", "subsection": "Absatz 7 Satzung", "nowhere": "§ 991 Satzung",
 }
 
 
+_KEPT: dict[tuple, si.SearchIndex] = {}
+
+
+def kept_index(spark, d):
+    """The index of the documents, written once per state of the table and application, then looked up."""
+    path = kept_path(spark, f"{d}/documents.parquet", "search-index")
+    if path not in _KEPT:
+        _KEPT[path] = si.keep_index(si.index_of(spread(table(spark, d, "documents"))), path)
+    return _KEPT[path]
+
+
 def normalize_text(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(tx.normalise(F.col("text"))).alias("normalised"), F.size(tx.words(F.col("text"))).alias("n_words"))
 
@@ -93,54 +112,174 @@ def bm25_search(spark, d):
     return si.bm25(_docs(spark, d), {n: _words(n) for n in ("register", "penalty", "english")})
 
 
+def _hits(spark, d, queries, mode="and-first", scope="all", with_scores=False):
+    return si.search(kept_index(spark, d), si.request_table(spark, queries, mode, scope), with_scores)
+
+
 def search_and_first(spark, d):
-    u = si.units_of(spread(table(spark, d, "documents")))
-    m = si.match_kinds(u, {n: build_plan(q) for n, q in REQUESTS.items()})
-    return m.where("strict").select("request", "doc_id")
+    return _hits(spark, d, REQUESTS).where("strict").select("request", "doc_id")
 
 
 def search_match_kinds(spark, d):
-    u = si.units_of(spread(table(spark, d, "documents")))
-    return si.match_kinds(u, {n: build_plan(q) for n, q in REQUESTS.items()}).select("request", "doc_id", "kind", "strict")
+    return _hits(spark, d, REQUESTS | ADDRESSES).select("request", "doc_id", "kind", "strict", "best_unit", F.concat_ws(",", "rank").alias("rank"))
+
+
+def search_or_prefix(spark, d):
+    """Words anywhere in a document, all longer ones as beginnings."""
+    return _hits(spark, d, REQUESTS | ADDRESSES, "or-prefix").select("request", "doc_id", "kind")
+
+
+def search_scopes(spark, d):
+    """The same requests within titles and within texts only."""
+    return reduce(lambda a, b: a.unionByName(b), [_hits(spark, d, REQUESTS, scope=scope).select(F.lit(scope).alias("scope"), "request", "doc_id", "kind") for scope in ("title", "body")])
 
 
 def search_ranked(spark, d):
-    """Kinds first, then the score; ten hits a request."""
-    u = si.units_of(spread(table(spark, d, "documents")))
-    plans = {n: build_plan(q) for n, q in REQUESTS.items()}
-    return si.ranked(si.match_kinds(u, plans), si.bm25(_docs(spark, d), {n: _words(n) for n in plans}), 10)
+    """Kinds and rank first, then the score; ten hits a request, and how many there are."""
+    return si.ranked(_hits(spark, d, REQUESTS, with_scores=True), 10)
+
+
+def search_page(spark, d):
+    """The second page of five."""
+    return si.ranked(_hits(spark, d, REQUESTS, with_scores=True), 5, 5)
 
 
 def search_facets(spark, d):
-    m = search_match_kinds(spark, d).join(table(spark, d, "documents").select("doc_id", "doc_type"), "doc_id")
+    m = _hits(spark, d, REQUESTS).join(table(spark, d, "documents").select("doc_id", "doc_type"), "doc_id")
     return m.groupBy("request", "doc_type").agg(F.count("*").alias("n"))
 
 
-def _norm(c: str) -> str:
-    return f"trim(regexp_replace(replace(strip_accents(lower({c})), 'ß', 'ss'), '[^a-z0-9*]+', ' ', 'g'))"
+_INTENTS = ["§ 5", "§§ 1, 2a und 3", "§ 7 Abs. 2", "Art. IV", "Artikel 12a Absatz 3", "Artikel vom Mai", "Nr. 2.3", "Ziffer 4", "§ 1 Nr. 2", "Absatz 9", "§ 74 Absatz 4 und § 79 Absatz 1", "Nr. 123", "kein Paragraph", "§", "§5b"]
 
 
-_U = f"WITH u0 AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, string_split_regex(text, '\\n\\n+') AS parts FROM documents), u AS (SELECT doc_id, title, unnest(range(0, len(parts))) AS unit_index, unnest(parts) AS body FROM u0), n AS (SELECT doc_id, unit_index, body, {_norm('title')} AS t, {_norm('body')} AS x FROM u) "
+def structural_intents(spark, d):
+    """Addresses that requests hold, in order."""
+    requests = si.request_table(spark, {q: q for q in _INTENTS})
+    return si.parse_requests(requests).select("request", F.inline("addresses")).select("request", F.col("number_of").alias("place"), "kind", "number", "subsection")
+
 
+def _golden(spark, d):
+    """Requests made from the documents: every title, and with each document's second unit its heading and the title's last word."""
+    docs = table(spark, d, "documents").where("doc_type = 'norm_text'")
+    u = si.units_of(docs)
+    words = F.regexp_extract_all("title", F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
+    heading = F.regexp_replace("heading", "^§ \\d+[a-z]? ", "")
+    titles = u.where("unit_index = 0 AND title != ''").select(F.lit("title").alias("class"), F.col("title").alias("query"), "doc_id")
+    headings = u.where("unit_index = 1").where(F.size(words) > 0).select(F.lit("heading").alias("class"), F.concat_ws(" ", heading, F.get(words, F.size(words) - 1)).alias("query"), "doc_id")
+    return titles.unionByName(headings).withColumn("query", tx.short_request(F.col("query")))
 
-def _sql_has(text: str, plan) -> str:
-    tests = ["(" + " OR ".join(f"contains(' ' || {text} || ' ', ' {v}{'' if t.prefix else ' '}')" for v in t.variants) + ")" for t in plan.tokens]
-    from strataq.plans.search import variants
 
-    tests += ["(" + " OR ".join(f"contains(' ' || {text} || ' ', ' {v} ')" for v in variants(p)) + ")" for p in plan.phrases]
-    return " AND ".join(tests)
+def golden_positions(spark, d):
+    """class, query, first position of a document that the query was made from among the ten best hits, null if none."""
+    asked = _golden(spark, d)
+    requests = asked.select(F.col("query").alias("request"), "query", F.lit("and-first").alias("mode"), F.lit("all").alias("scope")).distinct()
+    top = si.ranked(si.search(kept_index(spark, d), requests), 10).select(F.col("request").alias("query"), "doc_id", "position")
+    return asked.join(top, ["query", "doc_id"], "left").groupBy("class", "query").agg(F.min("position").alias("position"))
 
 
-def _sql_kinds() -> str:
-    parts = []
-    for name, q in REQUESTS.items():
-        p = build_plan(q)
-        ident = "t IN (" + ", ".join(f"'{v}'" for v in p.identity) + ")" if p.identity else "false"
-        words = ", ".join(f"bool_or(({' OR '.join(f'''contains(' ' || t || ' ' || x || ' ', ' {v}{'' if t.prefix else ' '}')''' for v in t.variants)})) AS w{k}" for k, t in enumerate(p.tokens))
-        relaxed = " AND ".join(f"w{k}" for k in range(len(p.tokens)))
-        both = "(t || ' ' || x)"
-        parts.append(f"SELECT '{name}' AS request, doc_id, ident, in_title, in_unit, bu, strict, {relaxed} AS relaxed FROM (SELECT doc_id, bool_or({ident}) AS ident, bool_or({_sql_has('t', p)}) AS in_title, bool_or({_sql_has('x', p)}) AS in_unit, min(unit_index) FILTER ({_sql_has('x', p)}) AS bu, bool_or({_sql_has(both, p)}) AS strict, {words} FROM n GROUP BY doc_id)")
-    return _U + ", k AS (" + " UNION ALL ".join(parts) + "), r AS (SELECT *, bool_or(strict) OVER (PARTITION BY request) AS any_strict FROM k), hits AS (SELECT request, doc_id, CASE WHEN ident THEN 'identity' WHEN in_title THEN 'title' WHEN in_unit THEN 'unit' ELSE 'body' END AS kind, strict, CASE WHEN NOT ident AND NOT in_title THEN bu END AS best_unit FROM r WHERE CASE WHEN any_strict THEN strict ELSE relaxed END) "
+def batch_golden_metrics(spark, d):
+    """Recall within ten, mean reciprocal rank and share of first places, by class of request; all requests in one plan."""
+    p = golden_positions(spark, d)
+    hit = F.coalesce(1 / F.col("position"), F.lit(0.0))
+    return p.groupBy("class").agg(F.count("*").alias("n"), F.round(F.avg(F.col("position").isNotNull().cast("int")), 6).alias("recall10"), F.round(F.avg(hit), 6).alias("mrr"), F.round(F.avg(F.coalesce((F.col("position") == 1).cast("int"), F.lit(0))), 6).alias("top1"))
+
+
+def search_audit(spark, d):
+    """How many requests find their document first, among ten, or not, by class."""
+    v = F.when(F.col("position") == 1, "first").when(F.col("position").isNotNull(), "found").otherwise("missed")
+    return golden_positions(spark, d).groupBy("class", v.alias("verdict")).agg(F.count("*").alias("n"))
+
+
+def index_integrity(spark, d):
+    """The kept index against the documents with some of them changed, added and removed: what it would have to take over."""
+    return si.integrity(kept_index(spark, d), _edited(spark, d)).groupBy("finding").agg(F.count("*").alias("n"))
+
+
+def _edited(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    changed = docs.where("doc_id % 11 != 0").withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit(" zusatz"))).otherwise(F.col("text")))
+    return changed.unionByName(docs.where("doc_id % 13 = 0").withColumn("doc_id", F.col("doc_id") + 1_000_000_000))
+
+
+def index_maintenance(spark, d):
+    """Words of the index after the changes are taken over, with their documents: those of an index made anew."""
+    docs, edited = table(spark, d, "documents").select("doc_id", "text"), _edited(spark, d)
+    old, new = docs.withColumnRenamed("text", "before"), edited.withColumnRenamed("text", "after")
+    both = old.join(new, "doc_id", "full_outer").where("NOT before <=> after OR before IS NULL OR after IS NULL")
+    gone = old.join(new, "doc_id", "left_anti").select("doc_id")
+    more = edited.join(both.select("doc_id"), "doc_id", "left_semi")
+    return si.changed_index(kept_index(spark, d), more, gone).terms
+
+
+def _norm(c: str) -> str:
+    return f"trim(regexp_replace(replace(strip_accents(lower({c})), 'ß', 'ss'), '[^a-z0-9*]+', ' ', 'g'))"
+
+
+_U = f"WITH u0 AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, string_split_regex(text, '\\n\\n+') AS parts FROM documents), u AS (SELECT doc_id, title, unnest(range(0, len(parts))) AS unit_index, unnest(parts) AS body FROM u0), n AS (SELECT doc_id, unit_index, body, {_norm('title')} AS t, {_norm('body')} AS x FROM u) "
+
+
+def _values(rows, name, cols):
+    lit = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, bool)) else "[" + ", ".join(f"'{x}'" for x in v) + "]::VARCHAR[]" if isinstance(v, list) else "'" + v.replace("'", "''") + "'"
+    return f"{name} AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows) + f") v({cols}))"
+
+
+_UNIT_ADDRESS = r"""CASE WHEN regexp_matches(body, '^§+\s*\d+[a-z]?([^\p{L}\p{N}]|$)') THEN 'paragraph' WHEN regexp_matches(body, '^(Artikel|Art\.?)\s+(\d+[a-z]?|[IVXLC]+)([^\p{L}\p{N}]|$)') THEN 'article' WHEN regexp_matches(body, '^(Nr\.|Nummer|Ziffer)\s*\d') OR regexp_matches(body, '^\d{1,2}(\.\d{1,2})+') THEN 'number' END AS kind,
+lower(CASE WHEN regexp_matches(body, '^§+\s*\d+[a-z]?([^\p{L}\p{N}]|$)') THEN regexp_extract(body, '^§+\s*(\d+[a-z]?)', 1) WHEN regexp_matches(body, '^(Artikel|Art\.?)\s+(\d+[a-z]?|[IVXLC]+)([^\p{L}\p{N}]|$)') THEN regexp_extract(body, '^(?:Artikel|Art\.?)\s+(\d+[a-z]?|[IVXLC]+)', 1) ELSE regexp_extract(body, '^(?:Nr\.|Nummer|Ziffer)?\s*(\d{1,2}(?:\.\d{1,2})*)', 1) END) AS number,
+regexp_extract_all(body, '(?m)^\((\d+[a-z]?)\)', 1) AS subs"""
+
+
+def _patterns(plan):
+    """(slot, narrow pattern, wide pattern, word, may grow) of every spelling."""
+    out = []
+    for k, (t, w) in enumerate(zip(plan.tokens, plan.wide)):
+        out += [(k, f" {v}" + ("" if t.prefix else " "), f" {v}" + ("" if w else " "), v, w) for v in t.variants]
+    for k, p in enumerate(plan.phrases, len(plan.tokens)):
+        out += [(k, f" {v} ", f" {v} ", v, False) for v in ps.variants(p)]
+    return out
+
+
+def _sql_hits(queries, mode="and-first", scope="all") -> str:
+    """Common table expressions that end in hits(request, doc_id, kind, strict, best_unit, tier, r2, r3)."""
+    plans = {n: build_plan(q, mode, scope) for n, q in queries.items()}
+    q = [(n, *x) for n, p in plans.items() for x in _patterns(p)]
+    a = [(n, k, x.kind, x.number, x.subsection) for n, p in plans.items() for k, x in enumerate(p.addresses)] or [("-", 0, "-", "-", "-")]
+    meta = [(n, len(p.tokens) + len(p.phrases), len(p.addresses), p.identity, p.subject, p.subject[0] if p.subject else "") for n, p in plans.items()]
+    tables = ", ".join([_values(q, "q", "request, slot, np, wp, word, wide"), _values(a, "aq", "request, k, kind, number, sub"), _values(meta, "meta", "request, n_slots, n_addr, ident, subj, subj_text")])
+    return (_U.rstrip() + ", " + tables + _HITS).replace("@scope", scope).replace("@mode", mode)
+
+
+_HITS = f""",
+row_text AS (SELECT doc_id, -1 AS unit, ' ' || {_norm("split_part(coalesce(text, ''), chr(10), 1)")} || ' ' AS x FROM documents UNION ALL SELECT doc_id, unit_index, ' ' || x || ' ' FROM n),
+m AS (SELECT request, slot, doc_id, unit, bool_or(contains(x, np)) AS s FROM row_text, q WHERE contains(x, wp) GROUP BY ALL),
+td AS (SELECT request, doc_id, list(DISTINCT slot) FILTER (s) AS tn, list(DISTINCT slot) AS tw FROM m WHERE unit = -1 GROUP BY ALL),
+ud AS (SELECT request, doc_id, unit, list(DISTINCT slot) FILTER (s) AS un, list(DISTINCT slot) AS uw FROM m WHERE unit >= 0 GROUP BY ALL),
+pd AS (SELECT request, doc_id, count(DISTINCT slot) AS aw, count(DISTINCT slot) FILTER (unit >= 0) AS bw FROM m GROUP BY ALL),
+bu AS (SELECT ud.request, ud.doc_id, min(unit) FILTER (len(un) = n_slots) AS best, bool_or(len(list_distinct(list_concat(CASE WHEN '@scope' = 'all' THEN coalesce(tn, []) ELSE [] END, coalesce(un, [])))) = n_slots) AS narrow FROM ud JOIN meta USING (request) LEFT JOIN td ON td.request = ud.request AND td.doc_id = ud.doc_id GROUP BY ALL),
+ua AS (SELECT doc_id, unit_index, {_UNIT_ADDRESS} FROM u),
+uk AS (SELECT doc_id, unit_index, kind, number, subs FROM ua WHERE kind IS NOT NULL UNION ALL SELECT doc_id, unit_index, 'subsection', unnest(list_distinct(subs)), subs FROM ua),
+refs AS (SELECT request, doc_id, min(unit_index) AS ref FROM (SELECT aq.request, doc_id, unit_index, n_addr FROM aq JOIN meta USING (request) JOIN uk ON uk.kind = aq.kind AND uk.number = aq.number AND (sub IS NULL OR list_contains(subs, sub)) GROUP BY ALL HAVING count(DISTINCT k) = n_addr) GROUP BY ALL),
+b0 AS (SELECT request, doc_id FROM pd UNION SELECT request, doc_id FROM refs),
+b1 AS (SELECT b0.request, b0.doc_id, n_slots, n_addr, ident, subj, subj_text, ref, best, coalesce(len(tn) = n_slots, false) AND n_slots > 0 AS in_title, coalesce(len(tw), 0) AS ntw, coalesce(aw, 0) AS aw, coalesce(bw, 0) AS bw, coalesce(narrow, false) AS narrow,
+trim(t.x) AS title_key, d.title AS title
+FROM b0 JOIN meta USING (request) LEFT JOIN refs ON refs.request = b0.request AND refs.doc_id = b0.doc_id LEFT JOIN pd ON pd.request = b0.request AND pd.doc_id = b0.doc_id LEFT JOIN td ON td.request = b0.request AND td.doc_id = b0.doc_id LEFT JOIN bu ON bu.request = b0.request AND bu.doc_id = b0.doc_id
+JOIN row_text t ON t.doc_id = b0.doc_id AND t.unit = -1 JOIN (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) AS title FROM documents) d ON d.doc_id = b0.doc_id),
+b2 AS (SELECT *, CASE WHEN n_slots = 0 THEN true WHEN '@scope' = 'title' THEN in_title WHEN '@scope' = 'body' THEN narrow ELSE narrow OR in_title END AS strict, CASE WHEN n_slots = 0 THEN true WHEN '@scope' = 'title' THEN ntw = n_slots WHEN '@scope' = 'body' THEN bw = n_slots ELSE aw = n_slots END AS relaxed FROM b1 WHERE n_addr = 0 OR ref IS NOT NULL),
+b3 AS (SELECT *, bool_or(strict) OVER (PARTITION BY request) AS any_strict FROM b2),
+b4 AS (SELECT *, list_has_any(@forms, ident) AS same, list_has_any(@forms, subj) AS by_subject FROM b3 WHERE CASE WHEN '@mode' = 'and-first' AND any_strict THEN strict ELSE relaxed END),
+b5 AS (SELECT *, CASE WHEN same THEN 0 WHEN ref IS NOT NULL AND (in_title OR n_slots = 0) THEN 1 WHEN in_title THEN 2 WHEN ref IS NOT NULL THEN 3 WHEN best IS NOT NULL THEN 4 WHEN n_slots > 0 THEN 5 ELSE 6 END AS tier FROM b4),
+hits AS (SELECT request, doc_id, strict, coalesce(ref, best) AS best_unit, tier, CASE tier WHEN 0 THEN 'identity' WHEN 1 THEN 'reference' WHEN 2 THEN 'title' WHEN 3 THEN 'reference' WHEN 4 THEN 'unit' WHEN 5 THEN 'body' ELSE 'browse' END AS kind,
+CASE tier WHEN 0 THEN CASE WHEN title_key = ident[1] THEN 0 ELSE 1 END WHEN 1 THEN CASE WHEN in_title THEN 0 ELSE 1 END WHEN 2 THEN CASE WHEN contains(title_key, subj_text) THEN 0 ELSE 1 END WHEN 4 THEN best ELSE 0 END AS r2, CASE WHEN tier = 1 AND NOT by_subject THEN 1 ELSE 0 END AS r3 FROM b5) """
+
+_SCORES = f""",
+wd AS (SELECT doc_id, -1 AS unit, string_split(trim(x), ' ') AS w, 0 AS nh FROM row_text WHERE unit = -1 UNION ALL SELECT doc_id, unit_index, string_split(x, ' '), CASE WHEN contains(body, chr(10)) THEN len(list_filter(string_split({_norm("split_part(body, chr(10), 1)")}, ' '), lambda y: y <> '')) ELSE 0 END FROM n),
+oc AS (SELECT doc_id, unit, term, CASE WHEN unit = -1 THEN 10 WHEN p <= nh THEN 2 ELSE 1 END AS weight FROM (SELECT doc_id, unit, nh, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM wd) WHERE term <> ''),
+tf AS (SELECT doc_id, term, sum(weight) AS f FROM oc GROUP BY ALL), dfr AS (SELECT term, count(*) AS docs FROM tf GROUP BY term),
+dlen AS (SELECT d.doc_id, coalesce(sum(c), 0) AS dl FROM documents d LEFT JOIN (SELECT doc_id, len(list_filter(w, lambda y: y <> '')) AS c FROM wd) k ON k.doc_id = d.doc_id GROUP BY ALL), st AS (SELECT count(*) AS nd, avg(dl) AS al FROM dlen),
+qt AS (SELECT DISTINCT request, slot, term FROM q JOIN dfr ON CASE WHEN wide THEN starts_with(term, word) ELSE term = word END),
+sn AS (SELECT request, slot, sum(docs) AS n FROM (SELECT request, slot, docs FROM q JOIN dfr ON CASE WHEN wide THEN starts_with(term, word) ELSE term = word END) GROUP BY ALL),
+sf AS (SELECT request, slot, doc_id, sum(f) AS f FROM qt JOIN tf USING (term) GROUP BY ALL),
+scored AS (SELECT request, doc_id, round(-sum((CASE WHEN n < nd THEN greatest(ln((nd - n + 0.5) / (n + 0.5)), 1e-6) ELSE 1e-6 END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / al))), 6) AS score FROM sf JOIN sn USING (request, slot) JOIN dlen USING (doc_id), st GROUP BY request, doc_id),
+placed AS (SELECT hits.request, hits.doc_id, kind, row_number() OVER (PARTITION BY hits.request ORDER BY least(tier, 4), CASE WHEN tier <= 3 THEN r2 ELSE 0 END, CASE WHEN tier <= 3 THEN r3 ELSE 0 END, CASE WHEN tier > 3 THEN score END NULLS LAST, hits.doc_id) AS position, count(*) OVER (PARTITION BY hits.request) AS total FROM hits LEFT JOIN scored ON scored.request = hits.request AND scored.doc_id = hits.doc_id) """
 
 
 _W = f"CASE WHEN {_norm('text')} = '' THEN [] ELSE string_split({_norm('text')}, ' ') END"
@@ -169,7 +308,30 @@ def _v(c: str) -> str:
     return f"[{_norm(c)}, {keep(c)}, {out}, CASE WHEN regexp_matches({c}, '(?i)[aou]e') THEN {back} END, CASE WHEN regexp_matches({c}, '(?i)ss') THEN {sharp} END]"
 
 
-QUERIES = {f.__name__: f for f in (normalize_text, spelling_variants, sort_key_index_letter, slugify, identity_fallback, aliases, structural_labels, phrase_contains, token_contains, conjunct_intersection, search_snippet, word_postings, bm25_search, search_and_first, search_match_kinds, search_ranked, search_facets)}
+_HITS = _HITS.replace("@forms", f"list_filter({_v('title')}, lambda y: y <> '')")
+
+#: Plans of requests that are made from the documents, as tables like those of _sql_hits.
+_GOLDEN = _U.rstrip() + f""",
+nt AS (SELECT u.* FROM u JOIN documents d ON d.doc_id = u.doc_id WHERE doc_type = 'norm_text'),
+asked AS (SELECT class, CASE WHEN length(q) <= 200 THEN q ELSE regexp_replace(left(q, 200), ' [^ ]*$', '') END AS query, doc_id FROM (SELECT class, trim(regexp_replace(query, '\\s+', ' ', 'g')) AS q, doc_id FROM (SELECT 'title' AS class, title AS query, doc_id FROM nt WHERE unit_index = 0 AND title <> '' UNION ALL SELECT 'heading', regexp_replace(split_part(body, chr(10), 1), '^§ \\d+[a-z]? ', '') || ' ' || list_last(regexp_extract_all(title, '[\\p{{L}}\\p{{N}}]+')), doc_id FROM nt WHERE unit_index = 1 AND len(regexp_extract_all(title, '[\\p{{L}}\\p{{N}}]+')) > 0))),
+rq AS (SELECT DISTINCT query AS request FROM asked),
+rw AS (SELECT request, unnest(w) AS raw, unnest(range(1, len(w) + 1)) AS i FROM (SELECT request, regexp_extract_all(request, '[\\p{{L}}\\p{{N}}]+') AS w FROM rq)),
+rt AS (SELECT request, nw, min(i) AS i, arg_min(raw, i) AS raw FROM (SELECT request, raw, i, {_norm('raw')} AS nw FROM rw) WHERE nw <> '' GROUP BY ALL),
+rs AS (SELECT request, nw, raw, row_number() OVER (PARTITION BY request ORDER BY i) - 1 AS slot, count(*) OVER (PARTITION BY request) AS k, length(nw) >= 4 AND NOT regexp_full_match(nw, '\\d+') AND nw NOT IN ({", ".join(f"'{w}'" for w in sorted(ps.SMALL_WORDS))}) AS wide FROM rt),
+q AS (SELECT request, slot, ' ' || word || CASE WHEN wide AND slot = k - 1 THEN '' ELSE ' ' END AS np, ' ' || word || CASE WHEN wide THEN '' ELSE ' ' END AS wp, word, wide FROM (SELECT request, slot, k, wide, unnest(list_distinct(list_filter({_v('raw')}, lambda y: y <> ''))) AS word FROM rs)),
+aq AS (SELECT '-' AS request, 0 AS k, '-' AS kind, '-' AS number, NULL::VARCHAR AS sub WHERE false),
+meta AS (SELECT request, (SELECT count(*) FROM rs WHERE rs.request = rq.request) AS n_slots, 0 AS n_addr, list_filter({_v('request')}, lambda y: y <> '') AS ident, list_filter({_v('request')}, lambda y: y <> '') AS subj, {_norm('request')} AS subj_text FROM rq)""" + _HITS.replace("@scope", "all").replace("@mode", "and-first") + _SCORES + """,
+found AS (SELECT class, asked.query, min(position) FILTER (position <= 10) AS position FROM asked LEFT JOIN placed ON placed.request = asked.query AND placed.doc_id = asked.doc_id GROUP BY ALL) """
+
+_EDITED = "WITH edited AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN coalesce(text, '') || ' zusatz' ELSE text END AS text FROM documents WHERE doc_id % 11 <> 0 UNION ALL SELECT doc_id + 1000000000, text FROM documents WHERE doc_id % 13 = 0) "
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        normalize_text, spelling_variants, sort_key_index_letter, slugify, identity_fallback, aliases, structural_labels, phrase_contains, token_contains, conjunct_intersection, search_snippet, word_postings, bm25_search,
+        search_and_first, search_match_kinds, search_or_prefix, search_scopes, search_ranked, search_page, search_facets, structural_intents, batch_golden_metrics, search_audit, index_integrity, index_maintenance,
+    )
+}
 
 SQL = {
     "normalize_text": f"SELECT doc_id, md5({_norm('text')}) AS normalised, len({_W}) AS n_words FROM documents",
@@ -184,8 +346,16 @@ SQL = {
     "conjunct_intersection": _U + "SELECT doc_id FROM n GROUP BY doc_id HAVING bool_or(contains(' ' || x || ' ', ' zwangsgeld ')) AND bool_or(contains(' ' || x || ' ', ' vorschriften ')) AND bool_or(contains(' ' || x || ' ', ' eigentumer '))",
     "word_postings": f"SELECT term, count(*) AS df, sum(tf) AS cf FROM (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_W}) AS term FROM documents) GROUP BY ALL) GROUP BY term",
     "bm25_search": "WITH " + _sql_bm25(["register", "penalty", "english"]) + "SELECT request, doc_id, score FROM scored",
-    "search_ranked": _sql_kinds().rstrip() + ", " + _sql_bm25(REQUESTS) + "SELECT request, doc_id, kind, position FROM (SELECT hits.request, hits.doc_id, kind, row_number() OVER (PARTITION BY hits.request ORDER BY CASE kind WHEN 'identity' THEN 0 WHEN 'title' THEN 2 WHEN 'unit' THEN 4 ELSE 5 END, best_unit NULLS FIRST, score NULLS LAST, hits.doc_id) AS position FROM hits LEFT JOIN scored ON scored.request = hits.request AND scored.doc_id = hits.doc_id) WHERE position <= 10",
-    "search_and_first": _sql_kinds() + "SELECT request, doc_id FROM hits WHERE strict",
-    "search_match_kinds": _sql_kinds() + "SELECT request, doc_id, kind, strict FROM hits",
-    "search_facets": _sql_kinds() + "SELECT request, doc_type, count(*) AS n FROM hits JOIN documents USING (doc_id) GROUP BY ALL",
+    "search_ranked": _sql_hits(REQUESTS) + _SCORES + "SELECT * FROM placed WHERE position <= 10",
+    "search_page": _sql_hits(REQUESTS) + _SCORES + "SELECT * FROM placed WHERE position BETWEEN 6 AND 10",
+    "search_and_first": _sql_hits(REQUESTS) + "SELECT request, doc_id FROM hits WHERE strict",
+    "search_match_kinds": _sql_hits(REQUESTS | ADDRESSES) + "SELECT request, doc_id, kind, strict, best_unit, tier || ',' || r2 || ',' || r3 AS rank FROM hits",
+    "search_or_prefix": _sql_hits(REQUESTS | ADDRESSES, "or-prefix") + "SELECT request, doc_id, kind FROM hits",
+    "search_scopes": "SELECT * FROM (" + _sql_hits(REQUESTS, scope="title") + "SELECT 'title' AS scope, request, doc_id, kind FROM hits) UNION ALL SELECT * FROM (" + _sql_hits(REQUESTS, scope="body") + "SELECT 'body', request, doc_id, kind FROM hits)",
+    "search_facets": _sql_hits(REQUESTS) + "SELECT request, doc_type, count(*) AS n FROM hits JOIN documents USING (doc_id) GROUP BY ALL",
+    "structural_intents": "SELECT * FROM (VALUES ('§ 5', 0, 'paragraph', '5', NULL), ('§§ 1, 2a und 3', 0, 'paragraph', '1', NULL), ('§§ 1, 2a und 3', 1, 'paragraph', '2a', NULL), ('§§ 1, 2a und 3', 2, 'paragraph', '3', NULL), ('§ 7 Abs. 2', 0, 'paragraph', '7', '2'), ('Art. IV', 0, 'article', 'iv', NULL), ('Artikel 12a Absatz 3', 0, 'article', '12a', '3'), ('Nr. 2.3', 0, 'number', '2.3', NULL), ('Ziffer 4', 0, 'number', '4', NULL), ('§ 1 Nr. 2', 0, 'paragraph', '1', NULL), ('Absatz 9', 0, 'subsection', '9', NULL), ('§ 74 Absatz 4 und § 79 Absatz 1', 0, 'paragraph', '74', '4'), ('§ 74 Absatz 4 und § 79 Absatz 1', 1, 'paragraph', '79', '1'), ('§5b', 0, 'paragraph', '5b', NULL)) v(request, place, kind, number, subsection)",
+    "batch_golden_metrics": _GOLDEN + "SELECT class, count(*) AS n, round(avg(CASE WHEN position IS NOT NULL THEN 1 ELSE 0 END), 6) AS recall10, round(avg(coalesce(1 / position, 0)), 6) AS mrr, round(avg(CASE WHEN position = 1 THEN 1 ELSE 0 END), 6) AS top1 FROM found GROUP BY class",
+    "search_audit": _GOLDEN + "SELECT class, CASE WHEN position = 1 THEN 'first' WHEN position IS NOT NULL THEN 'found' ELSE 'missed' END AS verdict, count(*) AS n FROM found GROUP BY ALL",
+    "index_integrity": _EDITED + f"SELECT CASE WHEN d.doc_id IS NULL THEN 'missing' WHEN e.doc_id IS NULL THEN 'left-over' ELSE 'differs' END AS finding, count(*) AS n FROM documents d FULL JOIN edited e ON e.doc_id = d.doc_id WHERE d.doc_id IS NULL OR e.doc_id IS NULL OR d.text IS DISTINCT FROM e.text GROUP BY ALL",
+    "index_maintenance": _EDITED + f"SELECT term, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest({_W}) AS term FROM edited) GROUP BY term",
 }

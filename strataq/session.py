@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 
@@ -52,6 +53,17 @@ def _shared_dir(spark: SparkSession) -> str:
     return "file://" + d
 
 
+def kept_path(spark: SparkSession, source: str, name: str) -> str:
+    """A folder in the shared one for what is derived from a stored table: another one for another state of the table (its files' sizes and times) and for another application."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = fs.getFileStatus(path)
+    files = fs.listStatus(path) if status.isDirectory() else [status]
+    state = "|".join(sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files))
+    digest = hashlib.sha256(f"{spark.sparkContext.applicationId}|{state}".encode()).hexdigest()[:24]
+    return f"{_shared_dir(spark)}/{name}-{digest}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that a lost executor costs no recomputation from the source."""
     sc = df.sparkSession.sparkContext
