@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Cells of the comparison table beyond which the differing middle is one change.
-MOST_CELLS = 250_000
 _TOKEN = re.compile(r"\s+|\S+")
 _END = re.compile(r"(?<=[.!?])[\"“)]*\s+(?=[A-ZÄÖÜ§„\"(])")
 # Abbreviations after which no sentence ends.
@@ -31,43 +30,55 @@ def sentences(text: str) -> list[str] | None:
     return [s for s in [*out, text[last:].strip()] if s]
 
 
-def word_diff(before: str, after: str) -> list[tuple[str, str]]:
-    """(kind, text) with kind same, gone or new: by the longest common subsequence of words and blanks; every character survives. A difference too large to compare is gone and new as a whole."""
+def _common_lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many tokens of x are in a longest common subsequence with each beginning of y: a row of y at a time."""
+    row = np.zeros(len(y) + 1, dtype=np.int32)
+    for token in x:
+        longer = row[:-1] + (y == token)
+        np.maximum(longer, row[1:], out=row[1:])
+        np.maximum.accumulate(row, out=row)
+    return row
+
+
+def _matched(x: np.ndarray, y: np.ndarray, i: int, j: int) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence of x and y, in order, counted from i and j: x is halved, y is cut where both halves together have most in common, so memory stays linear."""
+    if not len(x) or not len(y):
+        return []
+    if len(x) == 1:
+        at = np.flatnonzero(y == x[0])
+        return [(i, j + int(at[0]))] if len(at) else []
+    half = len(x) // 2
+    k = int(np.argmax(_common_lengths(x[:half], y) + _common_lengths(x[half:][::-1], y[::-1])[::-1]))
+    return _matched(x[:half], y[:k], i, j) + _matched(x[half:], y[k:], i + half, j + k)
+
+
+def word_diff(before: str, after: str, most_cells: int | None = None) -> list[tuple[str, str]]:
+    """(kind, text) with kind same, gone or new: by a longest common subsequence of words and blanks; every character survives. With ``most_cells``, differing middles of more pairs of tokens than that are gone and new as a whole."""
     a, b = _TOKEN.findall(before), _TOKEN.findall(after)
-    lo = 0
-    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
-        lo += 1
-    hi = 0
-    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
-        hi += 1
-    x, y = a[lo : len(a) - hi], b[lo : len(b) - hi]
-    ops: list[tuple[str, str]] = [("same", t) for t in a[:lo]]
-    if len(x) * len(y) > MOST_CELLS:
-        ops += [("gone", t) for t in x] + [("new", t) for t in y]
-    else:
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            row, below = best[i], best[i + 1]
-            for j in range(len(y) - 1, -1, -1):
-                row[j] = below[j + 1] + 1 if x[i] == y[j] else max(below[j], row[j + 1])
-        i = j = 0
-        while i < len(x) or j < len(y):
-            if i < len(x) and j < len(y) and x[i] == y[j]:
-                ops.append(("same", x[i]))
-                i, j = i + 1, j + 1
-            elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
-                ops.append(("gone", x[i]))
-                i += 1
-            else:
-                ops.append(("new", y[j]))
-                j += 1
-    ops += [("same", t) for t in a[len(a) - hi :]] if hi else []
+    numbers: dict[str, int] = {}
+    x, y = (np.array([numbers.setdefault(t, len(numbers)) for t in ts], dtype=np.int64) for ts in (a, b))
+    short = min(len(x), len(y))
+    unlike = np.flatnonzero(x[:short] != y[:short])
+    lead = int(unlike[0]) if len(unlike) else short
+    unlike = np.flatnonzero(x[len(x) - short + lead :][::-1] != y[len(y) - short + lead :][::-1])
+    trail = int(unlike[0]) if len(unlike) else short - lead
+    middle = (x[lead : len(x) - trail], y[lead : len(y) - trail])
+    known = [] if most_cells is not None and len(middle[0]) * len(middle[1]) > most_cells else _matched(*middle, lead, lead)
+    pairs = [(k, k) for k in range(lead)] + known + [(len(a) - k, len(b) - k) for k in range(trail, 0, -1)]
     out: list[tuple[str, str]] = []
-    for kind, t in ops:
-        if out and out[-1][0] == kind:
-            out[-1] = (kind, out[-1][1] + t)
-        else:
-            out.append((kind, t))
+
+    def put(kind: str, tokens: list[str]) -> None:
+        if tokens and out and out[-1][0] == kind:
+            out[-1] = (kind, out[-1][1] + "".join(tokens))
+        elif tokens:
+            out.append((kind, "".join(tokens)))
+
+    i = j = 0
+    for p, q in [*pairs, (len(a), len(b))]:
+        put("gone", a[i:p])
+        put("new", b[j:q])
+        put("same", a[p : p + 1])
+        i, j = p + 1, q + 1
     return out
 
 
@@ -112,12 +123,22 @@ def apply_replacements(text: str, plan: list[tuple[int, int, str, str]]) -> str:
     return "".join([*out, text[last:]])
 
 
+# How amending sentences command.
+_COMMANDS = {
+    "repeal": ["(?:wird|werden)\\s+(?:aufgehoben|gestrichen)", "(?:tritt|treten) außer kraft"],
+    "replace": ["(?:wird|werden)\\b.*?\\bersetzt", "erhält folgende fassung", "wird wie folgt gefasst"],
+    "insert": ["(?:wird|werden)\\b.*?\\beingefügt"],
+    "append": ["(?:wird|werden)\\b.*?\\bangefügt"],
+    "rename": ["wird\\b.*?\\bumbenannt", "wird die bezeichnung"],
+}
+
+
+def without_quotes(text: Column) -> Column:
+    """The text with what stands in quotes taken out, so that quoted wording commands nothing."""
+    return F.regexp_replace(text, "„[^“]*“|\"[^\"]*\"", "„“")
+
+
 def command_of(text: Column) -> Column:
-    """Kind of an amending sentence: repeal, replace, insert, append, rename, or none; the first that fits."""
-    return (
-        F.when(text.rlike("(?i)\\b(?:wird|werden) (?:aufgehoben|gestrichen)|tritt außer kraft|treten außer kraft"), "repeal")
-        .when(text.rlike("(?i)\\b(?:wird|werden) .{0,200}ersetzt|erhält folgende fassung|wird wie folgt gefasst"), "replace")
-        .when(text.rlike("(?i)\\b(?:wird|werden) .{0,200}eingefügt"), "insert")
-        .when(text.rlike("(?i)\\b(?:wird|werden) .{0,200}angefügt"), "append")
-        .when(text.rlike("(?i)\\bwird .{0,200}umbenannt|wird die bezeichnung"), "rename")
-    )
+    """Kind of an amending sentence: repeal, replace, insert, append, rename, or null; the first that fits anywhere in it, quotes left out."""
+    bare = without_quotes(text)
+    return F.coalesce(*[F.when(bare.rlike("(?is)\\b(?:" + "|".join(forms) + ")"), F.lit(kind)) for kind, forms in _COMMANDS.items()])

@@ -10,6 +10,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
@@ -140,6 +141,19 @@ def read_xml_rows(spark: SparkSession, pattern: str, row: str, schema: str) -> D
     return spark.read.format("xml").option("rowTag", row).option("mode", "FAILFAST").schema(schema).load(pattern)
 
 
+class _NoDoctype(ElementTree.TreeBuilder):
+    """Builds a tree and refuses document types wherever they are declared, so no entity is ever expanded."""
+
+    def doctype(self, name: str, pubid: str | None, system: str | None) -> None:
+        raise ValueError("document type declared")
+
+
+def _tree(content: bytes) -> ElementTree.Element:
+    parser = ElementTree.XMLParser(target=_NoDoctype())
+    parser.feed(content)
+    return parser.close()
+
+
 def xml_nodes(files: DataFrame) -> DataFrame:
     """path, node (position in document order), parent, tag, text, error of files(path, content): one row per element; a file that is not well-formed, or declares a document type, gives one row with ``error``."""
 
@@ -148,9 +162,7 @@ def xml_nodes(files: DataFrame) -> DataFrame:
             rows = []
             for path, content in zip(b["path"], b["content"]):
                 try:
-                    if b"<!DOCTYPE" in bytes(content)[:4096]:
-                        raise ValueError("document type declared")
-                    root = ElementTree.fromstring(bytes(content))
+                    root = _tree(bytes(content))
                 except (ElementTree.ParseError, ValueError) as x:
                     rows.append((path, None, None, None, None, str(x)))
                     continue
@@ -165,25 +177,26 @@ def xml_nodes(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(of, "path string, node int, parent int, tag string, text string, error string")
 
 
-def zip_entries(files: DataFrame, most_bytes: int = 64_000_000) -> DataFrame:
-    """path, entry, content, error of ZIP files(path, content); directories are left out, an entry larger than ``most_bytes`` or a broken file gives ``error``."""
+def zip_entries(files: DataFrame, piece_bytes: int = 16_000_000) -> DataFrame:
+    """path, entry, piece, pieces, content, error of ZIP files(path, content): entries as pieces of at most ``piece_bytes``, read one at a time, an empty entry as one empty piece; directories are left out, a broken file gives ``error``."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["path", "entry", "piece", "pieces", "content", "error"]
         for b in batches:
-            rows = []
             for path, content in zip(b["path"], b["content"]):
                 try:
                     with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
                         for i in z.infolist():
                             if i.is_dir():
                                 continue
-                            too_large = i.file_size > most_bytes
-                            rows.append((path, i.filename, None if too_large else z.read(i), "too large" if too_large else None))
-                except (zipfile.BadZipFile, RuntimeError, NotImplementedError) as x:
-                    rows.append((path, None, None, str(x)))
-            yield pd.DataFrame(rows, columns=["path", "entry", "content", "error"])
-
-    return files.select("path", "content").mapInPandas(of, "path string, entry string, content binary, error string")
+                            pieces = max(1, -(-i.file_size // piece_bytes))
+                            with z.open(i) as f:
+                                for k in range(pieces):
+                                    yield pd.DataFrame([(path, i.filename, k, pieces, f.read(piece_bytes), None)], columns=cols)
+                except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError) as x:
+                    yield pd.DataFrame([(path, None, None, None, None, str(x))], columns=cols).astype({"piece": "Int32", "pieces": "Int32"})
+
+    return files.select("path", "content").mapInPandas(of, "path string, entry string, piece int, pieces int, content binary, error string")
 
 
 def inventory(spark: SparkSession, pattern: str) -> DataFrame:

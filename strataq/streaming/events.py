@@ -77,20 +77,47 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need a zoned time
 
 
+#: Buckets of an upserted table.
+BUCKETS, BUCKET = 64, "key_bucket"
+
+
+def _latest(spark: SparkSession, target: str, before: int | None) -> dict[int, str]:
+    """Of each bucket the folder of its latest generation, or of the latest one before."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/generation=*/{BUCKET}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    out: dict[int, tuple[int, str]] = {}
+    for f in found:
+        path = f.getPath().toString()
+        generation, bucket = (int(x.split("=")[1]) for x in path.split("/")[-2:])
+        if (before is None or generation < before) and generation >= out.get(bucket, (-1, ""))[0]:
+            out[bucket] = (generation, path)
+    return {b: p for b, (_, p) in out.items()}
+
+
+def read_upserted(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The rows of an upserted table, each bucket from its latest generation."""
+    paths = list(_latest(spark, target, None).values())
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def upsert_batches(target: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the latest row per key in a parquet table with generations: each batch writes generation i from i-1 and itself, so a batch that is run again gives the same generation."""
+    """A sink that keeps the latest row per key in a table of key buckets: batch i reads and writes only the buckets it has rows for, as generation i, so a batch that is run again gives the same generation."""
 
     def sink(batch: DataFrame, i: int) -> None:
         spark = batch.sparkSession
+        rows = batch.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")).persist()
         try:
-            old = spark.read.parquet(f"{target}/generation={i - 1}") if i else None
-        except Exception as x:
-            if "PATH_NOT_FOUND" not in str(x):
-                raise
-            old = None
-        rows = batch if old is None else old.unionByName(batch)
-        others = [c for c in rows.columns if c not in (key, order)]
-        last = rows.groupBy(key).agg(F.max(F.struct(order, *others)).alias("_x")).select(key, *[F.col(f"_x.{c}").alias(c) for c in (order, *others)])
-        last.write.mode("overwrite").parquet(f"{target}/generation={i}")
+            touched = {r[0] for r in rows.select(BUCKET).distinct().collect()}  # no more than BUCKETS
+            paths = [p for b, p in _latest(spark, target, i).items() if b in touched]
+            if paths:
+                old = spark.read.schema(batch.schema).parquet(*paths)
+                rows_all = rows.unionByName(old.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")))
+            else:
+                rows_all = rows
+            others = [c for c in batch.columns if c not in (key, order)]
+            last = rows_all.groupBy(BUCKET, key).agg(F.max(F.struct(order, *others)).alias("_x")).select(BUCKET, key, *[F.col(f"_x.{c}").alias(c) for c in (order, *others)])
+            last.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{target}/generation={i}")
+        finally:
+            rows.unpersist()
 
     return sink

@@ -78,8 +78,17 @@ def test_stream_upsert(spark, tmp_path):
     stream = spark.readStream.schema("event_id int, user_id int, ts int").option("maxFilesPerTrigger", 1).parquet(src)
     ev.run_available(stream, "append", ev.upsert_batches(out, "user_id", "ts"))
     last = {u: max(t for _, v, t in data if v == u) for u in {x[1] for x in data}}
-    got = spark.read.parquet(out + "/generation=1").collect()
-    assert {x["user_id"]: x["ts"] for x in got} == last
+    sink = ev.upsert_batches(out, "user_id", "ts")
+    schema = "event_id int, user_id int, ts int"
+    read = lambda: {x["user_id"]: x["ts"] for x in ev.read_upserted(spark, out, schema).collect()}
+    assert read() == last
+    sink(spark.createDataFrame([(1, 3, 999), (2, 77, 5)], schema), 2)
+    sink(spark.createDataFrame([(1, 3, 999), (2, 77, 5)], schema), 2)  # run again
+    assert read() == last | {3: 999, 77: 5}
+    import pathlib
+
+    assert len(list(pathlib.Path(out, "generation=2").glob("key_bucket=*"))) <= 2
+    assert ev.read_upserted(spark, out + "/none", schema).count() == 0
 
 
 def test_catalogue_has_sql_for_most():
