@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -231,7 +231,7 @@ def apply_recipe(state: dict, recipe: dict) -> dict:
 
 
 def consolidate(states: DataFrame, recipes: DataFrame, key: str) -> DataFrame:
-    """key, effective_date, status (applied or refused), reason, state_json: one version per recipe, each from the last good state.
+    """key, effective_date, seq, status (applied, refused or blocked), reason, state_json: the state after each recipe, each from the last good one.
 
     states(key, state_json), recipes(key, effective_date, seq, recipe_json).
     A refused recipe leaves the state and stops the entity's later recipes
@@ -240,7 +240,7 @@ def consolidate(states: DataFrame, recipes: DataFrame, key: str) -> DataFrame:
     text holds.
     """
 
-    wanted = recipes.where(f"{key} IS NOT NULL").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("effective_date", "seq", "recipe_json"))).alias("ops"))
+    wanted = recipes.where(f"{key} IS NOT NULL").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("effective_date", F.col("seq").cast("int").alias("seq"), "recipe_json"))).alias("ops"))
     one = states.where(f"{key} IS NOT NULL").groupBy(key).agg(F.min("state_json").alias("state_json"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,16 +251,53 @@ def consolidate(states: DataFrame, recipes: DataFrame, key: str) -> DataFrame:
                 for op in ops:
                     day = op["effective_date"]
                     if blocked:
-                        rows.append((k, day, "blocked", "an earlier recipe was refused", None))
+                        rows.append((k, day, op["seq"], "blocked", "an earlier recipe was refused", None))
                         continue
                     try:
                         if state is None:
                             raise Refused("no state")
                         state = apply_recipe(state, json.loads(op["recipe_json"]))
-                        rows.append((k, day, "applied", None, json.dumps(state, ensure_ascii=False)))
+                        rows.append((k, day, op["seq"], "applied", None, json.dumps(state, ensure_ascii=False)))
                     except (Refused, ValueError, TypeError) as x:
                         blocked = True
-                        rows.append((k, day, "refused", str(x), None))
-            yield pd.DataFrame(rows, columns=[key, "effective_date", "status", "reason", "state_json"])
+                        rows.append((k, day, op["seq"], "refused", str(x), None))
+            yield pd.DataFrame(rows, columns=[key, "effective_date", "seq", "status", "reason", "state_json"])
 
-    return wanted.join(one, key, "left").select(key, "state_json", "ops").mapInPandas(run, f"{key} string, effective_date string, status string, reason string, state_json string")
+    return wanted.join(one, key, "left").select(key, "state_json", "ops").mapInPandas(run, f"{key} string, effective_date string, seq int, status string, reason string, state_json string")
+
+
+def versions_per_date(done: DataFrame, key: str) -> DataFrame:
+    """key, effective_date, status, recipes, reason, state_json: of consolidate's rows one version per date, the state after its last recipe; a date one of whose recipes is refused or blocked has no version and its first reason."""
+    g = done.groupBy(key, "effective_date").agg(
+        F.count("*").alias("recipes"), F.bool_and(F.col("status") == "applied").alias("_ok"), F.bool_or(F.col("status") == "refused").alias("_refused"),
+        F.min(F.when(F.col("reason").isNotNull(), F.struct("seq", "reason")))["reason"].alias("reason"), F.max(F.struct("seq", "state_json"))["state_json"].alias("state_json"),
+    )
+    status = F.when(F.col("_ok"), "applied").when(F.col("_refused"), "refused").otherwise("blocked")
+    return g.select(key, "effective_date", status.alias("status"), "recipes", "reason", F.when(F.col("_ok"), F.col("state_json")).alias("state_json"))
+
+
+def _plain(c: Column) -> Column:
+    """Without soft hyphens and invisible signs, words that a line break parts joined, white space single."""
+    joined = F.regexp_replace(F.regexp_replace(c, "[\\u00ad\\u200b-\\u200f\\u2060\\ufeff]", ""), "(?<=\\p{Ll})-\\s*\\n\\s*(?=\\p{Ll})", "")
+    return F.trim(F.regexp_replace(joined, "\\s+", " "))
+
+
+def wording_check(texts: DataFrame, extracts: DataFrame, key: str) -> DataFrame:
+    """key, place, verdict of texts(key, place, text): "exact" if an extract of extracts(key, extract) holds the text, "loose" if one does without blanks and dashes, else "missing"; empty texts are exact, null ones give nothing.
+
+    Texts meet the extracts of their own key only.
+    """
+    bare = lambda c: F.regexp_replace(c, "[\\s\\p{Pd}]+", "")
+    a = texts.where("text IS NOT NULL").select(key, "place", _plain(F.col("text")).alias("t"))
+    b = extracts.where("extract IS NOT NULL").select(key, _plain(F.col("extract")).alias("x"))
+    level = F.when(F.contains("x", "t"), 2).when(F.contains(bare(F.col("x")), bare(F.col("t"))), 1).otherwise(0)
+    best = a.join(b, key, "left").groupBy(key, "place").agg(F.max(F.when(F.col("t") == "", 2).otherwise(F.coalesce(level, F.lit(0)))).alias("l"))
+    return best.select(key, "place", F.when(F.col("l") == 2, "exact").when(F.col("l") == 1, "loose").otherwise("missing").alias("verdict"))
+
+
+def file_plan(planned: DataFrame, existing: DataFrame) -> DataFrame:
+    """path, action of planned(path, sha256, base_sha256) against existing(path, sha256): new, unchanged, update (it is still what the plan began from), conflict, or orphan (nobody plans it)."""
+    e = existing.select("path", F.col("sha256").alias("_now"))
+    j = planned.withColumn("_planned", F.lit(True)).join(e, "path", "full_outer")
+    action = F.when(F.col("_planned").isNull(), "orphan").when(F.col("_now").isNull(), "new").when(F.col("_now") == F.col("sha256"), "unchanged").when(F.col("_now").eqNullSafe(F.col("base_sha256")), "update").otherwise("conflict")
+    return j.select("path", action.alias("action"))

@@ -17,10 +17,13 @@ def overlap_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
 
     left(left_id, words), right(right_id, words), words being distinct. Exact,
     by prefixes: a pair that reaches the threshold shares one of the rarest
-    words of its smaller set, so only those words are joined, never all.
+    words of its smaller set, so only those words are joined, never all. Equal
+    sets of words are matched once, for all rows that have them.
     """
-    a = left.select(F.col(left_id).alias("l"), F.col(words).alias("wl")).where(F.size("wl") > 0)
-    b = right.select(F.col(right_id).alias("r"), F.col(words).alias("wr")).where(F.size("wr") > 0)
+    lefts = left.select(F.col(left_id).alias("id"), F.array_sort(words).alias("w")).where(F.size("w") > 0).withColumn("l", F.xxhash64("w"))
+    a = lefts.groupBy("l").agg(F.first("w").alias("wl"))
+    rights = right.select(F.col(right_id).alias("id"), F.array_sort(words).alias("w")).where(F.size("w") > 0).groupBy(F.xxhash64("w").alias("r")).agg(F.first("w").alias("wr"), F.min("id").alias("first"), F.countDistinct("id").alias("ids"))
+    b = rights.select("r", "wr")
     df = b.select(F.explode("wr").alias("w")).unionByName(a.select(F.explode("wl").alias("w"))).groupBy("w").agg(F.count("*").alias("n"))
 
     def prefixes(x: DataFrame, i: str, w: str) -> DataFrame:
@@ -35,7 +38,23 @@ def overlap_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     scored = pairs.join(a, "l").join(b, "r").select("l", "r", score.alias("score"), shared.alias("shared")).where(F.col("score") >= least)
     best = scored.groupBy("l").agg(F.max(F.struct("score", "shared", "r")).alias("x"), F.max(F.struct("score", "shared")).alias("m"))
     ties = scored.join(best.select("l", "m"), "l").where((F.col("score") == F.col("m.score")) & (F.col("shared") == F.col("m.shared"))).groupBy("l").agg(F.count("*").alias("n"))
-    return best.join(ties, "l").where("n = 1").select(F.col("l").alias(left_id), F.col("x.r").alias(right_id), F.round("x.score", 6).alias("score"))
+    one = best.join(ties, "l").where("n = 1").select("l", F.col("x.r").alias("r"), F.col("x.score").alias("score")).join(rights.where("ids = 1").select("r", "first"), "r")
+    return lefts.select("id", "l").join(one, "l").select(F.col("id").alias(left_id), F.col("first").alias(right_id), F.round("score", 6).alias("score"))
+
+
+def resolve_by_tiers(refs: DataFrame, targets: DataFrame, ident: str, tiers: list[tuple[str, str, str]]) -> DataFrame:
+    """Adds resolved and tier to refs: for each (tier, column of refs, column of targets) in order, the target whose value is equal and that is the only one with it; tier is "none" where no tier says.
+
+    Null values name nothing. Targets are reduced to their unique values before
+    they are joined, so no value of many rows meets another.
+    """
+    x = refs
+    for k, (_, ref, target) in enumerate(tiers):
+        unique = unique_key(targets.select(F.col(target).alias(f"_k{k}"), F.col(ident).alias("_i")), f"_k{k}", "_i", f"_r{k}")
+        x = x.join(unique, x[ref] == unique[f"_k{k}"], "left").drop(f"_k{k}")
+    found = [F.col(f"_r{k}") for k in range(len(tiers))]
+    tier = F.coalesce(*[F.when(c.isNotNull(), F.lit(n)) for c, (n, *_) in zip(found, tiers)], F.lit("none"))
+    return x.withColumns({"resolved": F.coalesce(*found), "tier": tier}).drop(*[f"_r{k}" for k in range(len(tiers))])
 
 
 def signal_level(signals: list[Column]) -> Column:

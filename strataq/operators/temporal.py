@@ -142,3 +142,15 @@ def select_at(candidates: DataFrame, key: str, ident: str, start: str, end: str,
         .otherwise(F.col("block"))
     )
     return g.withColumn("status", status).select(key, "status", F.when(F.col("status") == "selected", F.col("version")).alias("version"))
+
+
+def systemic_stop(df: DataFrame, keys: list[str], order: list[str], code: str, in_row: int = 20, same: int = 15, window: int = 25) -> DataFrame:
+    """Adds in_row (failures up to here without a success between), same_code (rows of this code among the last ``window``) and stop: a run of ``in_row`` failures, or one code in ``same`` of the last ``window`` rows. ``code`` is null where a row did not fail."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    failed = F.col(code).isNotNull()
+    last = F.collect_list(code).over(w.rowsBetween(1 - window, 0))
+    x = df.withColumns({"_island": F.count_if(~failed).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_last": last})
+    run = F.count_if(failed).over(Window.partitionBy(*keys, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    same_code = F.when(failed, F.size(F.filter("_last", lambda c: c == F.col(code)))).otherwise(0)
+    x = x.withColumns({"in_row": run, "same_code": same_code}).drop("_island", "_last")
+    return x.withColumn("stop", (F.col("in_row") >= in_row) | (F.col("same_code") >= same))

@@ -68,11 +68,6 @@ def subject_facets(spark, d):
     return n.select("jurisdiction", F.explode_outer("subjects").alias("subject")).groupBy("jurisdiction", "subject").agg(F.count("*").alias("n"))
 
 
-def facet_merge(spark, d):
-    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return c.groupBy("n_regionkey", "c_mktsegment").agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
-
-
 def topk_per_group(spark, d):
     l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     # equal rows exist, so the price itself is what the order decides on
@@ -207,7 +202,7 @@ _LN = "WITH ln AS (SELECT * FROM law_norms QUALIFY row_number() OVER (PARTITION
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_project_filter, family_filter, default_scope_filter, subject_contains, letter_filter, count_by_type, facets_disjunctive, facets_conditional_sum, facets_pivot, subject_facets, facet_merge, topk_per_group,
+        scan_project_filter, family_filter, default_scope_filter, subject_contains, letter_filter, count_by_type, facets_disjunctive, facets_conditional_sum, facets_pivot, subject_facets, topk_per_group,
         first_blocks, paging_offset, paging_keyset, federated_topk, german_sort, natural_order, round_robin_sample, semi_exists, anti_not_exists, stale_index, four_way_join_min_rank, correlated_latest,
         source_crosscheck, set_difference, relation_merge, duplicate_keys, upsert_latest_wins, insert_ignore, json_extract_explode, grouping_sets, relation_targets, range_join,
     )
@@ -226,7 +221,6 @@ SQL = {
     "facets_conditional_sum": "SELECT l_linestatus, count(*) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_returnflag = 'R') AS r, count(*) FILTER (l_returnflag IN ('A', 'R')) AS assigned, count(*) FILTER (l_returnflag NOT IN ('A', 'R')) AS unassigned FROM lineitem GROUP BY ALL",
     "facets_pivot": "SELECT category, count(*) FILTER (priority = 'P1') AS p1, count(*) FILTER (priority = 'P2') AS p2, count(*) FILTER (priority = 'P3') AS p3 FROM (SELECT DISTINCT id, category, priority FROM feedback_reports) GROUP BY ALL",
     "subject_facets": _LN + "SELECT jurisdiction, subject, count(*) AS n FROM (SELECT jurisdiction, unnest(CASE WHEN subjects IS NULL OR len(subjects) = 0 THEN [NULL] ELSE subjects END) AS subject FROM ln) GROUP BY ALL",
-    "facet_merge": "SELECT n_regionkey, c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
     "topk_per_group": "SELECT l_orderkey, rank, l_extendedprice FROM (SELECT l_orderkey, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rank FROM lineitem) WHERE rank <= 3",
     "first_blocks": "SELECT norm_id, version_id, block_index, rank FROM (SELECT norm_id, version_id, block_index, row_number() OVER (PARTITION BY norm_id, version_id ORDER BY block_index) AS rank FROM (SELECT DISTINCT norm_id, version_id, block_index FROM law_version_blocks WHERE part_index = 0)) WHERE rank <= 8",
     "paging_offset": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20 OFFSET 40",

@@ -98,16 +98,6 @@ def gaps_and_islands(spark, d):
     return e.groupBy("user_id", "run", "event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-def systemic_stop(spark, d):
-    """Rows at which a run of failures gets too long or one failure dominates the last 25 rows of the user."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    err = (F.col("event_type") == "error").cast("int")
-    e = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
-    e = e.withColumn("recent", F.sum(err).over(w.rowsBetween(-24, 0))).withColumn("island", F.sum(1 - err).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = F.sum(err).over(Window.partitionBy("user_id", "island").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0))
-    return e.withColumn("failures_in_row", run).select("user_id", "event_id", "recent", "failures_in_row", ((F.col("recent") >= 8) | (F.col("failures_in_row") >= 4)).alias("stop"))
-
-
 def prev_next_navigation(spark, d):
     w = Window.partitionBy("norm_id").orderBy("simulation_valid_from", "version_id")
     v = versions_now(spark, d).where("simulation_valid_from IS NOT NULL")
@@ -141,7 +131,7 @@ vn AS (SELECT lv.norm_id, lv.version_id, simulation_valid_from AS s, simulation_
 cl AS (SELECT *, CASE WHEN status = 'pending-effective' THEN 'unknown-effective' WHEN s > DATE '2026-09-01' THEN 'future' WHEN status IN ('repealed', 'historical') THEN 'historical' WHEN e < DATE '2026-09-01' THEN 'historical' ELSE 'current' END AS kind FROM vn)
 """
 
-QUERIES = {f.__name__: f for f in (interval_derive, interval_neighbour_findings, interval_selection, asof_resolve, asof_latest_start, temporal_classify, applicable_version, change_classify, baseline_align, last_change_activity, history_entries, gaps_and_islands, systemic_stop, prev_next_navigation, end_effective_day, relative_commencement, version_runs)}
+QUERIES = {f.__name__: f for f in (interval_derive, interval_neighbour_findings, interval_selection, asof_resolve, asof_latest_start, temporal_classify, applicable_version, change_classify, baseline_align, last_change_activity, history_entries, gaps_and_islands, prev_next_navigation, end_effective_day, relative_commencement, version_runs)}
 
 SQL = {
     "interval_derive": "SELECT o_custkey, valid_from, CAST(lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) - INTERVAL 1 DAY AS DATE) AS valid_to FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS valid_from FROM orders)",
@@ -169,7 +159,6 @@ CASE WHEN problem IS NOT NULL THEN NULL WHEN n_base = 0 THEN hi WHEN n_later > 0
     "last_change_activity": "SELECT o_custkey, max(CASE WHEN o_orderdate <= TIMESTAMP '2000-01-01' THEN CAST(o_orderdate AS DATE) END) AS last_change, max(greatest(CASE WHEN o_orderdate <= TIMESTAMP '2000-01-01' THEN CAST(o_orderdate AS DATE) END, CASE WHEN l_shipdate <= TIMESTAMP '2000-01-01' THEN CAST(l_shipdate AS DATE) END)) AS last_activity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey",
     "history_entries": "SELECT o_custkey, o_orderkey, day, row_number() OVER (PARTITION BY o_custkey ORDER BY coalesce(day, DATE '9999-12-31'), o_orderkey) AS entry_index FROM (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS day FROM orders)",
     "gaps_and_islands": "SELECT user_id, run, event_type, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY ALL",
-    "systemic_stop": "SELECT user_id, event_id, recent, failures_in_row, recent >= 8 OR failures_in_row >= 4 AS stop FROM (SELECT *, sum(err) OVER (PARTITION BY user_id, island ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS failures_in_row FROM (SELECT *, sum(err) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) AS recent, sum(1 - err) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS err FROM events)))",
     "prev_next_navigation": _NOW + "SELECT norm_id, version_id, lag(version_id) OVER w AS previous, lead(version_id) OVER w AS next FROM lv WHERE simulation_valid_from IS NOT NULL WINDOW w AS (PARTITION BY norm_id ORDER BY simulation_valid_from, version_id)",
     "end_effective_day": _NOW + "SELECT id, coalesce(expiry_date + 1, effective_date, document_date) AS end_effective, expiry_date > DATE '2026-09-01' AS future_termination FROM ln",
     "relative_commencement": _NOW + "SELECT id, publication_date + 1 AS day_after, CAST(date_trunc('month', publication_date) + INTERVAL 1 MONTH AS DATE) AS next_month FROM ln",
