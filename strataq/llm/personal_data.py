@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 from collections.abc import Callable
 
@@ -52,9 +53,8 @@ class Feistel:
     def _walk(self, x: int, size: int, forth: bool) -> int:
         if size < 2:
             return x
-        a = b = 1
-        while a * b < size:  # the smallest near-square frame that holds the numbers
-            a, b = (a + 1 if size < 1_000_000 else a * 2, b) if a <= b else (a, b + 1 if size < 1_000_000 else b * 2)
+        a = math.isqrt(size - 1) + 1  # a near-square frame that holds the numbers
+        b = -(-size // a)
         while True:
             x = self._once(x, size, a, b, forth)
             if x < size:
@@ -176,7 +176,16 @@ _STARTERS = frozenset("Der Die Das Den Dem Im In An Am Bei Bitte Mit Mir Mein Me
 # What a text must hold for the longer forms to be looked for at all.
 _DIGIT, _LONG_NUMBER, _POSTCODE = re.compile(r"\d"), re.compile(r"\d{2,5}[ /]?\d{3}"), re.compile(r"\d{5}\s")
 _WRITTEN_AT, _CARD_FORM, _PHONE_START = re.compile(r"[\[({<]\s?(?:at|ät|AT)\s?[\])}>]|\s(?:at|ät|AT)\s"), re.compile(r"[A-Z][A-Z0-9]{8}"), re.compile(r"\+[1-9]|0\d")
-_STREET_WORD = re.compile(r"[Ss]tra(?:ß|ss)e|[Ss]tr\.|[Gg]asse|[Aa]llee|[Ww]eg|[Pp]latz|[Dd]amm|[Uu]fer|[Cc]haussee|[Ss]tei?g|[Ss]tieg|[Pp]fad|[Rr]ing|[Kk]anal|[Pp]romenade|[Tt]wiete")
+_STREET_PARTS = ("stra", "str.", "gasse", "allee", "weg", "platz", "damm", "ufer", "chaussee", "steig", "steg", "stieg", "pfad", "ring", "kanal", "promenade", "twiete")
+_CUE_PARTS = ("name ist", "ich heiße", "ich bin", "kontakt", "mir hat", "laut", "auskunft von", "angaben von", "name:", "gez.", "i.", "grüß", "gruß", "hochachtungsvoll", "sachbearbeiter", "ansprechpartner", "kolleg", "im namen von", "im auftrag von", "vertreten durch")
+_TITLE_PARTS = ("herr", "frau", "dr.", "prof.", "mag.", "dipl.")
+
+
+def _holds(text: str, parts: tuple[str, ...]) -> bool:
+    for p in parts:
+        if p in text:
+            return True
+    return False
 
 
 def _card_ok(s: str) -> bool:
@@ -200,7 +209,7 @@ def _name_span(m: re.Match, pattern: re.Pattern) -> tuple[int, int] | None:
 
 def find_items(text: str) -> list[tuple[str, int, int]]:
     """(type, start, end) of the items of a text in order, without overlaps; the start is where the value itself begins."""
-    taken: list[tuple[int, int]] = [m.span() for m in _URL.finditer(text)]
+    taken: list[tuple[int, int]] = [m.span() for m in _URL.finditer(text)] if "://" in text or "www." in text else []
     out: list[tuple[str, int, int]] = []
 
     def take(kind: str, a: int, b: int) -> None:
@@ -208,6 +217,7 @@ def find_items(text: str) -> list[tuple[str, int, int]]:
             taken.append((a, b))
             out.append((kind, a, b))
 
+    low = text.lower()
     if "@" in text or _WRITTEN_AT.search(text):
         for m in _EMAIL.finditer(text):
             a = m.start()
@@ -245,13 +255,14 @@ def find_items(text: str) -> list[tuple[str, int, int]]:
         if _POSTCODE.search(text):
             for m in _WITH_TOWN.finditer(text):
                 take("ADDRESS", *m.span(1))
-        if _STREET_WORD.search(text):
+        if _holds(low, _STREET_PARTS):
             for m in _BARE.finditer(text):
                 take("ADDRESS", *m.span(1))
-    for m in _NAME_MAILBOX.finditer(text):
+    for m in _NAME_MAILBOX.finditer(text) if "<" in text else ():
         take("NAME", *m.span(1))
     known = not _FIRST_NAMES.isdisjoint(text.replace("-", " ").split())
-    for pattern in (_NAME_CUED, _NAME_ONE, _NAME_LOWER, *([_NAME_FIRST] if known else [])):
+    cued, titled = _holds(low, _CUE_PARTS), _holds(low, _TITLE_PARTS)
+    for pattern in (*([_NAME_CUED] if cued else []), *([_NAME_ONE] if titled else []), *([_NAME_LOWER] if cued else []), *([_NAME_FIRST] if known else [])):
         at = 0
         while m := pattern.search(text, at):
             span = _name_span(m, pattern)
@@ -327,23 +338,30 @@ def canonical(kind: str, value: str) -> str:
     return re.sub(r"(\d) ([a-z])(?= \d{5} |$)", r"\1\2", v)
 
 
-def pseudonym(f: Feistel, kind: str, value: str) -> str:
+def replaced(f: Feistel, kind: str, value: str) -> tuple[str, str]:
+    """(pseudonym, link tag) of a value; for what is no number they are the same keyed tag."""
     v = canonical(kind, value)
-    return _phone(f, v) if kind == "PHONE" else _idnum(f, v) if kind == "IDNUM" else f.tag(kind, v)
+    tag = f.tag(kind, v)
+    return (_phone(f, v) if kind == "PHONE" else _idnum(f, v) if kind == "IDNUM" else tag), tag
+
+
+def pseudonym(f: Feistel, kind: str, value: str) -> str:
+    return replaced(f, kind, value)[0]
 
 
 def link_tag(f: Feistel, kind: str, value: str) -> str:
     """A keyed tag, equal for equal values."""
-    return f.tag("link " + kind, canonical(kind, value))
+    return replaced(f, kind, value)[1]
 
 
 def redact_text(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int, str, str]]]:
     """The text with placeholders, and (type, start 1 …, length, placeholder, link tag) of each item."""
     out, items, last = [], [], 0
     for kind, a, b in find_items(text):
-        placeholder = f"[{kind}:{pseudonym(f, kind, text[a:b])}]"
+        shown, link = replaced(f, kind, text[a:b])
+        placeholder = f"[{kind}:{shown}]"
         out += [text[last:a], placeholder]
-        items.append((kind, a + 1, b - a, placeholder, link_tag(f, kind, text[a:b])))
+        items.append((kind, a + 1, b - a, placeholder, link))
         last = b
     return "".join([*out, text[last:]]), items
 
