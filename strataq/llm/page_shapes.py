@@ -68,17 +68,32 @@ def _apart(text: str, words: int) -> bool:
     return _BETWEEN.search(text) is not None or len(_SEPARATOR.findall(text)) >= max(2, words / PER_SEPARATOR)
 
 
+def _longest_run(small: list[bool]) -> int:
+    longest = run = 0
+    for s in small:
+        run = 0 if s else run + 1
+        if run > longest:
+            longest = run
+    return longest
+
+
 def _runs(line: str) -> list[tuple[str, list[str], bool]]:
     """(unit, words, whether it may be a sentence) of one line."""
     out = []
     for part in _SENTENCE_END.split(line):
-        found = list(_WORD.finditer(part))
-        if not found:
+        words = _WORD.findall(part)
+        if not words:
             continue
-        links = [m.span() for m in _LINK.finditer(part)] if "<" in part or "http" in part or "www." in part else []
-        inside = [any(a <= m.start() < b for a, b in links) for m in found] if links else [False] * len(found)
+        linked = "<" in part or "http" in part or "www." in part
         shown = str.lower if part.isupper() else str
-        small = [len(m.group()) <= SMALL and not link and _is_small(shown(m.group()), k == 0) for k, (m, link) in enumerate(zip(found, inside))]
+        small = [len(w) <= SMALL and _is_small(shown(w), k == 0) for k, w in enumerate(words)]
+        if not linked and any(small) and (longest := _longest_run(small)) < RUN and (longest < SEPARATED_RUN or not (part.count(",") > 1 or _BETWEEN.search(part))):
+            out.append((part, words, True))  # most sentences
+            continue
+        found = list(_WORD.finditer(part))
+        links = [m.span() for m in _LINK.finditer(part)] if linked else []
+        inside = [any(a <= m.start() < b for a, b in links) for m in found] if links else [False] * len(found)
+        small = [s and not link for s, link in zip(small, inside)]
         closed = _CLOSED.search(part) is not None
         if not any(small):
             apart = links or (len(found) >= SEPARATED_RUN and _apart(part[: found[-1].end()], len(found)))
@@ -137,7 +152,7 @@ def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]], int
     """(words, words in sentences, words in ordinary lists, the few largest non-sentence shapes with their words, words in all of these)."""
     lines = text.split("\n")
     full = [i for i, line in enumerate(lines) if line.strip()]
-    total = sentence = ordinary = 0
+    sentence = ordinary = 0
     shapes: Counter = Counter()
     units = 0
     waiting: list[tuple[str, list[str]]] = []
@@ -145,25 +160,23 @@ def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]], int
     labels = Counter(m.group().split(":")[0] for line in lines if (m := _LABELLED.match(line)))
     for i in full:
         line = lines[i].strip()
-        n = len(_WORD.findall(line))
-        if not n:
-            continue
-        total += n
         if _HEADING.match(line):
             further = bool(waiting)
-            ordinary += n
+            ordinary += len(_WORD.findall(line))
             continue
         if further and _BULLET.match(line):
-            ordinary += n
+            ordinary += len(_WORD.findall(line))
             continue
-        further = False
         if _NUMBERED.match(line):
-            ordinary += n
+            further = False
+            ordinary += len(_WORD.findall(line))
             continue
         if i == full[-1] and waiting and (m := _LABELLED.match(line)) and labels[m.group().split(":")[0]] == 1 and not any(s in line for s in "|;/#"):
-            ordinary += n
+            ordinary += len(_WORD.findall(line))
             continue
-        for unit, words, may in _runs(line):
+        units_here = _runs(line)
+        further = further and not units_here
+        for unit, words, may in units_here:
             if may:
                 waiting.append((unit, words))
             else:
@@ -176,6 +189,7 @@ def page_profile(text: str) -> tuple[int, int, int, list[tuple[tuple, int]], int
         if listed:
             shapes[shape_of(unit, words)] += listed
             units += 1
+    total = sentence + ordinary + sum(shapes.values())
     return total, sentence, ordinary, [(s, n) for s, n in shapes.most_common(FEW + units // UNITS_A_SHAPE)], sum(shapes.values())
 
 
