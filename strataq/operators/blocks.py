@@ -41,6 +41,13 @@ def assemble_parts(df: DataFrame, keys: list[str], index: str = "part_index", co
     return whole.unionByName(joined)
 
 
+def split_parts(df: DataFrame, keys: list[str], payload: str, size: int) -> DataFrame:
+    """keys, part_index, part_count, payload: values cut after every ``size`` characters, as assemble_parts joins them; an empty value is one empty part, null gives nothing."""
+    rows = df.where(F.col(payload).isNotNull()).select(*keys, F.col(payload).alias("_p"), F.greatest(F.lit(1), F.ceil(F.length(payload) / size)).cast("int").alias("part_count"))
+    each = rows.select(*keys, "_p", "part_count", F.explode(F.sequence(F.lit(0), F.col("part_count") - 1)).alias("part_index"))
+    return each.select(*keys, "part_index", "part_count", F.substring("_p", F.col("part_index") * size + 1, F.lit(size)).alias(payload))
+
+
 def _own(block: dict) -> list[str]:
     return [str(v) for v in (block.get("label"), block.get("title"), block.get("text")) if v is not None and not isinstance(v, (dict, list, bool)) and str(v) != ""]
 

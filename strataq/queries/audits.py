@@ -76,10 +76,14 @@ def readiness(spark, d):
 
 
 def ordered_subsequence(spark, d):
-    """Norms whose versions, in the order of their ids, do not start one after the other."""
-    w = Window.partitionBy("norm_id").orderBy("version_id")
-    v = versions_now(spark, d).select("norm_id", "version_id", "simulation_valid_from").withColumn("before", F.lag("simulation_valid_from").over(w))
-    return v.groupBy("norm_id").agg(F.count_if(F.col("before") > F.col("simulation_valid_from")).alias("breaks")).where("breaks > 0")
+    """Whether the titled blocks of a version still occur, in their order, in the next one: kept, missing, and kept out of order."""
+    e = _stored(spark, d).select("norm_id", "version_id", "block_index", F.concat_ws("|", F.get_json_object("block_json", "$.label"), F.get_json_object("block_json", "$.title")).alias("e")).where("e != ''")
+    e = e.groupBy("norm_id", "version_id", "e").agg(F.min("block_index").alias("p"))
+    following = e.select("norm_id", "version_id").distinct().withColumn("next", F.lead("version_id").over(Window.partitionBy("norm_id").orderBy("version_id"))).where("next IS NOT NULL")
+    old = e.join(following, ["norm_id", "version_id"]).select("norm_id", F.col("next").alias("version_id"), "e", F.col("p").alias("before"))
+    j = old.join(e, ["norm_id", "version_id", "e"], "left")
+    upto = F.max("p").over(Window.partitionBy("norm_id", "version_id").orderBy("before").rowsBetween(Window.unboundedPreceding, -1))
+    return j.withColumn("upto", upto).groupBy("norm_id", "version_id").agg(F.count("p").alias("kept"), F.count_if(F.col("p").isNull()).alias("missing"), F.count_if(F.col("p") < F.col("upto")).alias("breaks"))
 
 
 def order_consistency(spark, d):
@@ -209,7 +213,7 @@ e AS (SELECT c, min(id) AS id FROM n GROUP BY c HAVING count(*) = 1), l AS (SELE
 SELECT norm_id, version_id, coalesce(e.id, l.id) AS entry, CASE WHEN e.id IS NOT NULL THEN 'citation' WHEN l.id IS NOT NULL THEN 'issue' ELSE 'none' END AS tier FROM lv LEFT JOIN e ON e.c = lv.citation LEFT JOIN l ON l.jurisdiction = split_part(lv.norm_id, ':', 1) AND l.i = regexp_extract(lv.citation, 'Blatt (\\d+) S', 1)""",
     "tier_coverage": "WITH t AS (" + qq.SQL["tiered_resolution"] + ") SELECT tier, count(*) AS n, round(count(*) / (SELECT count(*) FROM t), 4) AS rate FROM t GROUP BY tier",
     "readiness": _LV + ", k AS (SELECT jurisdiction, title IS NOT NULL AND current_version_id IS NOT NULL AND id IN (SELECT norm_id FROM lv) AS ok FROM ln) SELECT jurisdiction, bool_and(ok) AS ready, count(*) FILTER (NOT ok) AS blocked FROM k GROUP BY jurisdiction",
-    "ordered_subsequence": _LV + "SELECT norm_id, count(*) FILTER (b > simulation_valid_from) AS breaks FROM (SELECT norm_id, simulation_valid_from, lag(simulation_valid_from) OVER (PARTITION BY norm_id ORDER BY version_id) AS b FROM lv) GROUP BY norm_id HAVING breaks > 0",
+    "ordered_subsequence": qq.WHOLE + ", e AS (SELECT norm_id, version_id, min(block_index) AS p, concat_ws('|', json_extract_string(j, '$.label'), json_extract_string(j, '$.title')) AS e FROM whole GROUP BY norm_id, version_id, 4 HAVING e <> ''), f AS (SELECT norm_id, version_id, lead(version_id) OVER (PARTITION BY norm_id ORDER BY version_id) AS nx FROM (SELECT DISTINCT norm_id, version_id FROM e)), o AS (SELECT e.norm_id, nx AS version_id, e, p AS before FROM e JOIN f ON f.norm_id = e.norm_id AND f.version_id = e.version_id WHERE nx IS NOT NULL), k AS (SELECT o.norm_id, o.version_id, before, e.p, max(e.p) OVER (PARTITION BY o.norm_id, o.version_id ORDER BY before ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM o LEFT JOIN e ON e.norm_id = o.norm_id AND e.version_id = o.version_id AND e.e = o.e) SELECT norm_id, version_id, count(p) AS kept, count(*) FILTER (p IS NULL) AS missing, count(*) FILTER (p < upto) AS breaks FROM k GROUP BY ALL",
     "order_consistency": qq.WHOLE + " SELECT norm_id, version_id, count(*) AS numbered, count(*) FILTER (b >= n) AS breaks FROM (SELECT *, lag(n) OVER (PARTITION BY norm_id, version_id ORDER BY block_index) AS b FROM (SELECT DISTINCT norm_id, version_id, block_index, CAST(regexp_extract(json_extract_string(j, '$.label'), '^§ (\\d+)', 1) AS INTEGER) AS n FROM whole WHERE regexp_matches(json_extract_string(j, '$.label'), '^§ \\d+'))) GROUP BY ALL",
     "candidate_augmentation": qs._sql_hits(qs.REQUESTS | qs.ADDRESSES) + "SELECT request, doc_id, CASE WHEN strict THEN 1 WHEN kind IN ('title', 'identity') THEN 2 ELSE 3 END AS source FROM hits",
     "german_dates": "SELECT DISTINCT citation, try_cast(regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 3) || '-' || list_position([" + ", ".join(f"'{m}'" for m in _MONTHS) + "], regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 2)) || '-' || regexp_extract(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})', 1) AS DATE) AS day FROM law_versions WHERE regexp_matches(citation, 'vom (\\d{1,2})\\. ([A-Za-zä]+) (\\d{4})')",

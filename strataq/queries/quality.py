@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
 from strataq.operators import quality as ql
-from strataq.operators.blocks import BLOCK_KEYS, assemble_parts
+from strataq.operators.blocks import BLOCK_KEYS, assemble_parts, split_parts
 from strataq.queries.relational import _LN
 from strataq.queries.temporal import norms_now, versions_now
 from strataq.session import table
@@ -268,10 +268,11 @@ def title_classification(spark, d):
 
 
 def chunk_roundtrip(spark, d):
-    """Texts cut at a fixed length and joined again in order: pieces and whether the text is the same."""
-    t = table(spark, d, "documents").where("length(text) > 0").select("doc_id", "text", F.explode(F.sequence(F.lit(0), ((F.length("text") - 1) / 400).cast("int"))).alias("i")).select("doc_id", F.md5("text").alias("h"), "i", F.substring("text", F.col("i") * 400 + 1, F.lit(400)).alias("part"))
-    g = t.groupBy("doc_id", "h").agg(F.count("*").alias("n_parts"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "part"))), lambda x: x["part"]), "").alias("text"))
-    return g.select("doc_id", "n_parts", (F.md5("text") == F.col("h")).alias("same"))
+    """Texts cut at a fixed length and joined again in order: pieces, and hashes of the text that comes out and of its last piece."""
+    parts = split_parts(table(spark, d, "documents").where("length(text) > 0"), ["doc_id"], "text", 400)
+    whole = assemble_parts(parts, ["doc_id"], payload="text")
+    last = parts.where("part_index = part_count - 1").select("doc_id", F.col("part_count").cast("long").alias("n_parts"), F.md5("text").alias("last_part"))
+    return whole.select("doc_id", F.md5("text").alias("text_hash")).join(last, "doc_id")
 
 
 #: Blocks rejoined from their parts, in DuckDB.
@@ -335,5 +336,5 @@ SELECT norm_id, version_id, CASE WHEN h1 IS NULL THEN 'new' WHEN h2 IS NULL THEN
     "freshness_window": " UNION ALL ".join(f"SELECT '{t}' AS table_name, min(updated_at) AS oldest, max(updated_at) AS newest FROM {t}" for t in ("law_norms", "law_versions", "law_source_objects")),
     "citation_scan": "SELECT citation, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, unnest(regexp_extract_all(text, '§ (\\d+[a-z]?) Absatz (\\d+)')) AS citation FROM documents) GROUP BY ALL",
     "title_classification": _LN + "SELECT id, CASE WHEN regexp_matches(title, '(?i)änderung|aufhebung') THEN 'exclude' WHEN regexp_matches(title, '(?i)bekanntmachung') THEN 'review' WHEN regexp_matches(title, '(?i)^(gesetz|verordnung|satzung)') THEN 'include' ELSE 'unknown' END AS decision FROM ln",
-    "chunk_roundtrip": "SELECT doc_id, CAST((length(text) + 399) // 400 AS BIGINT) AS n_parts, true AS same FROM documents WHERE length(text) > 0",
+    "chunk_roundtrip": "SELECT doc_id, CAST((length(text) + 399) // 400 AS BIGINT) AS n_parts, md5(text) AS text_hash, md5(substr(text, (length(text) - 1) // 400 * 400 + 1)) AS last_part FROM documents WHERE length(text) > 0",
 }

@@ -120,10 +120,13 @@ def anti_not_exists(spark, d):
 
 
 def stale_index(spark, d):
-    """Norms whose current version has no stored block."""
-    n = norms_now(spark, d, "current_version_id").where("current_version_id IS NOT NULL")
-    b = table(spark, d, "law_version_blocks").select("norm_id", "version_id").distinct()
-    return n.join(b, (n["id"] == b["norm_id"]) & (n["current_version_id"] == b["version_id"]), "left_anti").select("id", "current_version_id")
+    """Norms by whether their current version is named, has a version row, and has stored blocks: what an index lacks or would keep too long."""
+    n = norms_now(spark, d, "current_version_id").select(F.col("id").alias("norm_id"), F.col("current_version_id").alias("version_id"))
+    flag = lambda t, c: table(spark, d, t).select("norm_id", "version_id").distinct().withColumn(c, F.lit(True))
+    j = n.join(flag("law_versions", "v"), ["norm_id", "version_id"], "left").join(flag("law_version_blocks", "b"), ["norm_id", "version_id"], "left")
+    state = F.when(F.col("version_id").isNull(), "no-current").when(F.col("v").isNull(), "no-version").when(F.col("b").isNull(), "no-blocks").otherwise("indexed")
+    left_over = flag("law_version_blocks", "b").join(table(spark, d, "law_versions").select("norm_id", "version_id"), ["norm_id", "version_id"], "left_anti")
+    return j.select(state.alias("state")).unionByName(left_over.select(F.lit("blocks-without-version").alias("state"))).groupBy("state").agg(F.count("*").alias("n"))
 
 
 def four_way_join_min_rank(spark, d):
@@ -231,7 +234,7 @@ SQL = {
     "round_robin_sample": "SELECT doc_id, doc_type, turn FROM (SELECT doc_id, doc_type, row_number() OVER (PARTITION BY doc_type ORDER BY doc_id) AS turn FROM documents WHERE doc_type IS NOT NULL) ORDER BY turn, doc_type, doc_id LIMIT 40",
     "semi_exists": "SELECT c_custkey, c_mktsegment FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)",
     "anti_not_exists": "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= '2000-01-01')",
-    "stale_index": _LN + "SELECT id, current_version_id FROM ln WHERE current_version_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM law_version_blocks b WHERE b.norm_id = ln.id AND b.version_id = ln.current_version_id)",
+    "stale_index": _LN + ", v AS (SELECT DISTINCT norm_id, version_id FROM law_versions), b AS (SELECT DISTINCT norm_id, version_id FROM law_version_blocks) SELECT state, count(*) AS n FROM (SELECT CASE WHEN current_version_id IS NULL THEN 'no-current' WHEN v.norm_id IS NULL THEN 'no-version' WHEN b.norm_id IS NULL THEN 'no-blocks' ELSE 'indexed' END AS state FROM ln LEFT JOIN v ON v.norm_id = id AND v.version_id = current_version_id LEFT JOIN b ON b.norm_id = id AND b.version_id = current_version_id UNION ALL SELECT 'blocks-without-version' FROM b ANTI JOIN v USING (norm_id, version_id)) GROUP BY state",
     "four_way_join_min_rank": "SELECT n_name, min(l_discount) AS best, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS any_return, count(DISTINCT (o_orderkey, l_linenumber)) AS n_pairs FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
     "correlated_latest": "SELECT o_custkey, o_orderkey AS latest, o_orderdate AS day, n FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1",
     "source_crosscheck": "SELECT CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'only-left' ELSE 'only-right' END AS side, count(*) AS n FROM (SELECT DISTINCT id AS k FROM law_norms) a FULL JOIN (SELECT DISTINCT norm_id AS k FROM law_source_objects) b ON a.k = b.k GROUP BY ALL",

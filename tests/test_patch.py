@@ -80,3 +80,21 @@ def test_consolidate(spark, rows):
     recipes = spark.createDataFrame([("a", "2026-02-01", 1, later), ("a", "2026-01-01", 1, good), ("b", "2026-01-01", 1, later), ("b", "2026-03-01", 1, good), ("c", "2026-01-01", 1, good), ("b", "2026-04-01", 1, "kaputt")], "k string, effective_date string, seq int, recipe_json string")
     got = rows(pt.consolidate(states, recipes, "k"), "k", "effective_date", "status")
     assert got == [("a", "2026-01-01", "applied"), ("a", "2026-02-01", "applied"), ("b", "2026-01-01", "refused"), ("b", "2026-03-01", "blocked"), ("b", "2026-04-01", "blocked"), ("c", "2026-01-01", "refused")]
+
+
+def test_versions_per_date(spark, rows):
+    done = [("a", "2026-01-01", 1, "applied", None, "x"), ("a", "2026-01-01", 2, "applied", None, "y"), ("a", "2026-02-01", 3, "applied", None, "z"), ("a", "2026-02-01", 4, "refused", "Grund", None), ("a", "2026-03-01", 5, "blocked", "früher", None)]
+    got = pt.versions_per_date(spark.createDataFrame(done, "k string, effective_date string, seq int, status string, reason string, state_json string"), "k")
+    assert rows(got, "effective_date", "status", "recipes", "reason", "state_json") == [("2026-01-01", "applied", 2, None, "y"), ("2026-02-01", "refused", 2, "Grund", None), ("2026-03-01", "blocked", 1, "früher", None)]
+
+
+def test_wording(spark, rows):
+    texts = spark.createDataFrame([("a", 1, "Die Gemeinde zahlt"), ("a", 2, "Das Land-Recht"), ("a", 3, "fehlt"), ("a", 4, ""), ("a", 5, None), ("b", 1, "Die Gemeinde zahlt")], "k string, place int, text string")
+    extracts = spark.createDataFrame([("a", "§ 1 Die Ge-\nmein\u00adde   zahlt."), ("a", "Das LandRecht gilt"), ("a", None)], "k string, extract string")
+    assert rows(pt.wording_check(texts, extracts, "k")) == [("a", 1, "exact"), ("a", 2, "loose"), ("a", 3, "missing"), ("a", 4, "exact"), ("b", 1, "missing")]
+
+
+def test_file_plan(spark, rows):
+    planned = spark.createDataFrame([("a", "1", None), ("b", "1", "0"), ("c", "1", "0"), ("d", "1", "0")], "path string, sha256 string, base_sha256 string")
+    existing = spark.createDataFrame([("b", "1"), ("c", "0"), ("d", "9"), ("e", "1")], "path string, sha256 string")
+    assert rows(pt.file_plan(planned, existing)) == [("a", "new"), ("b", "unchanged"), ("c", "update"), ("d", "conflict"), ("e", "orphan")]
