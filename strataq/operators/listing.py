@@ -47,9 +47,8 @@ def federated_top(parts: list[DataFrame], order: list[Column], offset: int, limi
 
 
 def round_robin(df: DataFrame, category: str, order: list[Column], least: int) -> DataFrame:
-    """Picks across categories in turn until ``least`` rows: adds turn (1 … within the category) and keeps the first in (turn, category)."""
-    w = Window.partitionBy(category).orderBy(*order)
-    return df.withColumn("turn", F.row_number().over(w)).orderBy("turn", category, *order).limit(least)
+    """Picks across categories in turn until ``least`` rows: adds turn (1 … within the category) and keeps the first in (turn, category). No more than ``least`` rows of a category leave a task."""
+    return top_per_group(df, [category], order, least, "turn").orderBy("turn", category, *order).limit(least)
 
 
 def split_parts(df: DataFrame, order: list[str], n: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataq.functions.text import fnv1a
+from strataq.operators.listing import top_per_group
 from strataq.session import cut
 
 
@@ -37,10 +38,9 @@ def seeded(key: Column, seed: str) -> Column:
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, size: int, quota: int, seed: str) -> DataFrame:
-    """``quota`` rows of each stratum in the order of a seeded hash, the rest filled in that order up to ``size``. Same seed and rows, same sample."""
+    """``quota`` rows of each stratum in the order of a seeded hash, the rest filled in that order up to ``size``. Same seed and rows, same sample. No stratum can give more than its first ``size`` rows, so no more leave a task."""
     h = df.withColumn("order_hash", seeded(F.col(key), seed))
-    w = Window.partitionBy(stratum).orderBy("order_hash", key)
-    return h.withColumn("_r", F.row_number().over(w)).orderBy((F.col("_r") > quota).cast("int"), "order_hash", key).limit(size).drop("_r")
+    return top_per_group(h, [stratum], [F.asc("order_hash"), F.asc(key)], max(size, quota), "_r").orderBy((F.col("_r") > quota).cast("int"), "order_hash", key).limit(size).drop("_r")
 
 
 def global_rank(df: DataFrame, order: list[str], out: str = "rank") -> DataFrame:
@@ -78,6 +78,16 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str])
     return g.select(key, change.alias("change"))
 
 
+def grouped_diff(old: DataFrame, new: DataFrame, key: str, groups: dict[str, list[str]]) -> DataFrame:
+    """key, change (added, removed, changed or unchanged), changed: the names of the column groups that differ, in their order. Both sides are reduced to a hash a group before the exchange."""
+    side = lambda df, n: df.select(key, F.lit(n).alias("side"), *[row_fingerprint(*cols).alias(g) for g, cols in groups.items()])
+    both = side(old, 0).unionByName(side(new, 1)).groupBy(key).agg(F.min("side").alias("_lo"), F.max("side").alias("_hi"), *[(F.min(g) != F.max(g)).alias(g) for g in groups])
+    in_both = F.col("_lo") != F.col("_hi")
+    changed = F.when(in_both, F.array_compact(F.array(*[F.when(F.col(g), F.lit(g)) for g in groups]))).otherwise(F.array().cast("array<string>"))
+    change = F.when(~in_both & (F.col("_lo") == 0), "removed").when(~in_both, "added").when(F.size(changed) > 0, "changed").otherwise("unchanged")
+    return both.select(key, change.alias("change"), changed.alias("changed"))
+
+
 def apply_changes(old: DataFrame, new: DataFrame, diff: DataFrame, key: str) -> DataFrame:
     """The old snapshot with the changes of ``diff`` taken from the new one: untouched rows stay, touched keys are replaced."""
     touched = diff.where("change != 'unchanged'").select(key)

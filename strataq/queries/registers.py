@@ -8,6 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
+from strataq.operators import quality as ql
+from strataq.operators import reconstruct as rc
 from strataq.operators import resolve as rs
 from strataq.operators import search_index as si
 from strataq.operators import temporal as tm
@@ -122,8 +124,6 @@ def state_audit(spark, d):
 def gap_queue(spark, d):
     """Open reports in the order in which they are worked on: by priority, age and id; each one's place."""
     r = table(spark, d, "feedback_reports").groupBy("id").agg(F.max(F.struct("revision", "status", "priority", "created_at")).alias("x")).select("id", "x.*").where("status IN ('new', 'open', 'in-review')")
-    from strataq.operators import quality as ql
-
     return ql.global_rank(r.select("id", F.coalesce("priority", F.lit("P9")).alias("priority"), "created_at"), ["priority", "created_at", "id"]).select("id", "priority", F.col("rank").alias("place"))
 
 
@@ -185,11 +185,33 @@ def annex_assignment(spark, d):
     return docs.where("doc_type IN ('contents', 'tariff')").join(main, "key", "left").select("doc_id", F.col("main_id").alias("main"))
 
 
+def projection_diff(spark, d):
+    """What a new projection would change, by groups of columns: identity, search and dates of the norms against them with some edited."""
+    old = norms_now(spark, d, "title", "status", "summary", "sort_key", "effective_date")
+    n = F.pmod(F.length("id") + F.length("sort_key"), F.lit(9))
+    new = old.where(n != 0).withColumns({"title": F.when(n == 1, F.concat("title", F.lit(" (neu)"))).otherwise(F.col("title")), "summary": F.when(n < 3, F.lit("neu")).otherwise(F.col("summary")), "effective_date": F.when(n == 4, F.date_add("effective_date", 1)).otherwise(F.col("effective_date"))})
+    diff = ql.grouped_diff(old, new, "id", {"identity": ["title", "status"], "search": ["summary", "sort_key"], "dates": ["effective_date"]})
+    return diff.groupBy("change", F.array_join("changed", ",").alias("groups")).agg(F.count("*").alias("n"))
+
+
+def text_reconstruction(spark, d):
+    """Texts amended twice and walked back to where they began: hashes of the text after each step."""
+    docs = table(spark, d, "documents").where("length(text) > 0").select(F.col("doc_id").cast("string").alias("k"), "text")
+    step = lambda day, change: F.struct(F.lit(day).alias("day"), F.lit(1).alias("seq"), F.to_json(change).alias("change_json"))
+    one = F.struct(F.lit("append").alias("kind"), F.lit("\nZusatz Eins").alias("new"), F.sha2("text", 256).alias("before"))
+    two = F.struct(F.lit("replace").alias("kind"), F.lit("Zusatz Eins").alias("old"), F.lit("Zusatz Zwei").alias("new"))
+    changes = docs.select("k", F.explode(F.array(step("2026-01-01", one), step("2026-02-01", two))).alias("s")).select("k", "s.*")
+    forth = rc.walk(docs, changes, "k")
+    back = rc.walk(forth.where("step = 2").select("k", "text"), changes, "k", back=True)
+    way = lambda df, w: df.select(F.lit(w).alias("way"), F.col("k").cast("long").alias("doc_id"), "step", F.md5("text").alias("text_hash"))
+    return way(forth, "forth").unionByName(way(back, "back"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         systemic_stop, facet_merge, four_tier_resolution, reference_lookup, stock_index, number_comparison, completeness_totals, slowest_events, naming_audit, inventory_compare, state_audit, gap_queue, provision_anchors,
-        title_match_keys, display_titles, public_summary, unit_merge, outline, annex_assignment,
+        projection_diff, text_reconstruction, title_match_keys, display_titles, public_summary, unit_merge, outline, annex_assignment,
     )
 }
 
@@ -213,6 +235,8 @@ SELECT user_id, event_id, in_row, CASE WHEN code IS NULL THEN 0 ELSE same_code E
     "facet_merge": _LV + ", x AS (SELECT jurisdiction, 'type' AS facet, type AS value FROM ln UNION ALL SELECT jurisdiction, 'status', status FROM ln UNION ALL SELECT jurisdiction, 'index_letter', index_letter FROM ln), a AS (SELECT jurisdiction, facet, value, count(*) AS n FROM x GROUP BY ALL) SELECT facet, value, sum(n) AS n, count(*) AS areas, arg_max(jurisdiction, (n, jurisdiction)) AS largest FROM a GROUP BY ALL",
     "four_tier_resolution": _LV + f"SELECT lv.norm_id, lv.version_id, {_F4[1]} AS resolved, {_F4[2]} AS tier {_F4[0]}",
     "reference_lookup": _LV + ", r AS (SELECT DISTINCT id, jurisdiction || ':' || lower(trim(norm_slug)) AS key FROM feedback_reports WHERE trim(norm_slug) <> ''), k AS (SELECT id AS norm, jurisdiction || ':' || lower(slug) AS slug, jurisdiction || ':' || coalesce(lower(abbr), '') AS abbr, jurisdiction || ':' || coalesce(lower(title), '') AS title FROM ln) " + f"SELECT {_F3[2]} AS tier, count(*) AS n, count(DISTINCT {_F3[1]}) AS norms {_F3[0]} GROUP BY 1",
+    "projection_diff": _LV + ", o AS (SELECT id, title, summary, effective_date, (length(id) + length(sort_key)) % 9 AS n FROM ln), x AS (SELECT CASE WHEN n = 0 THEN 'removed' WHEN (n = 1 AND title IS NOT NULL) OR (n IN (1, 2) AND summary IS DISTINCT FROM 'neu') OR (n = 4 AND effective_date IS NOT NULL) THEN 'changed' ELSE 'unchanged' END AS change, CASE WHEN n = 0 THEN '' ELSE concat_ws(',', CASE WHEN n = 1 AND title IS NOT NULL THEN 'identity' END, CASE WHEN n IN (1, 2) AND summary IS DISTINCT FROM 'neu' THEN 'search' END, CASE WHEN n = 4 AND effective_date IS NOT NULL THEN 'dates' END) END AS groups FROM o) SELECT change, groups, count(*) AS n FROM x GROUP BY ALL",
+    "text_reconstruction": "WITH t AS (SELECT doc_id, text, text || chr(10) || 'Zusatz Eins' AS a, text || chr(10) || 'Zusatz Zwei' AS b FROM documents WHERE length(text) > 0) SELECT 'forth' AS way, doc_id, 1 AS step, md5(a) AS text_hash FROM t UNION ALL SELECT 'forth', doc_id, 2, md5(b) FROM t UNION ALL SELECT 'back', doc_id, 1, md5(a) FROM t UNION ALL SELECT 'back', doc_id, 2, md5(text) FROM t",
     "stock_index": _LV + f", x AS (SELECT 'slug' AS kind, slug AS key, id FROM ln UNION SELECT 'title', {_NORM('title')}, id FROM ln UNION SELECT 'short', {_NORM('short_title')}, id FROM ln UNION SELECT 'abbreviation', lower(abbr), id FROM ln UNION SELECT 'citation', initial_citation, id FROM ln), k AS (SELECT kind, key, count(*) AS n FROM x WHERE key <> '' GROUP BY ALL) SELECT kind, count(*) FILTER (n = 1) AS unique_keys, count(*) FILTER (n > 1) AS shared_keys, max(n) AS most FROM k GROUP BY kind",
     "number_comparison": _LV + ", j AS (SELECT version_count AS said, coalesce(v.c, 0) AS stored, coalesce(s.c, 0) AS sourced FROM ln LEFT JOIN (SELECT norm_id, count(*) AS c FROM lv GROUP BY 1) v ON v.norm_id = id LEFT JOIN (SELECT norm_id, count(DISTINCT version_id) AS c FROM law_source_objects WHERE version_id <> '' GROUP BY 1) s ON s.norm_id = id) SELECT CASE WHEN said = stored AND stored = sourced THEN 'all' WHEN said = stored THEN 'norm-and-versions' WHEN stored = sourced THEN 'versions-and-sources' WHEN said = sourced THEN 'norm-and-sources' ELSE 'none' END AS agree, count(*) AS n, sum(said) AS said, sum(stored) AS stored, sum(sourced) AS sourced FROM j GROUP BY 1",
     "completeness_totals": _LV + ", o AS (SELECT jurisdiction, current_version_id IS NULL AS b, (title IS NULL)::INT + (current_version_id IS NULL)::INT + (publication_date IS NULL)::INT + (initial_citation IS NULL)::INT AS k FROM ln) SELECT jurisdiction, count(*) AS n, count(*) FILTER (k = 0) AS complete, count(*) FILTER (b) AS blocked, sum(k) AS open_gaps FROM o GROUP BY 1",
