@@ -233,17 +233,13 @@ def evidence(index: SearchIndex, sought: DataFrame) -> DataFrame:
     candidates = occurrences(keys, [t for t, key in few if key]).select("term", "doc_id").distinct().join(keys, "term").select("request", "doc_id").distinct()
     found = occurrences(sought, [t for t, _ in few]).join(candidates.join(sought, "request"), ["term", "doc_id"])
     weight = F.when(F.col("unit_index") == TITLE, TITLE_WEIGHT).when(F.col("in_heading"), HEADING_WEIGHT).otherwise(BODY_WEIGHT)
-    one = found.where("n_words = 1").select("request", "doc_id", "slot", "unit_index", "fits", weight.alias("weight"), "n")
+    shown = ["request", "doc_id", "slot", "unit_index", "fits", "weight", "n"]
     if sought.where("n_words > 1").isEmpty():
-        return one
-    phrase = (
-        found.where("n_words > 1")
-        .groupBy("request", "doc_id", "slot", "alt", "n_words", "n", "unit_index", (F.col("position") - F.col("offset")).alias("at"))
-        .agg(F.countDistinct("offset").alias("k"), F.bool_and("fits").alias("fits"), F.max(weight).alias("weight"))
-        .where("k = n_words")
-        .select("request", "doc_id", "slot", "unit_index", "fits", "weight", "n")
-    )
-    return one.unionByName(phrase)
+        return found.withColumn("weight", weight).select(*shown)
+    # a phrase stands where all its words begin at one place; a word does so by itself
+    at = F.col("position") - F.col("offset")
+    whole = found.groupBy("request", "doc_id", "slot", "alt", "n_words", "n", "unit_index", at.alias("at"), F.when(F.col("n_words") == 1, F.col("term")).alias("word"))
+    return whole.agg(F.countDistinct("offset").alias("k"), F.bool_and("fits").alias("fits"), F.max(weight).alias("weight")).where("k = n_words").select(*shown)
 
 
 def scores(index: SearchIndex, found: DataFrame) -> DataFrame:
