@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import repeat
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataq.session import cut
+
+#: Pairs that are given out at once.
+PAIRS = 50_000
+
 
 def unique_key(df: DataFrame, key: str, ident: str, out: str) -> DataFrame:
     """key, out: the one row that has the key; keys of several rows are left out, so nothing is guessed."""
@@ -42,6 +51,56 @@ def overlap_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return lefts.select("id", "l").join(one, "l").select(F.col("id").alias(left_id), F.col("first").alias(right_id), F.round("score", 6).alias("score"))
 
 
+def _begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by k; what begins a key is open when the key comes."""
+    shown = lambda pairs: pd.DataFrame(pairs, columns=["id", "other"], dtype=object)
+    opened: list[tuple[str, list]] = []
+    pairs: list[tuple] = []
+    for b in batches:
+        for k, i in zip(b["k"], b["id"]):
+            while opened and not k.startswith(opened[-1][0]):
+                opened.pop()
+            for _, ids in opened:
+                pairs += zip(ids, repeat(i))
+            if opened and opened[-1][0] == k:
+                opened[-1][1].append(i)
+            else:
+                opened.append((k, [i]))
+            if len(pairs) >= PAIRS:
+                yield shown(pairs)
+                pairs = []
+    if pairs:
+        yield shown(pairs)
+
+
+def beginning_pairs(rows: DataFrame, ident: str, key: str) -> DataFrame:
+    """id, other: each pair of rows once of which one's key begins the other's or is the same; rows without id or key are in none.
+
+    The keys are sorted over range partitions. There all that begin with one
+    key follow it at once, so one walk with the keys still open gives all pairs,
+    whatever else begins alike. Keys still open where a partition ends and that
+    begin the next one's first are joined to the rows there.
+    """
+    named = rows.select(F.col(ident).alias("id"), F.col(key).alias("k")).where("id IS NOT NULL AND k IS NOT NULL")
+    kept = cut(named.repartitionByRange("k").sortWithinPartitions("k"))
+    x = kept.withColumn("p", F.spark_partition_id())
+    ends = x.groupBy("p").agg(F.min("k").alias("first"), F.max("k").alias("last"))  # a row per partition
+    at_end = x.join(F.broadcast(ends), "p").where(F.startswith("last", "k")).select("p", "k").distinct().collect()
+    carried: list[tuple[str, int]] = []
+    opened: list[str] = []
+    for e in sorted(ends.collect()):
+        opened = [k for k in opened if e["first"].startswith(k)]
+        carried += [(k, e["p"]) for k in opened]
+        opened += [r["k"] for r in at_end if r["p"] == e["p"]]
+    kind = named.schema["id"].dataType.simpleString()
+    pairs = kept.select("id", "k").mapInPandas(_begun, f"id {kind}, other {kind}")
+    if not carried:
+        return pairs
+    over = rows.sparkSession.createDataFrame(carried, "begin string, p int")
+    later = x.withColumnRenamed("id", "other").join(F.broadcast(over), "p").where(F.startswith("k", "begin")).select("begin", "other")
+    return pairs.unionByName(kept.join(later, F.col("k") == F.col("begin")).select("id", "other"))
+
+
 def resolve_by_tiers(refs: DataFrame, targets: DataFrame, ident: str, tiers: list[tuple[str, str, str]]) -> DataFrame:
     """Adds resolved and tier to refs: for each (tier, column of refs, column of targets) in order, the target whose value is equal and that is the only one with it; tier is "none" where no tier says.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
 from strataq.operators import quality as ql
+from strataq.operators import resolve as rs
 from strataq.operators.blocks import BLOCK_KEYS, assemble_parts, split_parts
 from strataq.queries.relational import _LN
 from strataq.queries.temporal import norms_now, versions_now
@@ -130,11 +131,9 @@ def tiered_resolution(spark, d):
 
 
 def prefix_title_match(spark, d):
-    """Titles of at least 25 characters of which one begins the other: every title meets the beginnings of the others by hash, then is verified. Titles that only share a beginning do not meet."""
+    """Titles of at least 25 characters of which one begins the other. Titles that only share a beginning do not meet."""
     n = norms_now(spark, d, "title").select("id", tx.normalise(F.col("title")).alias("k")).where("length(k) >= 25")
-    begins = n.select(F.col("id").alias("longer"), F.col("k").alias("lk"), F.explode(F.sequence(F.lit(25), F.length("k"))).alias("n")).select("longer", "lk", F.xxhash64(F.left("lk", F.col("n"))).alias("h"))
-    met = n.withColumn("h", F.xxhash64("k")).join(begins, "h").where(F.startswith("lk", "k") & (F.col("id") != F.col("longer")))
-    return met.select(F.least("id", "longer").alias("id"), F.greatest("id", "longer").alias("other")).distinct()
+    return rs.beginning_pairs(n, "id", "k").select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other"))
 
 
 def reference_frequency(spark, d):
