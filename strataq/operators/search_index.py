@@ -283,52 +283,61 @@ def search(index: SearchIndex, requests: DataFrame, with_scores: bool = True) ->
     title = lambda c: F.max(F.when(F.col("unit_index") == TITLE, F.col(c)))
     per_doc = per_unit.groupBy("request", "doc_id").agg(title("wide").alias("tw"), title("narrow").alias("tn"), F.collect_list(F.when(F.col("unit_index") != TITLE, F.struct("unit_index", "wide", "narrow"))).alias("units"))
     none = F.array().cast("array<int>")
-    text = per_doc.withColumn("tw", F.coalesce("tw", none)).withColumn("tn", F.coalesce("tn", none))
-    refs = _addressed(index, plans)
-    everything = [r["request"] for r in meta.where("n_slots = 0 AND n_addresses = 0").select("request").collect()]  # requests without any word
-    pairs = text.select("request", "doc_id", "tw", "tn", "units").join(refs, ["request", "doc_id"], "full_outer")
-    if everything:
-        pairs = pairs.unionByName(index.documents.select("doc_id", F.explode(F.array(*map(F.lit, everything))).alias("request")), allowMissingColumns=True)
-    x = pairs.join(meta, "request").join(index.documents.select("doc_id", "title_key", "title_forms", "title_addresses"), "doc_id")
-    x = x.withColumns({"tw": F.coalesce("tw", none), "tn": F.coalesce("tn", none), "units": F.coalesce("units", F.array().cast("array<struct<unit_index:int,wide:array<int>,narrow:array<int>>>"))})
-    n, has_words = F.col("n_slots"), F.col("n_slots") > 0
+    n = F.col("n_slots")
     body = lambda c: F.flatten(F.transform("units", lambda u: u[c]))
     covers = lambda slots: F.size(F.array_distinct(slots)) == n
-    in_title = has_words & covers(F.col("tn"))
+    in_title = covers(F.col("tn"))
     units_full = F.array_sort(F.transform(F.filter("units", lambda u: covers(u["narrow"])), lambda u: u["unit_index"]))
     narrow_unit = F.exists("units", lambda u: covers(F.concat(F.when(F.col("scope") == "all", F.col("tn")).otherwise(none), u["narrow"])))
-    strict = F.when(~has_words, True).when(F.col("scope") == "title", in_title).when(F.col("scope") == "body", narrow_unit).otherwise(narrow_unit | in_title)
-    relaxed = F.when(~has_words, True).when(F.col("scope") == "title", covers(F.col("tw"))).when(F.col("scope") == "body", covers(body("wide"))).otherwise(covers(F.concat(F.col("tw"), body("wide"))))
-    carries = has_words & in_title & F.forall("addresses", lambda a: F.exists("title_addresses", lambda t: (t["kind"] == a["kind"]) & (t["number"] == a["number"]) & (a["subsection"].isNull() | t["subsection"].eqNullSafe(a["subsection"]))))
-    x = x.withColumns({"in_title": in_title, "best_unit": F.when(has_words, F.get(units_full, 0)), "strict": strict, "relaxed": relaxed}).where((F.col("n_addresses") == 0) | F.col("ref_unit").isNotNull() | carries)
+    strict = F.when(F.col("scope") == "title", in_title).when(F.col("scope") == "body", narrow_unit).otherwise(narrow_unit | in_title)
+    relaxed = F.when(F.col("scope") == "title", covers(F.col("tw"))).when(F.col("scope") == "body", covers(body("wide"))).otherwise(covers(F.concat(F.col("tw"), body("wide"))))
+    text = per_doc.withColumns({"tw": F.coalesce("tw", none), "tn": F.coalesce("tn", none)}).join(meta.select("request", "n_slots", "scope"), "request")
+    standing = text.select("request", "doc_id", in_title.alias("in_title"), F.get(units_full, 0).alias("best_unit"), strict.alias("strict"), relaxed.alias("relaxed"))
+    pairs = standing.join(_addressed(index, plans), ["request", "doc_id"], "full_outer")
+    everything = [r["request"] for r in meta.where("n_slots = 0 AND n_addresses = 0").select("request").collect()]  # requests without any word
+    if everything:
+        pairs = pairs.unionByName(index.documents.select("doc_id", F.explode(F.array(*map(F.lit, everything))).alias("request")), allowMissingColumns=True)
+    x = pairs.join(meta, "request").join(index.documents.select("doc_id", "title_key", "title_forms", "title_addresses"), "doc_id")
+    has_words = F.col("n_slots") > 0
+    x = x.withColumns({"in_title": F.coalesce("in_title", F.lit(False)), **{c: F.coalesce(c, ~has_words) for c in ("strict", "relaxed")}})
+    carries = has_words & F.col("in_title") & F.forall("addresses", lambda a: F.exists("title_addresses", lambda t: (t["kind"] == a["kind"]) & (t["number"] == a["number"]) & (a["subsection"].isNull() | t["subsection"].eqNullSafe(a["subsection"]))))
+    x = x.where((F.col("n_addresses") == 0) | F.col("ref_unit").isNotNull() | carries)
     any_strict = x.groupBy("request").agg(F.bool_or("strict").alias("any_strict"))
-    x = x.join(any_strict, "request").where(F.when((F.col("mode") == "and-first") & F.col("any_strict"), F.col("strict")).otherwise(F.col("relaxed")))
-    same = F.arrays_overlap("title_forms", "identity")
-    subject = F.arrays_overlap("title_forms", "subject")
-    here = F.col("ref_unit").isNotNull()
+    titles = {"same": F.arrays_overlap("title_forms", "identity"), "plain": F.col("title_key") == F.get("identity", 0), "subject": F.arrays_overlap("title_forms", "subject"), "within": F.contains("title_key", "subject_text")}
+    out = _kinds(x.join(any_strict, "request").withColumns(titles))
+    return out.join(scores(index, found), ["request", "doc_id"], "left") if with_scores else out
+
+
+def _kinds(x: DataFrame, *more: str) -> DataFrame:
+    """Kind, tier and rank by where the words stand (in_title, best_unit, ref_unit) and how the titles fit (same, plain, subject, within), of what meets the request: strictly if anything does in and-first (any_strict), else anywhere."""
+    has_words, here = F.col("n_slots") > 0, F.col("ref_unit").isNotNull()
+    x = x.where(F.when((F.col("mode") == "and-first") & F.col("any_strict"), F.col("strict")).otherwise(F.col("relaxed")))
     kind = (
-        F.when(same, "identity").when(here & (F.col("in_title") | ~has_words), "reference").when(F.col("in_title"), "title").when(here, "reference")
+        F.when(F.col("same"), "identity").when(here & (F.col("in_title") | ~has_words), "reference").when(F.col("in_title"), "title").when(here, "reference")
         .when(F.col("best_unit").isNotNull(), "unit").when(has_words, "body").otherwise("browse")
     )
-    tier = F.when(same, 0).when(here & (F.col("in_title") | ~has_words), 1).when(F.col("in_title"), 2).when(here, 3).when(F.col("best_unit").isNotNull(), 4).when(has_words, 5).otherwise(6)
-    flag = lambda c: F.when(c, 0).otherwise(1)
-    second = F.when(tier == 0, flag(F.col("title_key") == F.get("identity", 0))).when(tier == 1, flag(F.col("in_title"))).when(tier == 2, flag(F.contains("title_key", "subject_text"))).when(tier == 4, F.col("best_unit")).otherwise(0)
-    third = F.when(tier == 1, flag(subject)).otherwise(0)
-    out = x.select("request", "doc_id", kind.alias("kind"), tier.alias("tier"), F.array(tier, second, third).alias("rank"), F.coalesce("ref_unit", "best_unit").alias("best_unit"), "strict")
-    return out.join(scores(index, found), ["request", "doc_id"], "left") if with_scores else out
+    tier = F.when(F.col("same"), 0).when(here & (F.col("in_title") | ~has_words), 1).when(F.col("in_title"), 2).when(here, 3).when(F.col("best_unit").isNotNull(), 4).when(has_words, 5).otherwise(6)
+    flag = lambda c: F.when(F.col(c), 0).otherwise(1)
+    second = F.when(tier == 0, flag("plain")).when(tier == 1, flag("in_title")).when(tier == 2, flag("within")).when(tier == 4, F.col("best_unit")).otherwise(0)
+    third = F.when(tier == 1, flag("subject")).otherwise(0)
+    return x.select("request", "doc_id", kind.alias("kind"), tier.alias("tier"), F.array(tier, second, third).alias("rank"), F.coalesce("ref_unit", "best_unit").alias("best_unit"), "strict", *more)
 
 
-def ranked(hits: DataFrame, limit: int, offset: int = 0) -> DataFrame:
-    """request, doc_id, kind, position (1 …), total: the page of each request; identity, addresses and titles by rank, hits in texts by score, ties by id. ``total`` counts all hits of the request."""
+def places(hits: DataFrame, limit: int, offset: int = 0) -> DataFrame:
+    """request, doc_id, kind, position (1 …) of the page of each request; identity, addresses and titles by rank, hits in texts by score, ties by id."""
     from strataq.operators.listing import top_per_group
 
     by_rank = F.col("tier") <= 3
     keys = [F.when(by_rank, F.col("rank")[k]).otherwise(F.lit(4 if k == 0 else 0)) for k in range(3)]
     x = hits.withColumns({f"r{k}": c for k, c in enumerate(keys)}).withColumn("s", F.when(~by_rank, F.col("score")))
     order = [F.asc("r0"), F.asc("r1"), F.asc("r2"), F.asc_nulls_last("s"), F.asc("doc_id")]
-    top = top_per_group(x, ["request"], order, limit + offset, "position").where(F.col("position") > offset)
+    return top_per_group(x, ["request"], order, limit + offset, "position").where(F.col("position") > offset).select("request", "doc_id", "kind", "position")
+
+
+def ranked(hits: DataFrame, limit: int, offset: int = 0) -> DataFrame:
+    """request, doc_id, kind, position, total: ``places``, and how many hits the request has."""
     totals = hits.groupBy("request").agg(F.count("*").alias("total"))
-    return top.join(totals, "request").select("request", "doc_id", "kind", "position", "total")
+    return places(hits, limit, offset).join(totals, "request")
 
 
 def bm25(documents: DataFrame, requests: dict[str, list[str]], doc: str = "doc_id", title: str = "title", body: str = "body") -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from strataq.functions import text as tx
+from strataq.operators import bulk_search as bs
 from strataq.operators import search_index as si
 from strataq.plans import search as ps
 from strataq.plans.search import build_plan, normalise
@@ -160,7 +161,7 @@ def structural_intents(spark, d):
 
 def _golden(spark, d):
     """Requests made from the documents: every title, and with each document's second unit its heading and the title's last word."""
-    docs = table(spark, d, "documents").where("doc_type = 'norm_text'")
+    docs = spread(table(spark, d, "documents").where("doc_type = 'norm_text'"))
     u = si.units_of(docs)
     words = F.regexp_extract_all("title", F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
     heading = F.regexp_replace("heading", "^§ \\d+[a-z]? ", "")
@@ -170,11 +171,11 @@ def _golden(spark, d):
 
 
 def golden_positions(spark, d):
-    """class, query, first position of a document that the query was made from among the ten best hits, null if none."""
-    asked = _golden(spark, d)
-    requests = asked.select(F.col("query").alias("request"), "query", F.lit("and-first").alias("mode"), F.lit("all").alias("scope")).distinct()
-    top = si.ranked(si.search(kept_index(spark, d), requests), 10).select(F.col("request").alias("query"), "doc_id", "position")
-    return asked.join(top, ["query", "doc_id"], "left").groupBy("class", "query").agg(F.min("position").alias("position"))
+    """class, request (a hash of its text), first position of a document that it was made from among the ten best hits, null if none. Requests without words find nothing."""
+    asked = _golden(spark, d).withColumn("request", F.md5("query"))
+    requests = asked.where(F.size(tx.words(F.col("query"))) > 0).select("request", "query", F.lit("and-first").alias("mode"), F.lit("all").alias("scope")).dropDuplicates(["request"])
+    top = si.places(bs.search_all(spread(table(spark, d, "documents").select("doc_id", "text")), requests), 10).select("request", "doc_id", "position")
+    return asked.select("class", "request", "doc_id").join(top, ["request", "doc_id"], "left").groupBy("class", "request").agg(F.min("position").alias("position"))
 
 
 def batch_golden_metrics(spark, d):

@@ -87,3 +87,18 @@ def test_maintenance(spark, index, rows):
 def test_empty_index(spark):
     empty = si.index_of(spark.createDataFrame([], "doc_id long, text string"))
     assert si.search(empty, si.request_table(spark, {"a": "Wald", "b": "", "c": "§ 1"})).count() == 0
+
+
+def test_all_requests_by_a_scan_of_the_documents(spark, index, monkeypatch):
+    """The scan gives what the index gives, rank and score too, in every mode and scope, also where the requests are cut into slices."""
+    from strataq.operators import bulk_search as bs
+
+    more = ["Straße Bäume", "„sie sind hoch“ „sind hoch“ Wald", "Kost* Bun", "die", "Gesetz", "ist zu", "„Bäume im Wald“", "Wald wald* Wälder"]
+    rows = [(f"{i} {m} {s}", q, m, s) for i, q in enumerate([q for q, *_ in CASES] + more) for m in ("and-first", "or-prefix") for s in ("all", "title", "body")]
+    requests = spark.createDataFrame([*rows, (None, "x", None, None), ("n", None, None, None)], "request string, query string, mode string, scope string")
+    shown = lambda df: sorted((tuple(x) for x in df.select("request", "doc_id", "kind", "tier", "best_unit", "strict", "score", "rank").collect()), key=repr)
+    want = shown(si.search(index, requests))
+    for size in (bs.SLICE, 40):
+        monkeypatch.setattr(bs, "SLICE", size)
+        assert shown(bs.search_all(spark.createDataFrame(DOCS, "doc_id long, text string"), requests)) == want
+    assert bs.search_all(spark.createDataFrame([], "doc_id long, text string"), requests).count() == 0
