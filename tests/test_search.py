@@ -102,3 +102,11 @@ def test_all_requests_by_a_scan_of_the_documents(spark, index, monkeypatch):
         monkeypatch.setattr(bs, "SLICE", size)
         assert shown(bs.search_all(spark.createDataFrame(DOCS, "doc_id long, text string"), requests)) == want
     assert bs.search_all(spark.createDataFrame([], "doc_id long, text string"), requests).count() == 0
+
+
+def test_golden_requests_write_no_index(spark, tmp_path, monkeypatch):
+    """An index and the pairs of requests and documents with one word in common took more disk than any budget."""
+    from strataq.queries import search as qs
+
+    monkeypatch.setattr(qs, "kept_index", None)
+    assert sum(r["n"] for r in qs.search_audit(spark, "/root/testdata/sf0.001").collect()) == sum(r["n"] for r in qs.batch_golden_metrics(spark, "/root/testdata/sf0.001").collect()) > 0
