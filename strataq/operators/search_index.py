@@ -12,7 +12,7 @@ documents of the rare ones beside them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -154,13 +154,13 @@ def plan_row(request: str, plan: ps.Plan) -> tuple:
     return request, plan.mode, plan.scope, len(slots), len(addresses), plan.identity, plan.subject, plan.subject[0] if plan.subject else "", words, addresses
 
 
-def parse_requests(requests: DataFrame) -> DataFrame:
+def parse_requests(requests: DataFrame, plan: Callable[[str, str, str], ps.Plan] = ps.build_plan) -> DataFrame:
     """Plans of requests(request, query, mode, scope); null requests and queries give none."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [c.split()[0] for c in "request mode scope n_slots n_addresses identity subject subject_text words addresses".split()]
         for b in batches:
-            rows = [plan_row(r, ps.build_plan(q, m, s)) for r, q, m, s in zip(b["request"], b["query"], b["mode"], b["scope"])]
+            rows = [plan_row(r, plan(q, m, s)) for r, q, m, s in zip(b["request"], b["query"], b["mode"], b["scope"])]
             yield pd.DataFrame(rows, columns=cols, dtype=object)
 
     named = requests.where("request IS NOT NULL AND query IS NOT NULL").select("request", "query", F.coalesce("mode", F.lit("and-first")).alias("mode"), F.coalesce("scope", F.lit("all")).alias("scope"))

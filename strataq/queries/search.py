@@ -161,8 +161,7 @@ def structural_intents(spark, d):
 
 def _golden(spark, d):
     """Requests made from the documents: every title, and with each document's second unit its heading and the title's last word."""
-    docs = spread(table(spark, d, "documents").where("doc_type = 'norm_text'"))
-    u = si.units_of(docs)
+    u = si.units_of(table(spark, d, "documents").where("doc_type = 'norm_text'"))
     words = F.regexp_extract_all("title", F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
     heading = F.regexp_replace("heading", "^§ \\d+[a-z]? ", "")
     titles = u.where("unit_index = 0 AND title != ''").select(F.lit("title").alias("class"), F.col("title").alias("query"), "doc_id")
@@ -173,8 +172,8 @@ def _golden(spark, d):
 def golden_positions(spark, d):
     """class, request (a hash of its text), first position of a document that it was made from among the ten best hits, null if none. Requests without words find nothing."""
     asked = _golden(spark, d).withColumn("request", F.md5("query"))
-    requests = asked.where(F.size(tx.words(F.col("query"))) > 0).select("request", "query", F.lit("and-first").alias("mode"), F.lit("all").alias("scope")).dropDuplicates(["request"])
-    top = si.places(bs.search_all(spread(table(spark, d, "documents").select("doc_id", "text")), requests), 10).select("request", "doc_id", "position")
+    requests = asked.where(F.size(tx.words(F.col("query"))) > 0).select("request", "query").dropDuplicates(["request"])
+    top = bs.first_hits(spread(table(spark, d, "documents").select("doc_id", "text")), requests, 10)
     return asked.select("class", "request", "doc_id").join(top, ["request", "doc_id"], "left").groupBy("class", "request").agg(F.min("position").alias("position"))
 
 

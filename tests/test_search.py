@@ -110,3 +110,43 @@ def test_golden_requests_write_no_index(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(qs, "kept_index", None)
     assert sum(r["n"] for r in qs.search_audit(spark, "/root/testdata/sf0.001").collect()) == sum(r["n"] for r in qs.batch_golden_metrics(spark, "/root/testdata/sf0.001").collect()) > 0
+
+
+def test_first_hits_of_all_requests(spark, index, monkeypatch):
+    """The first places of each request taken as words, strict hits before any other, also by several tasks and slices."""
+    from pyspark.sql import functions as F
+
+    from strataq.operators import bulk_search as bs
+
+    more = [(10 + i, f"Satzung {'Wald' if i % 3 else 'Kosten'}\n\n§ 1 Bäume\nKosten {'im Wald ' * (i % 4)}der Bäume.\n\nStraße {i}") for i in range(30)]
+    docs = spark.createDataFrame(DOCS + more, "doc_id long, text string")
+    asked = ["Wald Kosten", "Strafen Bund", "Bäume Wald", "Großstraße", "Satzung Wald", "Kosten", "Bund Bäume", "Straße der Bäume", "unbekannt Wald", "die", "Satzung Straße 7"]
+    requests = spark.createDataFrame([(f"{i}", q) for i, q in enumerate(asked)], "request string, query string")
+    hits = si.places(bs.search_all(docs, requests.withColumns({"mode": F.lit("and-first"), "scope": F.lit("all")})), 3)
+    want = sorted(tuple(x) for x in hits.select("request", "doc_id", "position").collect())
+    assert len(want) == 17
+    for size, parts in ((bs.SLICE, 4), (2, 3)):
+        monkeypatch.setattr(bs, "SLICE", size)
+        assert sorted(tuple(x) for x in bs.first_hits(docs.repartition(parts), requests, 3).collect()) == want
+    assert bs.first_hits(docs, requests.limit(0), 3).count() == bs.first_hits(docs.limit(0), requests, 3).count() == 0
+
+
+def test_golden_requests_give_out_first_hits_only(spark, tmp_path, rows):
+    """All hits of all requests grow as requests times documents; ten a request and task do not. Titles that look like addresses, phrases or prefixes are words, as in the SQL."""
+    import sys
+    from pathlib import Path
+
+    from strataq.queries import search as qs
+
+    sys.path.insert(0, str(Path(__file__).parent))
+    import duckdb
+    import oracle
+
+    titles = ["Satzung zu § 5 des Waldgesetzes", "Bund „der Wald“ Kosten", "Wald*", "Waldgesetz", "§ 1 Wald", "der Wald Kosten Bund", "***", "Satzung zu 5 des Waldgesetzes"]
+    data = [(i + 1, f"{t}\n\n§ {i % 6} Forstfläche{i % 3}\n(1) Der Wald und Satzung zu § {i % 7} des Waldgesetzes.\n\n§ 5 Kosten\nBund", "norm_text") for i, t in enumerate(titles * 2)]
+    data += [(100 + i, f"Satzung des Waldgesetzes zu 5 Teil {i}\n\n§ 5 Bund\nder Wald Kosten", "circular") for i in range(12)]
+    spark.createDataFrame(data, "doc_id long, text string, doc_type string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("batch_golden_metrics", "search_audit"):
+        assert oracle.spark_rows(qs.QUERIES[name](spark, str(tmp_path))) == oracle.sql_rows(con, qs.SQL[name])
